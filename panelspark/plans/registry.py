@@ -51,4 +51,4 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from panelspark.plans import queries_core  # noqa: F401
+    from panelspark.plans import queries_clean, queries_core, queries_folds  # noqa: F401

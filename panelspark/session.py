@@ -19,6 +19,7 @@ SESSION_DEFAULTS = {
     # small side moves.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -20,6 +20,8 @@ SESSION_DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of a finished job are removed once their DataFrame is garbage.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -107,7 +107,38 @@ def ewm_plan(spans) -> tuple[int, dict]:
 
 
 def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER,
-            block: int | None = None) -> DataFrame:
+            block: int | None = None, null_safe: bool = True) -> DataFrame:
+    """EMA columns for ``items`` = [(source_col, out_col, span), ...].
+
+    Tickers whose sources are null-free take the blocked window form below (JVM only). With
+    ``null_safe``, tickers that hold a null source value (a null close survives cleaning) are
+    routed by a per-ticker window flag to a grouped pandas helper with the reference's gap
+    rule; a ticker's group is bounded by its calendar length.
+    """
+    if not null_safe:
+        return _add_ewm_blocked(df, items, key, order, block)
+    any_null = F.lit(False)
+    for src, _, _ in items:
+        any_null = any_null | F.col(src).isNull()
+    flagged = df.withColumn("_ewm_gap", F.max(any_null.cast("int")).over(Window.partitionBy(key)))
+    fast = _add_ewm_blocked(flagged.filter(F.col("_ewm_gap") == 0), items, key, order, block)
+    slow_in = flagged.filter(F.col("_ewm_gap") == 1)
+    schema = fast.schema
+    specs = [(src, dst, float(span)) for src, dst, span in items]
+    names = [f.name for f in schema.fields]
+
+    def per_ticker(pdf):
+        pdf = pdf.sort_values(order, kind="mergesort")
+        for src, dst, span in specs:
+            pdf[dst] = pdf[src].astype("float64").ewm(span=span, adjust=False).mean()
+        return pdf[names]
+
+    slow = slow_in.groupBy(key).applyInPandas(per_ticker, schema)
+    return fast.unionByName(slow).drop("_ewm_gap")
+
+
+def _add_ewm_blocked(df: DataFrame, items, key: str = KEY, order: str = ORDER,
+                     block: int | None = None) -> DataFrame:
     """Add EMA columns: ``items`` = [(source_col, out_col, span), ...], computed together.
 
     y_0 = x_0, y_t = q y_{t-1} + a x_t. Rows are numbered t per ticker and cut into blocks of

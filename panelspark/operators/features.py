@@ -78,10 +78,10 @@ def add_rsi(df: DataFrame, window=14, key=KEY, order=ORDER) -> DataFrame:
 
 
 def add_macd(df: DataFrame, fast=12, slow=26, signal=9, key=KEY, order=ORDER,
-             block: int | None = None) -> DataFrame:
-    df = add_ewm(df, [("Close", "_ema_f", fast), ("Close", "_ema_s", slow)], key, order, block)
+             block: int | None = None, null_safe: bool = True) -> DataFrame:
+    df = add_ewm(df, [("Close", "_ema_f", fast), ("Close", "_ema_s", slow)], key, order, block, null_safe)
     df = df.withColumn("MACD", F.col("_ema_f") - F.col("_ema_s")).drop("_ema_f", "_ema_s")
-    return add_ewm(df, [("MACD", "MACD_signal", signal)], key, order, block)
+    return add_ewm(df, [("MACD", "MACD_signal", signal)], key, order, block, null_safe)
 
 
 def add_bollinger(df: DataFrame, window=20, n_std=2.0, key=KEY, order=ORDER) -> DataFrame:

@@ -45,6 +45,19 @@ def q(c: str) -> str:
 BAR_COLS = ['"Open"', '"High"', '"Low"', '"Close"', '"Volume"']
 
 
+def ew_y(y: str, w: str, x: str, a: float) -> str:
+    """Next EMA value with pandas' gap rule (adjust=False, ignore_na=False): the old weight
+    decays on every row, a new value renormalises; a null input keeps the value."""
+    q = 1.0 - a
+    return (f"CASE WHEN {y} IS NULL THEN {x} WHEN {x} IS NULL THEN {y} "
+            f"ELSE (({w} * {q}) * {y} + {a} * {x}) / (({w} * {q}) + {a}) END")
+
+
+def ew_w(y: str, w: str, x: str, a: float) -> str:
+    q = 1.0 - a
+    return f"CASE WHEN {y} IS NULL THEN CAST(1.0 AS DOUBLE) WHEN {x} IS NULL THEN {w} * {q} ELSE CAST(1.0 AS DOUBLE) END"
+
+
 def features_ctes(src: str, profile: str = "reference", horizon: int = 5,
                   threshold: float = 0.01, dropna: bool = True, groups=None) -> tuple[str, list[str]]:
     """CTE text ending in a CTE named ``feat`` (plus its feature column list, in order).
@@ -55,6 +68,8 @@ def features_ctes(src: str, profile: str = "reference", horizon: int = 5,
         groups = (["r_1d", "sma", "rsi", "macd", "boll", "range", "gap"] if profile == "reference"
                   else ["r_1d", "lag", "sma", "vix", "rsi", "macd", "boll", "obv", "range", "gap"])
     a12, a26, a9 = 2.0 / 13.0, 2.0 / 27.0, 2.0 / 10.0
+    macd_new = (f"(({ew_y('r.e12', 'r.w12', 'x.\"Close\"', a12)}) - "
+                f"({ew_y('r.e26', 'r.w26', 'x.\"Close\"', a26)}))")
     fwd = ", ".join(f'lead("Close", {k}) OVER ({W}) / NULLIF("Close", 0) - 1' for k in range(1, horizon + 1))
     best = f"greatest({fwd})" if horizon > 1 else fwd
     ctes = f"""
@@ -79,13 +94,14 @@ fc AS (
     lag("Return_1d", 3) OVER ({W}) AS "Return_1d_lag3", lag("Return_1d", 5) OVER ({W}) AS "Return_1d_lag5",
     sum(obv_step) OVER {RUN} AS "OBV"
   FROM fb),
-ema(ticker, t, e12, e26, sig) AS (
-  SELECT ticker, t, "Close", "Close", 0.0::DOUBLE FROM fa WHERE t = 0
+ema(ticker, t, e12, w12, e26, w26, sig, ws) AS (
+  SELECT ticker, t, CAST("Close" AS DOUBLE), CAST(1.0 AS DOUBLE), CAST("Close" AS DOUBLE), CAST(1.0 AS DOUBLE),
+    CAST(CASE WHEN "Close" IS NULL THEN NULL ELSE 0.0 END AS DOUBLE), CAST(1.0 AS DOUBLE) FROM fa WHERE t = 0
   UNION ALL
   SELECT x.ticker, x.t,
-    (1 - {a12}) * r.e12 + {a12} * x."Close",
-    (1 - {a26}) * r.e26 + {a26} * x."Close",
-    (1 - {a9}) * r.sig + {a9} * (((1 - {a12}) * r.e12 + {a12} * x."Close") - ((1 - {a26}) * r.e26 + {a26} * x."Close"))
+    {ew_y('r.e12', 'r.w12', 'x."Close"', a12)}, {ew_w('r.e12', 'r.w12', 'x."Close"', a12)},
+    {ew_y('r.e26', 'r.w26', 'x."Close"', a26)}, {ew_w('r.e26', 'r.w26', 'x."Close"', a26)},
+    {ew_y('r.sig', 'r.ws', macd_new, a9)}, {ew_w('r.sig', 'r.ws', macd_new, a9)}
   FROM ema r JOIN fa x ON x.ticker = r.ticker AND x.t = r.t + 1),
 fd AS (
   SELECT fc.*, e12 - e26 AS "MACD", sig AS "MACD_signal",

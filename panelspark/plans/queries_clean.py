@@ -94,3 +94,27 @@ def q_outlier_qc(spark, sf):
 SELECT ticker, "Date", {r(BARS)} FROM fl2 WHERE NOT drop_""")
 def q_clean_pipeline(spark, sf):
     return rounded(cl.cleaning_pipeline(tb.dirty_bars(spark, sf), tb.corp_events(spark, sf)))
+
+
+# ------------------------------------------------------------------ entry point A (flagship)
+
+def _processed_sql() -> str:
+    from panelspark.plans import oracle_sql as osql
+    from panelspark.plans.queries_core import plain
+    ctes, fcols = osql.features_ctes("cbars", "reference")
+    ictes, icols = osql.interactions_ctes(fcols)
+    flags = [c for c in icols if c in osql.INTERACTION_FLAGS]
+    dbl = [c for c in icols if c not in osql.INTERACTION_FLAGS]
+    return (f"WITH RECURSIVE {DEDUPED_CTE},\n{outlier_ctes('SELECT * FROM pr')},\n"
+            f'cbars AS (SELECT ticker, "Date", "Open", "High", "Low", "Close", "Volume" FROM fl2 WHERE NOT drop_),'
+            f"{ctes}{ictes}\n"
+            f'SELECT ticker, "Date", {r(BARS + fcols + dbl)}, "Target", {plain(flags)} FROM inter')
+
+
+@register("processed_panel", _processed_sql())
+def q_processed_panel(spark, sf):
+    """Entry A on dirty bars + corporate events: the whole data build of the reference."""
+    from panelspark.config import PanelConfig
+    from panelspark.plans.pipeline import data_build
+    conf = PanelConfig()
+    return rounded(data_build(tb.dirty_bars(spark, sf), tb.corp_events(spark, sf), conf))

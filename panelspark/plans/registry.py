@@ -51,4 +51,5 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from panelspark.plans import queries_clean, queries_core, queries_folds, queries_metrics  # noqa: F401
+    from panelspark.plans import (  # noqa: F401
+        queries_clean, queries_core, queries_folds, queries_metrics, queries_sources)

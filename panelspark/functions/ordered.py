@@ -20,7 +20,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -34,6 +34,11 @@ def numeric_key(df: DataFrame, col: str) -> Column:
         return F.unix_seconds(F.col(col)).cast("double")
     if isinstance(t, DateType):
         return F.datediff(F.col(col), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(t, StringType):
+        # First 6 UTF-8 bytes as a big-endian integer: non-decreasing in Spark's byte-wise
+        # string order, so buckets stay ordered; the full string orders rows inside a bucket.
+        head = F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 6))
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
     return F.col(col).cast("double")
 
 
@@ -55,22 +60,25 @@ def _bucketed(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
-                 n_buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Add ``cum_<c>``: sum of ``c`` over rows up to and including this one in key order.
+                 n_buckets: int | None = None, prefix: str = "cum_", by: list[str] | None = None) -> DataFrame:
+    """Add ``cum_<c>``: sum of ``c`` over rows up to and including this one in key order,
+    separately per ``by`` group (a small set of groups: classes, (column, repeat) pairs).
 
-    ``order_col`` must be unique (aggregate to distinct keys first)."""
+    ``order_col`` must be unique within a group (aggregate to distinct keys first). Bucket
+    totals per (group, bucket) hold at most groups x n_buckets rows, so they are broadcast."""
+    by = by or []
     spark = df.sparkSession
     nb = n_buckets or default_buckets(spark)
     d = _bucketed(df, order_col, nb)
     border = -F.col("_bkt") if descending else F.col("_bkt")
     d = d.withColumn("_bo", border)
-    totals = d.groupBy("_bo").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    wt = Window.orderBy("_bo").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
-    offs = totals.select("_bo", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
-                                  for c in sum_cols])
-    d = d.join(F.broadcast(offs), "_bo")
+    totals = d.groupBy(*by, "_bo").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    wt = Window.partitionBy(*by).orderBy("_bo").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select(*by, "_bo", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
+                                       for c in sum_cols])
+    d = d.join(F.broadcast(offs), [*by, "_bo"])
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    wi = Window.partitionBy("_bo").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    wi = Window.partitionBy(*by, "_bo").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(wi) for c in sum_cols})
     return d.drop("_bkt", "_bo", *[f"_o_{c}" for c in sum_cols])
 
@@ -163,3 +171,67 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int
         a, b = at[lo], at[hi]
         out.append(a if frac == 0 or a == b else a + (b - a) * frac)
     return out
+
+
+def order_statistics_multi(df: DataFrame, cols: list[str], ranks: list[int] | dict,
+                           n_buckets: int | None = None) -> dict[str, dict[int, float]]:
+    """Values at 0-based ranks of each column's sorted non-null values, computed per column
+    with the bucketed running counts; ``ranks`` is one list for all columns or a dict per
+    column. Only the requested order statistics reach the driver."""
+    if not cols:
+        return {}
+    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
+                                            for c in cols])).alias("_s")).select("_s._c", "_s._v")
+    vals = (stacked.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    targets = ranks if isinstance(ranks, dict) else {c: list(ranks) for c in cols}
+    targets = {c: sorted(set(int(r) for r in t)) for c, t in targets.items() if t}
+    out: dict = {c: {} for c in cols}
+    if not targets:
+        return out
+    cum = running_sums(vals, "_v", ["_n"], False, n_buckets, by=["_c"])
+    tmap = F.create_map(*[x for c, t in targets.items()
+                          for x in (F.lit(c), F.array(*[F.lit(v).cast("bigint") for v in t]))])
+    prev = F.col("cum__n") - F.col("_n")
+    hits = cum.select("_c", "_v", F.explode(F.filter(F.coalesce(tmap[F.col("_c")], F.array().cast("array<bigint>")),
+                                                     lambda r: (r >= prev) & (r < F.col("cum__n")))).alias("_r"))
+    for row in hits.collect():
+        out[row["_c"]][int(row["_r"])] = float(row["_v"])
+    return out
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          n_buckets: int | None = None) -> dict[str, list]:
+    """``exact_quantiles`` for many columns in one set of jobs (columns stacked and ranked
+    per column): linear interpolation between the order statistics at floor/ceil of
+    (n - 1) p, the numpy / DuckDB ``quantile_cont`` definition."""
+    if not cols:
+        return {}
+    ns = {r["_c"]: r["n"] for r in
+          df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
+                                        for c in cols])).alias("_s")).select("_s._c", "_s._v")
+          .filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plans = {}
+    for c in cols:
+        n = ns.get(c)
+        if not n:
+            continue
+        plan = []
+        for p in probs:
+            pos = (n - 1) * float(p)
+            lo = int(math.floor(pos))
+            plan.append((lo, min(lo + 1, n - 1), pos - lo))
+        plans[c] = plan
+    out = {c: [None for _ in probs] for c in cols}
+    if not plans:
+        return out
+    stats = order_statistics_multi(df, list(plans), {c: [r for lo, hi, _ in pl for r in (lo, hi)]
+                                                     for c, pl in plans.items()}, n_buckets)
+    for c, plan in plans.items():
+        at = stats[c]
+        res = []
+        for lo, hi, frac in plan:
+            a, b = at[lo], at[hi]
+            res.append(a if frac == 0 or a == b else a + (b - a) * frac)
+        out[c] = res
+    return out

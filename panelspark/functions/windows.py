@@ -107,36 +107,60 @@ def ewm_plan(spans) -> tuple[int, dict]:
 
 
 def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER,
-            block: int | None = None, null_safe: bool = True) -> DataFrame:
-    """EMA columns for ``items`` = [(source_col, out_col, span), ...].
-
-    Tickers whose sources are null-free take the blocked window form below (JVM only). With
-    ``null_safe``, tickers that hold a null source value (a null close survives cleaning) are
-    routed by a per-ticker window flag to a grouped pandas helper with the reference's gap
-    rule; a ticker's group is bounded by its calendar length.
+            block: int | None = None, null_safe: bool = True, then=None) -> DataFrame:
+    """EMA columns for ``items`` = [(source_col, out_col, span), ...], optionally followed by
+    a ``then`` chain: a list of (derived_col, Column-builder, [(src, out, span)]) steps that
+    compute a column from earlier outputs and smooth it (MACD -> signal).
+
+    Tickers whose sources are null-free take the blocked window form (JVM only). With
+    ``null_safe``, tickers holding a null source value (a null close survives cleaning) are
+    routed once, by a per-ticker window flag, to a grouped pandas helper with the reference's
+    gap rule; a ticker's group is bounded by its calendar length.
     """
+    then = then or []
+
+    def blocked(d):
+        d = _add_ewm_blocked(d, items, key, order, block)
+        for col, build, more in then:
+            d = _add_ewm_blocked(d.withColumn(col, build()), more, key, order, block)
+        return d
+
     if not null_safe:
-        return _add_ewm_blocked(df, items, key, order, block)
+        return blocked(df)
     any_null = F.lit(False)
     for src, _, _ in items:
         any_null = any_null | F.col(src).isNull()
     flagged = df.withColumn("_ewm_gap", F.max(any_null.cast("int")).over(Window.partitionBy(key)))
-    fast = _add_ewm_blocked(flagged.filter(F.col("_ewm_gap") == 0), items, key, order, block)
+    fast = blocked(flagged.filter(F.col("_ewm_gap") == 0))
     slow_in = flagged.filter(F.col("_ewm_gap") == 1)
     schema = fast.schema
-    specs = [(src, dst, float(span)) for src, dst, span in items]
     names = [f.name for f in schema.fields]
+    first = [(src, dst, float(span)) for src, dst, span in items]
+    pandas_chain = [(col, [(s2, d2, float(sp)) for s2, d2, sp in more]) for col, _, more in then]
 
     def per_ticker(pdf):
         pdf = pdf.sort_values(order, kind="mergesort")
-        for src, dst, span in specs:
+        for src, dst, span in first:
             pdf[dst] = pdf[src].astype("float64").ewm(span=span, adjust=False).mean()
+        for col, more in pandas_chain:
+            pdf[col] = PANDAS_DERIVED[col](pdf)
+            for src, dst, span in more:
+                pdf[dst] = pdf[src].astype("float64").ewm(span=span, adjust=False).mean()
         return pdf[names]
 
+    missing = [c for c, _ in pandas_chain if c not in PANDAS_DERIVED]
+    if missing:
+        raise ValueError(f"no pandas form for derived columns {missing}")
     slow = slow_in.groupBy(key).applyInPandas(per_ticker, schema)
     return fast.unionByName(slow).drop("_ewm_gap")
 
 
+# pandas forms of the derived columns used in EMA chains (same arithmetic as the Column form).
+PANDAS_DERIVED = {
+    "MACD": lambda pdf: pdf["_ema_f"] - pdf["_ema_s"],
+}
+
+
 def _add_ewm_blocked(df: DataFrame, items, key: str = KEY, order: str = ORDER,
                      block: int | None = None) -> DataFrame:
     """Add EMA columns: ``items`` = [(source_col, out_col, span), ...], computed together.

@@ -79,9 +79,10 @@ def add_rsi(df: DataFrame, window=14, key=KEY, order=ORDER) -> DataFrame:
 
 def add_macd(df: DataFrame, fast=12, slow=26, signal=9, key=KEY, order=ORDER,
              block: int | None = None, null_safe: bool = True) -> DataFrame:
-    df = add_ewm(df, [("Close", "_ema_f", fast), ("Close", "_ema_s", slow)], key, order, block, null_safe)
-    df = df.withColumn("MACD", F.col("_ema_f") - F.col("_ema_s")).drop("_ema_f", "_ema_s")
-    return add_ewm(df, [("MACD", "MACD_signal", signal)], key, order, block, null_safe)
+    """MACD = EMA_fast - EMA_slow, MACD_signal = EMA_signal(MACD); one routing split for all."""
+    df = add_ewm(df, [("Close", "_ema_f", fast), ("Close", "_ema_s", slow)], key, order, block, null_safe,
+                 then=[("MACD", lambda: F.col("_ema_f") - F.col("_ema_s"), [("MACD", "MACD_signal", signal)])])
+    return df.drop("_ema_f", "_ema_s")
 
 
 def add_bollinger(df: DataFrame, window=20, n_std=2.0, key=KEY, order=ORDER) -> DataFrame:
@@ -126,6 +127,9 @@ def make_features(bars: DataFrame, features=None, horizon: int = 5, threshold: f
     """the feature dispatcher. Output columns: key, order, OHLCV, features, Target."""
     groups = active_groups(features, profile)
     df = bars
+    # MACD first: its null-gap routing splits the plan in two, and only the bars sit below it.
+    if "macd" in groups:
+        df = add_macd(df, 12, 26, 9, key, order, ewm_block)
     if "r_1d" in groups:
         df = add_return_1d(df, key, order)
     if "lag" in groups and "Return_1d" in df.columns:
@@ -136,8 +140,6 @@ def make_features(bars: DataFrame, features=None, horizon: int = 5, threshold: f
         df = add_volatility(df, 20, "Return_1d", key, order)
     if "rsi" in groups:
         df = add_rsi(df, 14, key, order)
-    if "macd" in groups:
-        df = add_macd(df, 12, 26, 9, key, order, ewm_block)
     if "boll" in groups:
         df = add_bollinger(df, 20, 2.0, key, order)
     if "obv" in groups:
@@ -147,6 +149,12 @@ def make_features(bars: DataFrame, features=None, horizon: int = 5, threshold: f
     if "gap" in groups:
         df = add_gap(df)
     df = add_target(df, horizon, threshold, key, order)
+    # Reference column order: MACD columns sit between RSI and the Bollinger bands.
+    cols = [c for c in df.columns if c not in ("MACD", "MACD_signal")]
+    if "MACD" in df.columns:
+        at = next((i for i, c in enumerate(cols) if c in ("BB_upper", "OBV", "HL_range", "CO_gap", "Target")), len(cols))
+        cols = cols[:at] + ["MACD", "MACD_signal"] + cols[at:]
+    df = df.select(*cols)
     if dropna:
         df = df.na.drop("any")
     return df

@@ -55,8 +55,16 @@ def score_counts(ev: DataFrame, by: list[str] | None = None, score_col: str = "s
         F.count_if(F.col(y_col) == 1).alias("pos"), F.count_if(F.col(y_col) != 1).alias("neg"))
 
 
-def _cumulative(sc: DataFrame, by: list[str], score_col: str = "score") -> DataFrame:
-    """tps/fps = positives/negatives with score >= this score (descending scan)."""
+def _cumulative(sc: DataFrame, by: list[str], score_col: str = "score", scan: str = "window") -> DataFrame:
+    """tps/fps = positives/negatives with score >= this score (descending scan).
+
+    ``scan="window"``: many bounded groups (tickers) -> a window per group. ``"bucketed"``: few
+    large groups -> bucketed running sums per group, no group lands in one task."""
+    if by and scan == "bucketed":
+        out = running_sums(sc, score_col, ["pos", "neg"], descending=True, by=by)
+        out = out.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
+        tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        return out.join(F.broadcast(tot), by)
     if by:
         w = Window.partitionBy(*by).orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
         out = sc.withColumns({"tps": F.sum("pos").over(w), "fps": F.sum("neg").over(w)})
@@ -71,19 +79,20 @@ def _cumulative(sc: DataFrame, by: list[str], score_col: str = "score") -> DataF
     return out
 
 
-def roc_auc(ev: DataFrame, by: list[str] | None = None, score_col: str = "score", y_col: str = "y") -> DataFrame:
+def roc_auc(ev: DataFrame, by: list[str] | None = None, score_col: str = "score", y_col: str = "y",
+            scan: str = "window") -> DataFrame:
     """E5: trapezoidal AUC with tied scores grouped: sum(neg * (tps_before + pos/2)) / (P N)."""
     by = by or []
-    cum = _cumulative(score_counts(ev, by, score_col, y_col), by, score_col)
+    cum = _cumulative(score_counts(ev, by, score_col, y_col), by, score_col, scan)
     term = F.col("neg") * (F.col("tps") - F.col("pos") + F.col("pos") / F.lit(2.0))
     return cum.groupBy(*by).agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc"))
 
 
 def average_precision(ev: DataFrame, by: list[str] | None = None, score_col: str = "score",
-                      y_col: str = "y") -> DataFrame:
+                      y_col: str = "y", scan: str = "window") -> DataFrame:
     """AP = sum over distinct scores (desc) of (pos/P) * precision; 0 without positives."""
     by = by or []
-    cum = _cumulative(score_counts(ev, by, score_col, y_col), by, score_col)
+    cum = _cumulative(score_counts(ev, by, score_col, y_col), by, score_col, scan)
     prec = F.col("tps") / (F.col("tps") + F.col("fps"))
     ap = F.coalesce(F.try_divide(F.sum(F.col("pos") * prec), F.first("P")), F.lit(0.0))
     return cum.groupBy(*by).agg(ap.alias("average_precision"))

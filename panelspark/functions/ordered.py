@@ -173,22 +173,39 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int
     return out
 
 
+# Largest per-column value count for which one task may sort a column's values (checked).
+SMALL_EXACT = 1_000_000
+
+
 def order_statistics_multi(df: DataFrame, cols: list[str], ranks: list[int] | dict,
-                           n_buckets: int | None = None) -> dict[str, dict[int, float]]:
-    """Values at 0-based ranks of each column's sorted non-null values, computed per column
-    with the bucketed running counts; ``ranks`` is one list for all columns or a dict per
-    column. Only the requested order statistics reach the driver."""
+                           n_buckets: int | None = None, max_count: int | None = None) -> dict[str, dict[int, float]]:
+    """Values at 0-based ranks of each column's sorted non-null values; ``ranks`` is one list
+    for all columns or a dict per column. Only the requested order statistics reach the
+    driver. Columns with at most SMALL_EXACT values (``max_count``, checked by the caller or
+    counted here) are sorted in one task per column; larger ones use the bucketed running
+    counts, so no task ever holds an unbounded column."""
     if not cols:
         return {}
     stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
                                             for c in cols])).alias("_s")).select("_s._c", "_s._v")
-    vals = (stacked.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    stacked = stacked.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     targets = ranks if isinstance(ranks, dict) else {c: list(ranks) for c in cols}
     targets = {c: sorted(set(int(r) for r in t)) for c, t in targets.items() if t}
     out: dict = {c: {} for c in cols}
     if not targets:
         return out
+    if max_count is None:
+        max_count = stacked.groupBy("_c").count().agg(F.max("count")).collect()[0][0] or 0
+    if max_count <= SMALL_EXACT:
+        tmap = F.create_map(*[x for c, t in targets.items()
+                              for x in (F.lit(c), F.array(*[F.lit(v + 1) for v in t]))])
+        picked = (stacked.groupBy("_c").agg(F.sort_array(F.collect_list("_v")).alias("_a"))
+                  .select("_c", F.explode(F.coalesce(tmap[F.col("_c")], F.array().cast("array<int>"))).alias("_r"), "_a")
+                  .select("_c", (F.col("_r") - 1).alias("_r"), F.element_at("_a", F.col("_r")).alias("_v")))
+        for row in picked.collect():
+            out[row["_c"]][int(row["_r"])] = float(row["_v"])
+        return out
+    vals = stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_sums(vals, "_v", ["_n"], False, n_buckets, by=["_c"])
     tmap = F.create_map(*[x for c, t in targets.items()
                           for x in (F.lit(c), F.array(*[F.lit(v).cast("bigint") for v in t]))])
@@ -226,7 +243,8 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     if not plans:
         return out
     stats = order_statistics_multi(df, list(plans), {c: [r for lo, hi, _ in pl for r in (lo, hi)]
-                                                     for c, pl in plans.items()}, n_buckets)
+                                                     for c, pl in plans.items()}, n_buckets,
+                                   max_count=max(ns.values()))
     for c, plan in plans.items():
         at = stats[c]
         res = []

@@ -58,19 +58,20 @@ def permutation_importance(model: mo.FittedPanelModel, test: DataFrame, cols: li
     metric = me.roc_auc if scoring == "roc_auc" else me.average_precision
     key = "proba" if model.kind == "forest" else "score"
     base = metric(base_sc.select(F.col(label).alias("y"), F.col(key).alias("score"))).collect()[0][0]
-    donors = ids.select("_id", *[F.col(c).alias(f"_d_{c}") for c in cols])
-    variants = []
-    for rep in range(n_repeats):
-        a, b = _coprime(n, seed + 7919 * rep), (seed * 31 + rep * 104729) % max(n, 1)
-        perm = ids.withColumn("_pid", (F.col("_id") * F.lit(a) + F.lit(b)) % F.lit(n))
-        j = perm.join(donors.withColumnRenamed("_id", "_pid"), "_pid").withColumn("_rep", F.lit(rep))
-        variants.append(j)
-    stacked = variants[0]
-    for v in variants[1:]:
-        stacked = stacked.unionByName(v)
+    donors = ids.select(F.col("_id").alias("_pid"), *[F.col(c).alias(f"_d_{c}") for c in cols])
+    ab = [(_coprime(n, seed + 7919 * rep), (seed * 31 + rep * 104729) % max(n, 1)) for rep in range(n_repeats)]
+    reps = F.explode(F.array(*[F.struct(F.lit(rep).alias("r"), F.lit(a).cast("bigint").alias("a"),
+                                         F.lit(b).cast("bigint").alias("b")) for rep, (a, b) in enumerate(ab)]))
+    perm = (ids.select("*", reps.alias("_p"))
+            .withColumns({"_rep": F.col("_p.r"), "_pid": (F.col("_id") * F.col("_p.a") + F.col("_p.b")) % F.lit(n)})
+            .drop("_p"))
+    stacked = perm.join(donors, "_pid")
     stacked = stacked.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in cols])))
     stacked = stacked.withColumns({c: F.when(F.col("_col") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in cols})
-    sc = model.transform(stacked.drop(*[f"_d_{c}" for c in cols]))
+    # Written once: the join plus the per-column swaps would otherwise sit under the model's
+    # projection in every downstream plan.
+    stacked = stacked.drop(*[f"_d_{c}" for c in cols]).checkpoint()
+    sc = model.transform(stacked)
     ev = sc.select("_col", "_rep", F.col(label).alias("y"), F.col(key).alias("score"))
     # few groups, each as large as the test set: bucketed scan instead of a per-group window
     per = metric(ev, by=["_col", "_rep"], scan="bucketed")

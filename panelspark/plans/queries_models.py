@@ -21,6 +21,7 @@ from panelspark.plans import oracle_sql as osql
 from panelspark.plans.queries_core import R6, r
 from panelspark.plans.queries_folds import H, TRAIN_CUTOFF, VALIDATE_CUTOFF, fold_ctes, panel_ctes
 from panelspark.plans.registry import register, rounded
+from panelspark.session import wide_plan_settings
 from panelspark.sources import testbeds as tb
 
 SVC_GRID = [0.01, 1.0]
@@ -28,6 +29,7 @@ SGD_GRID = [1e-4, 1e-2]
 
 
 def _panel(spark, sf):
+    wide_plan_settings(spark)
     return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference").checkpoint()
 
 

@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Model plans carry many aliased feature expressions (impute, scale, per-column swaps);
+    # inferring constraints through them grows combinatorially. Results do not depend on it.
+    "spark.sql.constraintPropagation.enabled": "false",
     # Checkpoint files of a finished job are removed once their DataFrame is garbage.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -37,6 +40,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM; the 1g default is too small.
+        builder = builder.config("spark.driver.memory", os.environ.get("PANELSPARK_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -65,3 +71,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def wide_plan_settings(spark: SparkSession) -> None:
+    """Apply the settings wide model plans need to a session this package did not create."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference only processes batch frames (no watermarks, windows over event time, state
+or late data), so no Structured Streaming operator is built. Batch operators here are
+DataFrame transforms and can be applied inside ``foreachBatch`` if bars arrive as a stream.
+"""

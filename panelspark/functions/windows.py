@@ -131,12 +131,19 @@ def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER,
     for src, _, _ in items:
         any_null = any_null | F.col(src).isNull()
     flagged = df.withColumn("_ewm_gap", F.max(any_null.cast("int")).over(Window.partitionBy(key)))
-    fast = blocked(flagged.filter(F.col("_ewm_gap") == 0))
-    slow_in = flagged.filter(F.col("_ewm_gap") == 1)
-    schema = fast.schema
-    names = [f.name for f in schema.fields]
+    # Every row takes the blocked form; rows of flagged tickers are then overwritten by the
+    # pandas results, joined back on (ticker, Date). A left join keeps the ticker partitioning
+    # of the main branch, so the windows after it need no new exchange (a union would not).
+    fast = blocked(flagged)
+    outs = [dst for _, dst, _ in items] + [c for c, _, _ in then] + [d for _, _, more in then for _, d, _ in more]
+    srcs = list(dict.fromkeys(src for src, _, _ in items))
+    slow_in = flagged.filter(F.col("_ewm_gap") == 1).select(key, order, *srcs)
+    schema = ", ".join([f"`{key}` string", f"`{order}` timestamp_ntz"] + [f"`_s_{c}` double" for c in outs])
     first = [(src, dst, float(span)) for src, dst, span in items]
     pandas_chain = [(col, [(s2, d2, float(sp)) for s2, d2, sp in more]) for col, _, more in then]
+    missing = [c for c, _ in pandas_chain if c not in PANDAS_DERIVED]
+    if missing:
+        raise ValueError(f"no pandas form for derived columns {missing}")
 
     def per_ticker(pdf):
         pdf = pdf.sort_values(order, kind="mergesort")
@@ -146,13 +153,16 @@ def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER,
             pdf[col] = PANDAS_DERIVED[col](pdf)
             for src, dst, span in more:
                 pdf[dst] = pdf[src].astype("float64").ewm(span=span, adjust=False).mean()
-        return pdf[names]
+        res = pdf[[key, order] + outs].copy()
+        res.columns = [key, order] + [f"_s_{c}" for c in outs]
+        return res
 
-    missing = [c for c, _ in pandas_chain if c not in PANDAS_DERIVED]
-    if missing:
-        raise ValueError(f"no pandas form for derived columns {missing}")
     slow = slow_in.groupBy(key).applyInPandas(per_ticker, schema)
-    return fast.unionByName(slow).drop("_ewm_gap")
+    if df.schema[order].dataType.typeName() != "timestamp_ntz":
+        slow = slow.withColumn(order, F.col(order).cast(df.schema[order].dataType))
+    j = fast.join(slow, [key, order], "left")
+    fixed = {c: F.when(F.col("_ewm_gap") == 1, F.col(f"_s_{c}")).otherwise(F.col(c)) for c in outs}
+    return j.withColumns(fixed).drop("_ewm_gap", *[f"_s_{c}" for c in outs])
 
 
 # pandas forms of the derived columns used in EMA chains (same arithmetic as the Column form).

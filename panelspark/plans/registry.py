@@ -20,7 +20,14 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        def run(spark, sf_dir, _fn=fn):
+            tune_session(spark)
+            return _fn(spark, sf_dir)
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -38,6 +45,18 @@ def round6(c):
     return F.round(c + F.lit(NUDGE), 6) + F.lit(0.0)
 
 
+def tune_session(spark) -> None:
+    """Apply the runtime SQL settings the plans are tuned for to any session (the caller may
+    have built its own). Only settings that change plans, never results."""
+    from panelspark.session import SESSION_DEFAULTS
+    for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.constraintPropagation.enabled"):
+        spark.conf.set(k, SESSION_DEFAULTS[k])
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        from panelspark.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every floating column; ``+ 0.0`` folds -0.0 into 0.0."""
     cols = []

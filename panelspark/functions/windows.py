@@ -98,11 +98,11 @@ def ewm_plan(spans) -> tuple[int, dict]:
     """Pick one block length B for all spans and the number J of earlier blocks to carry.
 
     With q = 1 - 2/(span+1), factors q^-p inside a block stay below e^300 and the weight of
-    blocks older than J is below e^-40 (far under double precision).
+    blocks older than J is below e^-40 (far under double precision): J = ceil(40 / (B d)).
     """
     decays = {s: -math.log(1.0 - 2.0 / (s + 1.0)) for s in spans}
     b = int(max(8, min(4096, math.floor(300.0 / max(decays.values())))))
-    carry = {s: int(math.ceil(40.0 / (b * d))) + 1 for s, d in decays.items()}
+    carry = {s: max(1, int(math.ceil(40.0 / (b * d)))) for s, d in decays.items()}
     return b, carry
 
 
@@ -189,7 +189,7 @@ def _add_ewm_blocked(df: DataFrame, items, key: str = KEY, order: str = ORDER,
     B, carry = ewm_plan(spans)
     if block is not None:
         B = block
-        carry = {s: int(math.ceil(40.0 / (B * -math.log(1.0 - 2.0 / (s + 1.0))))) + 1 for s in spans}
+        carry = {s: max(1, int(math.ceil(40.0 / (B * -math.log(1.0 - 2.0 / (s + 1.0)))))) for s in spans}
     w = by_key(key, order)
     wb = Window.partitionBy(key, "_ewm_b").orderBy(order)
     tmp = ["_ewm_t", "_ewm_b", "_ewm_p"]

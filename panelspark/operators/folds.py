@@ -143,7 +143,9 @@ def fold_bounds(df: DataFrame, validate_cutoff: str, horizon: int = 5, embargo_d
     """K7: walk-forward folds per ticker, as inclusive date bounds after purge and embargo."""
     emb = horizon if embargo_days is None else int(embargo_days)
     ins, _ = insample_test(df, validate_cutoff, horizon, key, order)
-    ins = ins.select(key, order)
+    # The purged in-sample keys feed four branches (ranges, block stream, train markers,
+    # row numbers); written once so the panel's window stack is not recomputed per branch.
+    ins = ins.select(key, order).checkpoint()
     ranges = ins.groupBy(key).agg(F.min(order).alias("start"), F.max(order).alias("end"))
     blocks = calendar_blocks(ranges, fold_len, key)
 

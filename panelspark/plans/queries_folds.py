@@ -22,8 +22,9 @@ PANEL_SQL_CACHE: dict[str, tuple[str, list[str], list[str]]] = {}
 
 
 def processed_panel(spark, sf):
-    """The processed panel of the reference default config on calm bars."""
-    return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference")
+    """The processed panel of the reference default config on calm bars, written once (the
+    fold queries read it in several branches)."""
+    return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference").checkpoint()
 
 
 def panel_ctes() -> tuple[str, list[str], list[str]]:
@@ -221,3 +222,16 @@ def q_dropna_xy(spark, sf):
     panel = processed_panel(spark, sf)
     b = fo.trim_folds(bounds(spark, sf, "expanding", panel))
     return rounded(fo.dropna_features(fo.global_fold_pairs(panel, b, dropna=False)))
+
+
+def _fwt_sql():
+    base, fcols, icols = panel_ctes()
+    flags = [c for c in icols if c in osql.INTERACTION_FLAGS]
+    dbl = fcols + [c for c in icols if c not in osql.INTERACTION_FLAGS]
+    return f'{base}\nSELECT ticker AS "__ticker__", "Date", {r(dbl)}, {plain(flags)}, "Target" FROM inter'
+
+
+@register("frame_with_target", _fwt_sql())
+def q_frame_with_target(spark, sf):
+    """Features + Target with the ticker as ``__ticker__`` (Date stays a column)."""
+    return rounded(fo.frame_with_target(processed_panel(spark, sf)))

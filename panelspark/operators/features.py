@@ -87,7 +87,9 @@ def add_macd(df: DataFrame, fast=12, slow=26, signal=9, key=KEY, order=ORDER,
 
 def add_bollinger(df: DataFrame, window=20, n_std=2.0, key=KEY, order=ORDER) -> DataFrame:
     w = by_key(key, order)
-    df = df.withColumns({"_ma": roll_mean("Close", w, window), "_sd": roll_std("Close", w, window)})
+    # The band centre is the same trailing mean as SMA_<window>; reuse it when present.
+    ma = F.col(f"SMA_{window}") if f"SMA_{window}" in df.columns else roll_mean("Close", w, window)
+    df = df.withColumns({"_ma": ma, "_sd": roll_std("Close", w, window)})
     df = df.withColumns({"BB_upper": F.col("_ma") + F.lit(n_std) * F.col("_sd"),
                          "BB_lower": F.col("_ma") - F.lit(n_std) * F.col("_sd")})
     return df.withColumn("BB_width", safe_div(F.col("BB_upper") - F.col("BB_lower"), F.col("_ma"))).drop(

@@ -36,7 +36,7 @@ def run(df):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(f"local[{cpus}]", int(cpus) * 2)
+    spark = get_spark(f"local[{cpus}]", int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     conf = PanelConfig(validate_cutoff="2000-01-01", train_cutoff="1999-01-01")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.ordered import exact_quantiles, rolling_mean_global, row_numbers, running_sums
+from panelspark.functions.ordered import exact_quantiles_multi, rolling_mean_global, row_numbers, running_sums
 
 # Fixed values of the reference: sigmoid clip, quantile grid, bins, gains epsilon.
 SIGMOID_CLIP = 50.0
@@ -141,7 +141,7 @@ def pr_curve(ev: DataFrame, score_col: str = "score", y_col: str = "y") -> DataF
 def sweep_grid(ev: DataFrame, score_col: str = "score") -> list[float]:
     """Grid = 99 linear quantiles of the scores plus 0.0, distinct and sorted (<= 100 values,
     a bounded fitted parameter)."""
-    vals = [v for v in exact_quantiles(ev, score_col, SWEEP_QUANTILES) if v is not None]
+    vals = [v for v in exact_quantiles_multi(ev, [score_col], SWEEP_QUANTILES)[score_col] if v is not None]
     return sorted(set(float(v) for v in vals) | {0.0})
 
 
@@ -249,7 +249,7 @@ def calibration(ev: DataFrame, n_bins: int = CALIBRATION_BINS, proba_col: str =
     Empty bins do not appear. Returns nothing when no probabilities exist."""
     probs = [i / n_bins for i in range(n_bins + 1)]
     valid = ev.filter(F.col(proba_col).isNotNull() & ~F.isnan(proba_col))
-    e = exact_quantiles(valid, proba_col, probs)
+    e = exact_quantiles_multi(valid, [proba_col], probs)[proba_col]
     if e[0] is None:
         return ev.sparkSession.createDataFrame([], "bin int, mean_predicted double, fraction_positive double, count bigint")
     inner = F.array(*[F.lit(float(v)) for v in e[1:-1]])
@@ -293,10 +293,20 @@ def rolling_accuracy(ev: DataFrame, window: int = ROLLING_WINDOW, pred_col: str
     return out.select("Date", "ticker", "rolling_accuracy")
 
 
+def auc_and_ap(ev: DataFrame, score_col: str = "score", y_col: str = "y") -> DataFrame:
+    """E5 + E7 from one cumulative table: one row with roc_auc and average_precision."""
+    cum = _cumulative(score_counts(ev, None, score_col, y_col), [], score_col)
+    term = F.col("neg") * (F.col("tps") - F.col("pos") + F.col("pos") / F.lit(2.0))
+    prec = F.col("tps") / (F.col("tps") + F.col("fps"))
+    return cum.agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc"),
+                   F.coalesce(F.try_divide(F.sum(F.col("pos") * prec), F.first("P")), F.lit(0.0))
+                   .alias("average_precision"))
+
+
 def full_stats(ev: DataFrame) -> DataFrame:
     """One row with roc_auc, average_precision, best_youden_thr, best_f1_thr."""
     best = best_thresholds(sweep_thresholds(ev))
-    return roc_auc(ev).select(
-        "roc_auc", average_precision(ev).select("average_precision").scalar().alias("average_precision"),
+    return auc_and_ap(ev).select(
+        "roc_auc", "average_precision",
         best.select("best_youden_thr").scalar().alias("best_youden_thr"),
         best.select("best_f1_thr").scalar().alias("best_f1_thr"))

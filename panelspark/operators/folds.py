@@ -139,19 +139,32 @@ def _marker_counts(rows: DataFrame, markers: DataFrame, key: str, order: str,
 
 def fold_bounds(df: DataFrame, validate_cutoff: str, horizon: int = 5, embargo_days: int | None = None,
                 fold_len: str = "365D", fold_mode: str = "expanding", sliding_train_years: int | None = None,
-                min_train: int = 50, min_val: int = 5, key: str = KEY, order: str = ORDER) -> DataFrame:
-    """K7: walk-forward folds per ticker, as inclusive date bounds after purge and embargo."""
+                min_train: int = 50, min_val: int = 5, key: str = KEY, order: str = ORDER,
+                align: str = "ordinal") -> DataFrame:
+    """K7: walk-forward folds per ticker, as inclusive date bounds after purge and embargo.
+
+    ``align="ordinal"`` (the reference): blocks start at each ticker's own first in-sample
+    date, so fold k may cover different dates per ticker. ``align="calendar"``: every ticker
+    uses the same edges over the global in-sample range, so fold k is one calendar window."""
     emb = horizon if embargo_days is None else int(embargo_days)
     ins, _ = insample_test(df, validate_cutoff, horizon, key, order)
     # The purged in-sample keys feed four branches (ranges, block stream, train markers,
     # row numbers); written once so the panel's window stack is not recomputed per branch.
     ins = ins.select(key, order).checkpoint()
     ranges = ins.groupBy(key).agg(F.min(order).alias("start"), F.max(order).alias("end"))
-    blocks = calendar_blocks(ranges, fold_len, key)
+    if align == "calendar":
+        g_start = ranges.select(F.min("start")).scalar()
+        g_end = ranges.select(F.max("end")).scalar()
+        block_ranges = ranges.select(key, g_start.alias("start"), g_end.alias("end"))
+    elif align == "ordinal":
+        block_ranges = ranges
+    else:
+        raise ValueError("align must be 'ordinal' or 'calendar'")
+    blocks = calendar_blocks(block_ranges, fold_len, key)
 
     # Validation rows: the rows of each block, last `horizon` of them purged.
     edge_marks = blocks.select(key, F.col("vs").alias(order), "k", F.lit("vs").alias("tag"))
-    end_marks = ranges.select(key, F.col("end").alias(order), F.lit(None).cast("int").alias("k"),
+    end_marks = block_ranges.select(key, F.col("end").alias(order), F.lit(None).cast("int").alias("k"),
                               F.lit("end").alias("tag"))
     w_rows = by_key(key, order)
     stream = (ins.withColumns({"_is_row": F.lit(1), "k": F.lit(None).cast("int"), "tag": F.lit(None).cast("string")})

@@ -41,5 +41,5 @@ def load_processed(spark: SparkSession, path: str, conf: PanelConfig | None = No
 def fold_collection(panel: DataFrame, conf: PanelConfig) -> DataFrame:
     """Entry B stages 1-3: fold bounds per ticker, trimmed to the common fold count."""
     b = fo.fold_bounds(panel, conf.validate_cutoff, conf.horizon, conf.embargo_days, conf.fold_len,
-                       conf.fold_mode, conf.sliding_train_years)
+                       conf.fold_mode, conf.sliding_train_years, align=conf.align)
     return fo.trim_folds(b)

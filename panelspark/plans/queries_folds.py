@@ -36,7 +36,7 @@ def panel_ctes() -> tuple[str, list[str], list[str]]:
     return PANEL_SQL_CACHE["ref"]
 
 
-def fold_ctes(mode: str = "expanding", fold_len: str = "365D") -> str:
+def fold_ctes(mode: str = "expanding", fold_len: str = "365D", align: str = "ordinal") -> str:
     """CTEs insp (purged in-sample rows), blocks, fo (fold bounds), ft (trimmed bounds)."""
     base, _, _ = panel_ctes()
     if fold_len == "365D":
@@ -55,11 +55,16 @@ tc1 AS (SELECT b.ticker, b.k, count(i.rn) AS c_start FROM blocks b
   LEFT JOIN insp i ON i.ticker = b.ticker AND i."Date" < b.vs - INTERVAL {H} DAY - INTERVAL {SLIDING_YEARS} YEAR
   GROUP BY b.ticker, b.k),
 tc AS (SELECT * FROM tc0 JOIN tc1 USING (ticker, k)),"""
+    if align == "calendar":
+        rng = ('rng AS (SELECT ticker, s, e FROM (SELECT DISTINCT ticker FROM insp), '
+               '(SELECT min("Date") AS s, max("Date") AS e FROM insp) WHERE s < e)')
+    else:
+        rng = 'rng AS (SELECT ticker, min("Date") AS s, max("Date") AS e FROM insp GROUP BY ticker HAVING min("Date") < max("Date"))'
     return f"""{base},
 ins0 AS (SELECT ticker, "Date", row_number() OVER (PARTITION BY ticker ORDER BY "Date") AS rn,
   count(*) OVER (PARTITION BY ticker) AS n FROM inter WHERE "Date" < TIMESTAMP '{VALIDATE_CUTOFF}'),
 insp AS (SELECT ticker, "Date", rn FROM ins0 WHERE rn <= n - {H}),
-rng AS (SELECT ticker, min("Date") AS s, max("Date") AS e FROM insp GROUP BY ticker HAVING min("Date") < max("Date")),
+{rng},
 edges AS ({edges} UNION SELECT ticker, s FROM rng UNION SELECT ticker, e FROM rng),
 blocks AS (SELECT * FROM (SELECT ticker, CAST(row_number() OVER (PARTITION BY ticker ORDER BY edge) - 1 AS INTEGER) AS k,
   edge AS vs, lead(edge) OVER (PARTITION BY ticker ORDER BY edge) AS ve FROM edges) WHERE ve IS NOT NULL),
@@ -81,10 +86,10 @@ ft AS (SELECT * FROM fo WHERE fold < (SELECT min(c) FROM (SELECT count(*) AS c F
 FOLD_COLS = "ticker, fold, train_lo, train_hi, val_lo, val_hi, n_train, n_val"
 
 
-def bounds(spark, sf, mode="expanding", panel=None):
+def bounds(spark, sf, mode="expanding", panel=None, align="ordinal"):
     p = panel if panel is not None else processed_panel(spark, sf)
     return fo.fold_bounds(p, VALIDATE_CUTOFF, H, None, "365D", mode,
-                          SLIDING_YEARS if mode == "sliding" else None)
+                          SLIDING_YEARS if mode == "sliding" else None, align=align)
 
 
 # ------------------------------------------------------------------ K1-K4
@@ -153,6 +158,12 @@ def q_folds_sliding(spark, sf):
     return bounds(spark, sf, "sliding")
 
 
+@register("folds_calendar", f"{fold_ctes('expanding', align='calendar')}\nSELECT {FOLD_COLS} FROM fo")
+def q_folds_calendar(spark, sf):
+    """K7 with common calendar block edges (D6 option)."""
+    return bounds(spark, sf, "expanding", align="calendar")
+
+
 @register("folds_trimmed", f"{fold_ctes('expanding')}\nSELECT {FOLD_COLS} FROM ft")
 def q_folds_trimmed(spark, sf):
     return fo.trim_folds(bounds(spark, sf, "expanding"))

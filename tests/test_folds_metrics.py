@@ -29,6 +29,20 @@ def test_fold_bounds_properties(spark):
     assert counts.nunique() == 1 and counts.iloc[0] == b.groupby("ticker")["fold"].count().min()
 
 
+def test_calendar_alignment_shares_windows(spark):
+    panel = fx.make_features(tb.calm_bars(spark, SF001)).checkpoint()
+    b = fo.fold_bounds(panel, "2000-01-01", 5, align="calendar").toPandas()
+    assert len(b) > 0
+    # every validation range of one block index lies inside one common 365-day window
+    starts = panel.filter(F.col("Date") < F.lit("2000-01-01").cast("timestamp_ntz")).agg(F.min("Date")).first()[0]
+    for r in b.itertuples():
+        k_lo = (r.val_lo - starts).days // 365
+        k_hi = (r.val_hi - starts).days // 365
+        assert k_lo == k_hi
+    for r in b.itertuples():
+        assert r.train_hi < r.val_lo and r.n_train >= 50 and r.n_val >= 5
+
+
 def test_insample_has_unique_keys(spark):
     panel = fx.build_processed_panel(tb.calm_bars(spark, SF001)).checkpoint()
     b = fo.trim_folds(fo.fold_bounds(panel, "2000-01-01", 5))

@@ -120,8 +120,10 @@ def roc_curve(ev: DataFrame, drop_intermediate: bool = True, score_col: str = "s
     curve = pts.select(F.col("idx").cast("bigint").alias("point"),
                        F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
                        F.try_divide(F.col("tps"), F.col("P")).alias("tpr"), "threshold")
-    origin = curve.limit(1).select(F.lit(0).cast("bigint").alias("point"), F.lit(0.0).alias("fpr"),
-                                   F.lit(0.0).alias("tpr"), F.lit(None).cast("double").alias("threshold"))
+    # one constant row (a global aggregate always yields exactly one row)
+    origin = curve.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.lit(0).cast("bigint").alias("point"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
+        F.lit(None).cast("double").alias("threshold"))
     return origin.unionByName(curve)
 
 
@@ -131,8 +133,8 @@ def pr_curve(ev: DataFrame, score_col: str = "score", y_col: str = "y") -> DataF
     prec = F.coalesce(F.try_divide(F.col("tps"), F.col("tps") + F.col("fps")), F.lit(0.0))
     rec = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(F.col("tps") / F.col("P"))
     curve = cum.select(F.col(score_col).alias("threshold"), prec.alias("precision"), rec.alias("recall"))
-    end = curve.limit(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
-                                F.lit(0.0).alias("recall"))
+    end = curve.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return curve.unionByName(end)
 
 

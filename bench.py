@@ -25,6 +25,7 @@ from panelspark.operators import metrics as me  # noqa: E402
 from panelspark.plans.pipeline import data_build  # noqa: E402
 from panelspark.session import get_spark  # noqa: E402
 from panelspark.sources import testbeds as tb  # noqa: E402
+from panelspark.session import materialize  # noqa: E402
 
 FULL = ("r_1d", "lag", "sma", "vix", "rsi", "macd", "boll", "obv", "range", "gap")
 
@@ -55,7 +56,7 @@ def main():
         run(data_build(tb.dirty_bars(spark, sf_dir), tb.corp_events(spark, sf_dir), conf))
 
     def q_folds():
-        panel = fx.make_features(tb.wide_bars(spark, sf_dir), profile="reference").checkpoint()
+        panel = fx.make_features(tb.wide_bars(spark, sf_dir), profile="reference").transform(materialize)
         b = fo.trim_folds(fo.fold_bounds(panel, conf.validate_cutoff, conf.horizon))
         run(fo.global_fold_pairs(panel, b))
 
@@ -64,7 +65,7 @@ def main():
         s = f.select("Date", "ticker", F.col("Target").alias("y"),
                      (F.round(F.lit(1.0) - F.col("SMA_ratio"), 6) + F.lit(0.0)).alias("score"))
         s = s.withColumn("proba", me.sigmoid(F.lit(50.0) * F.col("score")))
-        ev = me.build_eval_frame(s).checkpoint()
+        ev = me.build_eval_frame(s).transform(materialize)
         run(me.full_stats(ev))
         run(me.roc_curve(ev))
         run(me.gains(ev))

@@ -16,6 +16,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from panelspark.session import materialize
 
 KEY = "ticker"
 ORDER = "Date"
@@ -130,7 +131,14 @@ def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER,
     any_null = F.lit(False)
     for src, _, _ in items:
         any_null = any_null | F.col(src).isNull()
-    flagged = df.withColumn("_ewm_gap", F.max(any_null.cast("int")).over(Window.partitionBy(key)))
+    # The input is written once: the pandas branch reads only the flagged tickers' key and
+    # source columns, a different (pruned) plan, so without this its whole upstream (cleaning,
+    # aggregation, joins) would run a second time.
+    base = df.transform(materialize)
+    # A pruned scan of the written table; without any null source the routing is skipped.
+    if base.filter(any_null).limit(1).count() == 0:
+        return blocked(base)
+    flagged = base.withColumn("_ewm_gap", F.max(any_null.cast("int")).over(Window.partitionBy(key)))
     # Every row takes the blocked form; rows of flagged tickers are then overwritten by the
     # pandas results, joined back on (ticker, Date). A left join keeps the ticker partitioning
     # of the main branch, so the windows after it need no new exchange (a union would not).

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.windows import KEY, ORDER, by_key
+from panelspark.session import materialize
 
 NON_FEATURE_COLS = ("Target", "Open", "High", "Low", "Close", "Volume")
 
@@ -150,7 +151,7 @@ def fold_bounds(df: DataFrame, validate_cutoff: str, horizon: int = 5, embargo_d
     ins, _ = insample_test(df, validate_cutoff, horizon, key, order)
     # The purged in-sample keys feed four branches (ranges, block stream, train markers,
     # row numbers); written once so the panel's window stack is not recomputed per branch.
-    ins = ins.select(key, order).checkpoint()
+    ins = ins.select(key, order).transform(materialize)
     ranges = ins.groupBy(key).agg(F.min(order).alias("start"), F.max(order).alias("end"))
     if align == "calendar":
         g_start = ranges.select(F.min("start")).scalar()

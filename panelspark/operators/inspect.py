@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.ordered import order_statistics_multi, row_numbers
 from panelspark.operators import metrics as me
 from panelspark.operators import models as mo
+from panelspark.session import materialize
 
 TK = mo.TICKER_COL
 
@@ -52,7 +53,7 @@ def permutation_importance(model: mo.FittedPanelModel, test: DataFrame, cols: li
     the bijection id -> (a_r id + b_r) mod N (gcd(a_r, N) = 1) and fetches the donor row with
     an equi-join on the permuted id. (column, repeat) variants are stacked and scored in one
     transform; metrics are computed per (column, repeat) group."""
-    ids = row_numbers(test, [(TK, False), ("Date", False)], "_id").withColumn("_id", F.col("_id") - 1).checkpoint()
+    ids = row_numbers(test, [(TK, False), ("Date", False)], "_id").withColumn("_id", F.col("_id") - 1).transform(materialize)
     n = ids.count()
     base_sc = model.transform(ids)
     metric = me.roc_auc if scoring == "roc_auc" else me.average_precision
@@ -70,7 +71,7 @@ def permutation_importance(model: mo.FittedPanelModel, test: DataFrame, cols: li
     stacked = stacked.withColumns({c: F.when(F.col("_col") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in cols})
     # Written once: the join plus the per-column swaps would otherwise sit under the model's
     # projection in every downstream plan.
-    stacked = stacked.drop(*[f"_d_{c}" for c in cols]).checkpoint()
+    stacked = stacked.drop(*[f"_d_{c}" for c in cols]).transform(materialize)
     sc = model.transform(stacked)
     ev = sc.select("_col", "_rep", F.col(label).alias("y"), F.col(key).alias("score"))
     # few groups, each as large as the test set: bucketed scan instead of a per-group window

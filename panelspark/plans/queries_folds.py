@@ -12,6 +12,7 @@ from panelspark.plans import oracle_sql as osql
 from panelspark.plans.queries_core import REF_COLS, plain, r
 from panelspark.plans.registry import register, rounded
 from panelspark.sources import testbeds as tb
+from panelspark.session import materialize
 
 TRAIN_CUTOFF = "1999-01-01"
 VALIDATE_CUTOFF = "2000-01-01"
@@ -24,7 +25,7 @@ PANEL_SQL_CACHE: dict[str, tuple[str, list[str], list[str]]] = {}
 def processed_panel(spark, sf):
     """The processed panel of the reference default config on calm bars, written once (the
     fold queries read it in several branches)."""
-    return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference").checkpoint()
+    return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference").transform(materialize)
 
 
 def panel_ctes() -> tuple[str, list[str], list[str]]:

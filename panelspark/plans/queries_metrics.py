@@ -14,9 +14,10 @@ from panelspark.plans import oracle_sql as osql
 from panelspark.plans.queries_core import R6, r
 from panelspark.plans.registry import register, round6, rounded
 from panelspark.sources import testbeds as tb
+from panelspark.session import materialize
 
 
-def scored(spark, sf, materialize: bool = True):
+def scored(spark, sf, write_once: bool = True):
     """The eval frame, written once to the checkpoint folder: every metric reads it several
     times (quantiles, scalar totals, curves), as the reference keeps its frame in memory."""
     f = fx.make_features(tb.calm_bars(spark, sf), profile="reference")
@@ -24,7 +25,7 @@ def scored(spark, sf, materialize: bool = True):
     s = f.select("Date", "ticker", F.col("Target").alias("y"), score.alias("score"))
     s = s.withColumn("proba", me.sigmoid(F.lit(50.0) * F.col("score")))
     ev = me.build_eval_frame(s, "score", "proba", "y", True)
-    return ev.checkpoint() if materialize else ev
+    return ev.transform(materialize) if write_once else ev
 
 
 def eval_sql(body: str) -> str:

@@ -23,6 +23,7 @@ from panelspark.plans.queries_folds import H, TRAIN_CUTOFF, VALIDATE_CUTOFF, fol
 from panelspark.plans.registry import register, rounded
 from panelspark.session import wide_plan_settings
 from panelspark.sources import testbeds as tb
+from panelspark.session import materialize
 
 SVC_GRID = [0.01, 1.0]
 SGD_GRID = [1e-4, 1e-2]
@@ -30,19 +31,19 @@ SGD_GRID = [1e-4, 1e-2]
 
 def _panel(spark, sf):
     wide_plan_settings(spark)
-    return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference").checkpoint()
+    return fx.build_processed_panel(tb.calm_bars(spark, sf), profile="reference").transform(materialize)
 
 
 def _pairs(spark, sf):
     panel = _panel(spark, sf)
     b = fo.trim_folds(fo.fold_bounds(panel, VALIDATE_CUTOFF, H))
-    return fo.global_fold_pairs(panel, b).checkpoint()
+    return fo.global_fold_pairs(panel, b).transform(materialize)
 
 
 def _ins_test(spark, sf):
     panel = _panel(spark, sf)
     b = fo.trim_folds(fo.fold_bounds(panel, VALIDATE_CUTOFF, H))
-    return fo.global_insample_and_test(panel, b, VALIDATE_CUTOFF, H).checkpoint()
+    return fo.global_insample_and_test(panel, b, VALIDATE_CUTOFF, H).transform(materialize)
 
 
 def _num_cols(df):
@@ -264,7 +265,7 @@ def q_final_test(spark, sf):
     it = _ins_test(spark, sf)
     cols = _num_cols(it.drop("role"))
     _, ev = se.final_test(it, cols, _forest(), "forest", scale=False)
-    ev = ev.checkpoint()
+    ev = ev.transform(materialize)
     return rounded(me.full_stats(ev).withColumn("n_test", F.lit(ev.count())))
 
 

@@ -76,3 +76,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def wide_plan_settings(spark: SparkSession) -> None:
     """Apply the settings wide model plans need to a session this package did not create."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
+def materialize(df):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but computes the plan once (an eager
+    ``checkpoint()`` of an unpersisted plan computes it twice: once for the count, once for the
+    write) and the re-read gets column pruning and predicate pushdown."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex[:16]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

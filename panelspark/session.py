@@ -56,21 +56,37 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is. Only when it is
-    unset (local tests) a scratch folder is created.
+    The setting names a folder that driver and executors share, and is used as is. Where it is
+    unset, a scratch folder is made in local mode only (tests, bench): on a cluster a
+    machine-local folder would lose the data, so that raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="panelspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
+        path = tempfile.mkdtemp(prefix="panelspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
+    """A path under this application's folder inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/panelspark-{spark.sparkContext.applicationId}/{name}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table of this application. Call it once no returned DataFrame is
+    needed any more: lazy results may still read their tables."""
+    delete_path(spark, scratch_path(spark, ""))
 
 
 def wide_plan_settings(spark: SparkSession) -> None:

@@ -4,9 +4,9 @@ Two zstandard dictionaries, one for ordinary and one for toxic text. What a wind
 costs under each is compared: the toxic dictionary saves bytes where a window holds toxic wording.
 Each holds the word stems of its own trained dictionary that its class uses far more often than
 the other, followed by the same trained content, so that common wording costs the same in both.
-How much a saving means is calibrated on labelled documents kept out of dictionary training: the
-log odds of each saving, summed over a document's windows, and its largest one go through a
-logistic threshold.
+How much a saving means is calibrated on documents kept out of dictionary training (two folds): the
+log odds of each saving, summed over a document's windows, the largest saving, and the number and share of windows that save
+much go through a logistic threshold.
 """
 
 from __future__ import annotations
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 from panelspark.llm.common import fraction_hash, ids
 
 WINDOW = 96  # bytes
+LONGEST = 24  # bytes of a stem
 MIN_MATCH = 4
 DICT_BYTES = 100 << 10  # trained per class
 COMMON_BYTES = 100 << 10  # of the ordinary one, at the end of both
 GRAM = 5  # bytes; wording is compared between the classes by runs of so many
-LEAST, RATIO = 0.03, 20.0  # share of its class's documents that hold it, and times the other's share
-FIT_TOXIC, FIT_ORDINARY = 4_000, 8_000  # labelled documents learned from, by least id hash
-FIT_BYTES = 24 << 20  # their texts on the driver
+LEAST, RATIO = 0.02, 10.0  # share of its class's documents that hold it, and times the other's share
+FIT_TOXIC, FIT_ORDINARY = 4_000, 6_000  # labelled documents learned from, by least id hash
+FIT_BYTES = 20 << 20  # their texts on the driver
 SAVING = 12  # savings are counted from -SAVING to SAVING
+HIT = 3  # a window that the toxic dictionary saves so many bytes of is a hit
 THRESHOLD = 0.7
 NOT_WORD = re.compile(rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -111,14 +113,17 @@ def own_words(content: bytes, own: list[bytes], other: list[bytes]) -> list[byte
         found.update(w for w in NOT_WORD.split(content[s:e]) if len(w) >= GRAM - 1)
     stems = {w[:k] for w in found for k in range(GRAM - 1, len(w) + 1)}
     mine_of, theirs_of = _stem_counts(own, stems), _stem_counts(other, stems)
-    out: dict[bytes, None] = {}
-    for w in sorted(found):
-        marked = [w[:k] for k in range(GRAM - 1, len(w) + 1)
-                  if mine_of[w[:k]] >= max(LEAST * len(own), 3)
-                  and mine_of[w[:k]] / len(own) >= RATIO * (theirs_of[w[:k]] + 1) / (len(other) + 1)]
-        if marked:  # the longest stem that most words of the shortest one share
-            out[max((x for x in marked if 2 * mine_of[x] >= mine_of[marked[0]]), key=len)] = None
-    return list(out)
+    short: set[bytes] = set()
+    for w in found:
+        short.update([w[:k] for k in range(GRAM - 1, len(w) + 1)
+                      if mine_of[w[:k]] >= max(LEAST * len(own), 3)
+                      and mine_of[w[:k]] / len(own) >= RATIO * (theirs_of[w[:k]] + 1) / (len(other) + 1)][:1])
+    longer: Counter = Counter()
+    for d in own:
+        longer.update({w[:k] for w in set(NOT_WORD.split(d)) for j in range(GRAM - 1, len(w) + 1) if w[:j] in short
+                       for k in range(j, min(len(w), LONGEST) + 1)})
+    # of each stem the longest form that most of its documents share
+    return sorted({max((x for x in longer if x.startswith(w) and 2 * longer[x] >= longer[w]), key=lambda x: (len(x), x)) for w in short})
 
 
 def _stem_counts(docs: list[bytes], stems: set[bytes]) -> Counter:
@@ -135,39 +140,47 @@ class Model:
     ordinary: bytes
     toxic: bytes
     odds: np.ndarray  # log odds by saving, from -SAVING
-    weights: np.ndarray  # logistic: bias, summed odds, largest saving
+    weights: np.ndarray  # logistic: bias, summed odds, largest saving, hits (log and share of windows)
 
     def compressors(self):
         return compressor(self.ordinary), compressor(self.toxic)
 
     def features(self, d: np.ndarray) -> np.ndarray:
-        return np.array([1.0, self.odds[d + SAVING].sum() if len(d) else 0.0, max(d.max(initial=0), 0)])
+        hits = float((d >= HIT).sum())
+        return np.array([1.0, self.odds[d + SAVING].sum() if len(d) else 0.0, max(d.max(initial=0), 0),
+                         np.log1p(hits), hits / max(len(d), 1)])
 
     def score(self, d: np.ndarray) -> float:
         z = float(self.features(d) @ self.weights)
         return 1.0 / (1.0 + np.exp(-min(max(z, -500.0), 500.0)))
 
 
-def fit_texts(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
-    """Model of labelled texts (None unless both classes have some). Every other text trains the
-    dictionaries, the rest calibrates."""
-    toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
-    if not toxic or not ordinary:
-        return None
-    part = lambda docs, k: [d for d in docs if zlib.crc32(d) % 2 == k] or docs
-    t, o = part(toxic, 0), part(ordinary, 0)
-    td, od = train(t), train(o)
+def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+    """Content of the ordinary and of the toxic dictionary."""
+    td, od = train(toxic), train(ordinary)
     mark = lambda ws: b" " + b" ".join(ws) + b" "
     base = od[-COMMON_BYTES:]
-    m = Model(mark(own_words(od, o, t)) + base, mark(own_words(td, t, o)) + base, np.zeros(2 * SAVING + 1), np.zeros(3))
-    cs = m.compressors()
-    both = [[savings(d, *cs) for d in part(docs, 1)] for docs in (ordinary, toxic)]
-    hist = [np.bincount(np.concatenate([*ds, [SAVING]]) + SAVING, minlength=2 * SAVING + 1) + 0.5 for ds in
-            ([d for d in cls] for cls in both)]
+    return mark(own_words(od, ordinary, toxic)) + base, mark(own_words(td, toxic, ordinary)) + base
+
+
+def fit_texts(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
+    """Model of labelled texts (None unless both classes have some). The dictionaries are trained on
+    all texts; what savings mean is calibrated in two folds, each with dictionaries of the other."""
+    classes = [list(dict.fromkeys(ordinary)), list(dict.fromkeys(toxic))]
+    if not all(classes):
+        return None
+    part = lambda docs, k: [d for d in docs if zlib.crc32(d) % 2 == k]
+    seen: list[list[np.ndarray]] = [[], []]
+    for k in (0, 1):
+        learned = [part(docs, k) or docs for docs in classes]
+        cs = [compressor(c) for c in dictionaries(learned[1], learned[0])]
+        for label, docs in enumerate(classes):
+            seen[label] += [savings(d, *cs) for d in part(docs, 1 - k)]
+    m = Model(*dictionaries(classes[1], classes[0]), np.zeros(2 * SAVING + 1), np.zeros(5))
+    hist = [np.bincount(np.concatenate([*ds, [SAVING]]) + SAVING, minlength=2 * SAVING + 1) + 0.5 for ds in seen]
     m.odds = np.log(hist[1] / hist[1].sum()) - np.log(hist[0] / hist[0].sum())
-    x = np.array([m.features(d) for cls in both for d in cls])
-    y = np.repeat([0.0, 1.0], [len(both[0]), len(both[1])])
-    m.weights = _logistic(x, y)
+    x = np.array([m.features(d) for ds in seen for d in ds])
+    m.weights = _logistic(x, np.repeat([0.0, 1.0], [len(seen[0]), len(seen[1])]))
     return m
 
 

@@ -24,8 +24,8 @@ from panelspark.llm.tokens import Encoder, in_order
 SIZE = 1024
 END_ID = 0
 SENTENCE, MIDDLE, OPEN = 1.0, 4.0, 4.0  # penalty of a cut after a sentence, inside one; cost of a window
-APART = 4  # sentence ends nearer than this to the last cut place are left out
-STEP = 16  # cut places inside a longer sentence
+APART = 8  # sentence ends nearer than this to the last cut place are left out
+STEP = 32  # cut places inside a longer sentence
 BLOCK = 1 << 18  # ids planned at once
 SHARD_BITS = 36  # sequence_id = task << SHARD_BITS | number
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,13 @@ CHUNKS = ("shard int, chunk int, dict_hash string, item_bytes int, doc_ids array
 
 _RUN = re.compile(r"\s\s|[^\S \n]")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-MEMO = 300_000  # pieces whose ids a worker remembers
+MEMO = 600_000  # pieces whose ids a worker remembers, the first it meets
+
+
+#: Letters that byte-level tokenizers write for bytes: printable ones stand for themselves, the
+#: others follow from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
 def tokenizer_path(name: str) -> str:
@@ -44,7 +52,9 @@ def tokenizer_path(name: str) -> str:
 
 class Encoder:
     """Token ids of whole texts, equal to encoding each text at once, but faster: texts are cut at
-    single spaces and line ends, which no token crosses, and ids of pieces are remembered."""
+    single spaces and line ends, which no token crosses, ids of pieces are remembered, and a piece of
+    letters alone goes to the tokenizer's model without its normaliser and splitter, which would
+    leave it as it is."""
 
     _open: dict[str, Encoder] = {}
 
@@ -55,10 +65,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.type = np.dtype("<u2" if self.code == "H" else "<u4")
         # a tokenizer that drops white space encodes "a b" as "a" + "b", others as "a" + " b"
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
-        self.memo: dict[str, bytes] = {}
+        self.lowers = self._whole("A") == self._whole("a")
+        self.memo: dict[str, bytes] = {}  # pieces as they stand
+        self.spaced: dict[str, bytes] = {}  # pieces that a space precedes, without it
 
     @classmethod
     def open(cls, path: str) -> Encoder:
@@ -66,37 +80,64 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def pieces(self, text: str) -> list[str]:
-        if self.drops_space:
-            return text.replace("\n", " ").split(" ")
-        if _RUN.search(text):
-            first, *rest = _LONE_SPACE.split(text)
-            return [first, *(" " + p for p in rest)]
-        out: list[str] = []
-        for i, line in enumerate(text.split("\n")):
-            if i:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            if first:
-                out.append(first)
-            out.extend(" " + p for p in rest)
-        return out
+    def _whole(self, piece: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str, space: str) -> bytes:
+        if not word.isascii():
+            if self.lowers and (word != word.lower() or not unicodedata.is_normalized("NFC", word)):
+                return self._whole(space + word)
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(("Ġ" if space else "") + word)]).tobytes()
+
+    def _piece(self, p: str) -> bytes:
+        ids_ = self.spaced.get(p[1:]) if p[:1] == " " else self.memo.get(p)
+        if ids_ is None:
+            core = p.rstrip(".,!?")
+            if core is not p and core[-1:].isalpha() and len(core) < len(p):
+                ids_ = self._piece(core) + self._piece(p[len(core) :])  # letters never join punctuation
+            else:
+                word = p[1:] if p[:1] == " " else p
+                ids_ = self._letters(word, p[: len(p) - len(word)]) if word.isalpha() else self._whole(p)
+            if len(self.memo) + len(self.spaced) < MEMO and len(p) <= 64:
+                if p[:1] == " ":
+                    self.spaced[p[1:]] = ids_
+                else:
+                    self.memo[p] = ids_
+        return ids_
+
+    def _line(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of which all but the first stand after a space."""
+        got = list(map(self.spaced.get, pieces))
+        got[0] = self._piece(pieces[0]) if pieces[0] else b""
+        if None in got:
+            for i, x in enumerate(got):
+                if x is None:
+                    got[i] = self._piece(" " + pieces[i])
+        return got
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian integers of ``self.type``."""
         if not text:
             return b""
-        pieces, memo = self.pieces(text), self.memo
-        new = [p for p in dict.fromkeys(pieces) if p not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo = {p: memo[p] for p in set(pieces) if p in memo}
-                self.memo = {}
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                memo[p] = np.array(e.ids, dtype=self.type).tobytes()
-                if len(p) <= 64:
-                    self.memo[p] = memo[p]
-        return b"".join([memo[p] for p in pieces])
+        if self.lowers:
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z alone
+        if self.drops_space:
+            pieces = text.replace("\n", " ").split(" ")
+            got = list(map(self.memo.get, pieces))
+            if None in got:
+                for i, x in enumerate(got):
+                    if x is None:
+                        got[i] = self._piece(pieces[i])
+            return b"".join(got)
+        if _RUN.search(text):
+            return b"".join(self._line(_LONE_SPACE.split(text)))
+        got = []
+        for i, line in enumerate(text.split("\n")):
+            if i:
+                got.append(self._piece("\n"))
+            got += self._line(line.split(" "))
+        return b"".join(got)
 
 
 def crc(ids_: np.ndarray) -> int:

@@ -33,7 +33,8 @@ LEVEL = 3
 CHUNKS = ("shard int, chunk int, dict_hash string, item_bytes int, doc_ids array<bigint>, offsets array<bigint>, "
           "counts array<bigint>, before bigint, n_tokens bigint, min_id bigint, max_id bigint, payload binary")
 
-_RUN = re.compile(r"\s\s|[^\S \n]")
+#: White space but the single space and line feed, as characters and pairs.
+_ODD_SPACE = ["  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 MEMO = 600_000  # pieces whose ids a worker remembers, the first it meets
 
@@ -130,7 +131,7 @@ class Encoder:
                     if x is None:
                         got[i] = self._piece(pieces[i])
             return b"".join(got)
-        if _RUN.search(text):
+        if any(map(text.__contains__, _ODD_SPACE)):
             return b"".join(self._line(_LONE_SPACE.split(text)))
         got = []
         for i, line in enumerate(text.split("\n")):

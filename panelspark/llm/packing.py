@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ BLOCK = 1 << 18  # ids planned at once
 SHARD_BITS = 36  # sequence_id = task << SHARD_BITS | number
 
 
+@lru_cache
 def sentence_ends(path: str) -> np.ndarray:
     """By id: whether the token ends a sentence or a line."""
     t = Encoder.open(path).tokenizer

@@ -36,7 +36,7 @@ CHUNKS = ("shard int, chunk int, dict_hash string, item_bytes int, doc_ids array
 #: White space but the single space and line feed, as characters and pairs.
 _ODD_SPACE = ["  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-MEMO = 600_000  # pieces whose ids a worker remembers, the first it meets
+MEMO = 900_000  # pieces whose ids a worker remembers, the first it meets
 
 
 #: Letters that byte-level tokenizers write for bytes: printable ones stand for themselves, the

@@ -23,7 +23,7 @@ from panelspark.llm.common import ids, materialize
 from panelspark.llm.text import LOWER, TERM, U64, ranges, slices, span_hashes, words
 
 WINDOW = 10
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
 BLOCK_WINDOWS = 100_000  # test phrases looked up in one pass over the index
 
 INDEX = ("doc_ids array<bigint>, text_hashes array<bigint>, n_words array<bigint>, first array<bigint>, "

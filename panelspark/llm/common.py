@@ -37,6 +37,13 @@ def ids(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(column))
 
 
+def rows(batch: pa.RecordBatch, *columns: str, size: int = 256):
+    """Tuples of Python values, a few rows at a time: a batch may hold 64 MB of text."""
+    for lo in range(0, batch.num_rows, size):
+        part = batch.slice(lo, size)
+        yield from zip(*(ids(part, c).to_pylist() for c in columns))
+
+
 # Counts over the whole corpus into a fixed number of slots. Each task sums its own rows into one
 # array and emits it in compressed pieces; pieces of one number meet and are summed; the driver
 # receives slots x 8 bytes, whatever the input's size.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from panelspark.llm.common import ids
+from panelspark.llm.common import rows
 from panelspark.llm.tokens import Encoder, in_order
 
 SIZE = 1024
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE) ->
         enc = Encoder.open(path)
         packer = Packer(sentence_ends(path), size, first=TaskContext.get().partitionId() << SHARD_BITS)
         for b in batches:
-            for d, t in zip(ids(b, "doc_id").to_pylist(), ids(b, "text").to_pylist()):
+            for d, t in rows(b, "doc_id", "text"):
                 yield from packer.add(d, np.append(np.frombuffer(enc.encode(t), dtype=enc.type), enc.type.type(end_id)))
         yield packer.flush()
 

@@ -24,15 +24,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import count_slots, ids, materialize, release
+from panelspark.llm.common import count_slots, ids, materialize, release, rows
 from panelspark.llm.text import ranges, slices, sliding_min, span_hashes, squeeze, windows, words
 
 K = 35
 M = 4
 SLOT_BITS = 20  # 2 ** SLOT_BITS minimiser slots are counted (8 bytes each on the driver); more for > 1 TB
-BUCKET = 40_000  # super-k-mers in a bucket, about 12 MB of text
+BUCKET = 25_000  # super-k-mers in a bucket, about 8 MB of text
 RUN = 1_024  # windows in one super-k-mer at most
-CHUNK = 8 << 20  # bytes of text whose equal super-k-mers are joined before they travel
+CHUNK = 4 << 20  # bytes of text whose equal super-k-mers are joined before they travel
 
 
 def super_kmers(buf: np.ndarray, offsets: np.ndarray, k: int, m: int):
@@ -93,11 +93,11 @@ def _strings(batches, shared, k, m):
             yield found, n
 
 
-def _pack(rows: list[tuple[bytes, int, bool]], z: zstandard.ZstdCompressor) -> bytes:
-    sizes = np.array([len(x) for x, _, _ in rows], dtype="<u4").tobytes()
-    times = np.array([n for _, n, _ in rows], dtype="<u4").tobytes()
-    hot = np.array([h for *_, h in rows], dtype="u1").tobytes()
-    return len(rows).to_bytes(4, "little") + z.compress(sizes + times + hot + b"".join(x for x, _, _ in rows))
+def _pack(strings: list[tuple[bytes, int, bool]], z: zstandard.ZstdCompressor) -> bytes:
+    sizes = np.array([len(x) for x, _, _ in strings], dtype="<u4").tobytes()
+    times = np.array([n for _, n, _ in strings], dtype="<u4").tobytes()
+    hot = np.array([h for *_, h in strings], dtype="u1").tobytes()
+    return len(strings).to_bytes(4, "little") + z.compress(sizes + times + hot + b"".join(x for x, _, _ in strings))
 
 
 def _unpack(blob: bytes):
@@ -175,9 +175,9 @@ def repeated_windows(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_B
         _, of, offset = window_hashes(cold, k) if cold else (None, np.zeros(0, np.int64), np.zeros(0, np.int64))
         of, offset = of[flag], offset[flag]
         edge = np.searchsorted(of, np.arange(len(cold) + 1))
-        rows = [(*name(cold[i]), offset[edge[i] : edge[i + 1]].tolist(), None, None) for i in np.unique(of).tolist()]
-        rows += [(*name(x), None, x, t) for x, (t, h) in merged.items() if h]
-        s1, s2, flags, text, times = zip(*rows) if rows else [[]] * 5
+        found = [(*name(cold[i]), offset[edge[i] : edge[i + 1]].tolist(), None, None) for i in np.unique(of).tolist()]
+        found += [(*name(x), None, x, t) for x, (t, h) in merged.items() if h]
+        s1, s2, flags, text, times = zip(*found) if found else [[]] * 5
         return pa.table({"s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()), "flags": pa.array(flags, pa.list_(pa.int32())),
                          "hot": pa.array(text, pa.binary()), "times": pa.array(times, pa.int64())})
 
@@ -255,10 +255,13 @@ def dedup(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_BITS, bucket
 
     def run(batches):
         for b in batches:
-            rows = [kept_words(t, r, k) for t, r in zip(ids(b, "_llm_text").to_pylist(), ids(b, "_runs").to_pylist())]
+            out = []
+            for t, r in rows(b, "_llm_text", "_runs", size=64):
+                n, gone, kept = kept_words(t, r, k)
+                out.append((n, gone, hashlib.sha256(kept).hexdigest()))
             yield pa.RecordBatch.from_arrays([
-                ids(b, "_llm_id"), pa.array([n for n, _, _ in rows], pa.int64()), pa.array([r for _, r, _ in rows], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for *_, x in rows], pa.string())],
+                ids(b, "_llm_id"), pa.array([n for n, _, _ in out], pa.int64()), pa.array([r for _, r, _ in out], pa.int64()),
+                pa.array([x for *_, x in out], pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return _with_runs(docs, k, m, bits, bucket).select("_llm_id", "_llm_text", "_runs").mapInArrow(
@@ -275,7 +278,7 @@ def without_repeats(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_BI
     def run(batches):
         for b in batches:
             new = []
-            for t, r in zip(ids(b, "_llm_text").to_pylist(), ids(b, "_runs").to_pylist()):
+            for t, r in rows(b, "_llm_text", "_runs", size=64):
                 new.append(kept_words(t, r, k)[2].decode() if r else t)
             yield pa.RecordBatch.from_arrays([ids(b, "_llm_row"), pa.array(new, pa.string())], names=["_llm_row", "_llm_new"])
 

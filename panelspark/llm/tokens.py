@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import ids
+from panelspark.llm.common import ids, rows
 
 END_ID = 2
 DICT_BYTES = 64 << 10
@@ -36,7 +36,7 @@ CHUNKS = ("shard int, chunk int, dict_hash string, item_bytes int, doc_ids array
 #: White space but the single space and line feed, as characters and pairs.
 _ODD_SPACE = ["  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-MEMO = 900_000  # pieces whose ids a worker remembers, the first it meets
+MEMO = 700_000  # pieces whose ids a worker remembers, the first it meets
 
 
 #: Letters that byte-level tokenizers write for bytes: printable ones stand for themselves, the
@@ -162,7 +162,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int = END_ID, fit_rows:
         enc = Encoder.open(path)
         for b in batches:
             tail = np.array([end_id], dtype=enc.type).tobytes()
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([enc.encode(t) + tail for t in ids(b, "text").to_pylist()], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"ids": pa.array([enc.encode(t) + tail for t, in rows(b, "text")], pa.binary())})
 
     named = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # fit_rows ids
     samples, size = [], 0
@@ -208,7 +208,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, fit_row
             return pa.RecordBatch.from_pydict(row, schema=ARROW)
 
         for b in batches:
-            for d, t in zip(ids(b, "doc_id").to_pylist(), ids(b, "text").to_pylist()):
+            for d, t in rows(b, "doc_id", "text"):
                 raw = enc.encode(t) + tail
                 f = z.compress(raw)
                 frames.append(f)

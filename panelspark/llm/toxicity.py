@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import fraction_hash, ids
+from panelspark.llm.common import fraction_hash, ids, rows
 
 WINDOW = 96  # bytes
 LONGEST = 24  # bytes of a stem
@@ -227,7 +227,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], threshold: fl
         m = shared.value
         cs = m.compressors() if m else None
         for b in batches:
-            score = np.array([m.score(savings(fold(t), *cs)) if m else 0.0 for t in ids(b, "text").to_pylist()])
+            score = np.array([m.score(savings(fold(t), *cs)) if m else 0.0 for t, in rows(b, "text")])
             yield pa.RecordBatch.from_arrays([*(ids(b, c) for c in keep), pa.array(score, pa.float64()),
                                               pa.array((score >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 

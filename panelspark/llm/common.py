@@ -111,6 +111,20 @@ def kth_largest(df: DataFrame, column: str, k: int) -> int | None:
     return low
 
 
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Newton's method on the ridge-penalised log loss (the bias isn't penalised)."""
+    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
+    a, w = x / scale, np.zeros(x.shape[1])
+    pen = ridge * np.diag([0.0, *[1.0] * (x.shape[1] - 1)])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + pen + 1e-9 * np.eye(len(w)), a.T @ (y - p) - pen @ w)
+        w += np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w / scale
+
+
 def min_links(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of links (two bigint columns): rows (node, root), root the smallest
     node reachable, for every node that has a link.

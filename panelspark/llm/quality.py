@@ -1,10 +1,12 @@
 """Quality classifier by importance resampling (operator 3).
 
 Two generative models over hashed n-grams, one of the target text (documents labelled good), one
-of all raw text. Because the raw text is a mixture that holds the target with share p, the ratio
-w = target / raw of a document is at most 1 / p; what the independence of n-grams adds beyond that
-is noise and is clipped. k = the sum of p * w estimates how many documents come from the target,
-and the k documents with the largest log w + Gumbel noise are sampled.
+of all raw text, give each document a log ratio per n-gram. That n-grams are not independent is
+corrected on labelled documents that the target model has not seen: a logistic curve turns the
+ratio into the share of good documents at it, P. Because raw text is a mixture that holds the
+target with share p, the importance weight target / raw of a document is then P / p. k = the sum
+of P is how many documents come from the target, and the k documents with the largest log weight +
+Gumbel noise are sampled.
 
 N-grams: character trigrams, and pairs of repetition marks (how many words back the same word
 stood, 0 if not among the last 8), which tell looping text from prose.
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import count_slots, ids, kth_largest, materialize, release
+from panelspark.llm.common import count_slots, ids, kth_largest, logistic, materialize, release
 from panelspark.llm.langid import document_sums
 from panelspark.llm.text import mix, ranges, slices, span_hashes, words
 
@@ -27,8 +29,10 @@ CHAR_SLOTS = 1 << 16
 BACK = 8
 MARK_SLOTS = (BACK + 1) ** 2
 SLOTS = CHAR_SLOTS + MARK_SLOTS
-ALPHA = 1.0
-FIT_ROWS = 20_000  # labelled documents the target model learns from
+ALPHA = 3.0
+CLIP = 0.6  # log ratios per n-gram beyond this say no more
+FEW = 20  # n-grams added to a document's number, for short texts say little
+FIT_ROWS = 20_000  # labelled documents the target model learns from, and as many the curve is fitted on
 SEED = 20240229
 
 
@@ -60,31 +64,58 @@ def _count(batch, acc):
 class Model:
     log_ratio: np.ndarray
     share: float  # of the target in raw text
+    curve: tuple[float, float] = (0.0, 40.0)  # P = logistic(slope * ratio + shift)
 
-    @property
-    def bound(self) -> float:
-        return -float(np.log(self.share))
+    def log_weight(self, total: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """log(P / p) by a document's summed log ratio and number of n-grams; 0 without n-grams."""
+        z = self.curve[0] * per_gram(total, n) + self.curve[1]
+        return np.where(n > 0, -np.logaddexp(0.0, -z) - np.log(self.share), 0.0)
 
 
-def _log_prob(counts: np.ndarray) -> np.ndarray:
-    c = counts.astype(np.float64) + ALPHA
-    return np.concatenate([np.log(x / x.sum()) for x in (c[:CHAR_SLOTS], c[CHAR_SLOTS:])])
+def per_gram(total: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log ratio per n-gram, as far as it still tells more."""
+    return np.clip(total / (n + FEW), -CLIP, CLIP)
+
+
+def _log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """Log of target over raw probability, for each of the two n-gram kinds. The target model backs
+    off to the raw one by ``ALPHA`` counts an n-gram: (seen + ALPHA) / (expected + ALPHA) times the
+    raw probability, where expected is what raw text of the target's size would hold. So n-grams too
+    rare to be missed speak neither way, however small the sample."""
+    out = []
+    for part in (slice(0, CHAR_SLOTS), slice(CHAR_SLOTS, SLOTS)):
+        r, t = raw[part].astype(np.float64), target[part].astype(np.float64)
+        expected = t.sum() * r / max(r.sum(), 1.0)
+        out.append(np.log((t + ALPHA) / (expected + ALPHA)))
+    return np.concatenate(out)
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """The raw model counts every document. The target model counts the ``fit_rows`` good documents
-    of least id hash: a bounded sample, since it parametrises the classifier. No good label:
-    all documents count as target."""
-    good = labels.where("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("q"))
-    share = good.agg(F.avg("q")).first()[0]
-    if not share:
+    """The raw model counts every document. The target model counts good documents of even id hash,
+    the curve is fitted on labelled ones of odd hash: of each the ``fit_rows`` of least hash, a
+    bounded sample, since it parametrises the classifier. Without labels of both kinds everything
+    is target."""
+    lab = (labels.where("quality is not null and doc_id is not null").groupBy("doc_id")
+           .agg(F.min(F.col("quality").cast("int")).alias("q")))
+    share = lab.agg(F.avg("q")).first()[0]
+    if not share or share == 1.0:
         return Model(np.zeros(SLOTS, dtype=np.float32), 1.0)
-    chosen = (good.where("q = 1").select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    # fit_rows ids: at most 160 kB
-    target = count_slots(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("text"), 1, SLOTS, _count)[0]
+    h = F.xxhash64("doc_id")
+    least = lambda rows: rows.orderBy(h, "doc_id").limit(fit_rows)
+    texts = docs.select("doc_id", "text").where("text is not null")
+    # both at most fit_rows ids
+    seen = texts.join(F.broadcast(least(lab.where("q = 1").where(h % 2 == 0)).select("doc_id")), "doc_id", "left_semi")
+    target = count_slots(seen.select("text"), 1, SLOTS, _count)[0]
     raw = count_slots(docs.select("text"), 1, SLOTS, _count)[0]
-    return Model((_log_prob(target) - _log_prob(raw)).astype(np.float32), float(share))
+    m = Model(_log_ratio(target, raw).astype(np.float32), float(share))
+    held = texts.join(F.broadcast(least(lab.where(h % 2 != 0))), "doc_id")
+    known = score(held, m, ["q"]).select("q", "_llm_total", "_llm_n").where("_llm_n > 0").toArrow()  # about fit_rows rows
+    y = known.column("q").to_numpy().astype(np.float64)
+    x = per_gram(known.column("_llm_total").to_numpy(), known.column("_llm_n").to_numpy())
+    if len(set(y.tolist())) == 2:
+        w = logistic(np.column_stack([np.ones(len(x)), x]), y, ridge=1e-3)
+        m.curve = (max(float(w[1]), 0.0), float(w[0]))
+    return m
 
 
 def sortable(x: np.ndarray) -> np.ndarray:
@@ -94,30 +125,31 @@ def sortable(x: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], seed: int = SEED) -> DataFrame:
-    """``keep`` columns, then ``n_grams``, ``log_weight`` (clipped log ratio; 0.0 for empty texts and
-    null), ``gumbel_key`` and its sortable form. The noise depends on doc_id and text alone, so a
-    task that runs again draws the same."""
+    """``keep`` columns, then number of n-grams, summed log ratio, log weight, Gumbel key and its
+    sortable form. The noise depends on doc_id and text alone, so a task that runs again draws the
+    same."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     inner = docs.select(*keep, F.col("text").alias("_llm_text"),
                         F.xxhash64("doc_id", "text", F.lit(seed)).alias("_llm_noise"))
     schema = inner.select(*keep).schema
-    for c, t in (("_llm_n", "long"), ("_llm_weight", "double"), ("_llm_key", "double"), ("_llm_rank", "long")):
+    for c, t in (("_llm_n", "long"), ("_llm_total", "double"), ("_llm_weight", "double"), ("_llm_key", "double"), ("_llm_rank", "long")):
         schema = schema.add(c, t)
 
     def run(batches):
         m = shared.value
         for b in batches:
-            n, w = np.zeros(b.num_rows, dtype=np.int64), np.zeros(b.num_rows)
+            n, total = np.zeros(b.num_rows, dtype=np.int64), np.zeros(b.num_rows)
             for lo, hi, buf, off in slices(b, "_llm_text"):
                 for slot, start, size in document_slots(buf, off):
-                    w[lo:hi] += document_sums(m.log_ratio[slot].astype(np.float64), start, size)
+                    total[lo:hi] += document_sums(m.log_ratio[slot].astype(np.float64), start, size)
                     n[lo:hi] += size
-            w = np.where(n > 0, np.minimum(w, m.bound), 0.0)
+            w = m.log_weight(total, n)
             bits = mix(np.array(ids(b, "_llm_noise").to_numpy(zero_copy_only=False)).view(np.uint64))
             u = ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
             key = w - np.log(-np.log(u))
-            yield pa.RecordBatch.from_arrays([*(ids(b, c) for c in keep), pa.array(n), pa.array(w), pa.array(key), pa.array(sortable(key))],
-                                             names=[*keep, "_llm_n", "_llm_weight", "_llm_key", "_llm_rank"])
+            yield pa.RecordBatch.from_arrays([*(ids(b, c) for c in keep), pa.array(n), pa.array(total), pa.array(w), pa.array(key),
+                                              pa.array(sortable(key))],
+                                             names=[*keep, "_llm_n", "_llm_total", "_llm_weight", "_llm_key", "_llm_rank"])
 
     return inner.mapInArrow(run, schema)
 

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import fraction_hash, ids, rows
+from panelspark.llm.common import fraction_hash, ids, logistic, rows
 
 WINDOW = 96  # bytes
 LONGEST = 24  # bytes of a stem
@@ -180,24 +180,10 @@ def fit_texts(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
     hist = [np.bincount(np.concatenate([*ds, [SAVING]]) + SAVING, minlength=2 * SAVING + 1) + 0.5 for ds in seen]
     m.odds = np.log(hist[1] / hist[1].sum()) - np.log(hist[0] / hist[0].sum())
     x = np.array([m.features(d) for ds in seen for d in ds])
-    m.weights = _logistic(x, np.repeat([0.0, 1.0], [len(seen[0]), len(seen[1])]))
+    m.weights = logistic(x, np.repeat([0.0, 1.0], [len(seen[0]), len(seen[1])]))
     return m
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Newton's method on the ridge-penalised log loss (the bias isn't penalised)."""
-    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
-    a, w = x / scale, np.zeros(x.shape[1])
-    pen = ridge * np.diag([0.0, *[1.0] * (x.shape[1] - 1)])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + pen + 1e-9 * np.eye(len(w)), a.T @ (y - p) - pen @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return w / scale
-
-
 def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordinary: int = FIT_ORDINARY,
         fit_bytes: int = FIT_BYTES) -> Model | None:
     """Model of a bounded sample of the labelled documents: of each class those with the least id

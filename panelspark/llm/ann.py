@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import ids, materialize
+from panelspark.llm.common import ids, lean, materialize
 
 TOP = 20
 EVERY = 20  # queries: rows whose vec_id it divides
@@ -115,7 +115,7 @@ def measure(index: DataFrame, asked: DataFrame, half: int, centroids, counts: np
                                                  names=["q", "score", "cell"])
 
     w = Window.partitionBy("q").orderBy(F.desc("score"), "cell")
-    truth = (index.mapInArrow(exact, "q bigint, score double, cell bigint")
+    truth = (index.mapInArrow(lean(exact), "q bigint, score double, cell bigint")
              .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= top).select("q", "cell").toArrow())
     of, cells = truth.column("q").to_numpy(), truth.column("cell").to_numpy()
     need = []
@@ -159,7 +159,7 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(assign(x[:, :h], c1) * len(c2) + assign(x[:, h:], c2), pa.int64())],
                                              names=[*b.schema.names, "cell"])
 
-    index = materialize(base.mapInArrow(cell, "vec_id bigint, embedding array<float>, cell bigint"), "cells")
+    index = materialize(base.mapInArrow(lean(cell), "vec_id bigint, embedding array<float>, cell bigint"), "cells")
     counts = np.zeros(shape[0] * shape[1], dtype=np.int64)
     for r in index.groupBy("cell").count().collect():  # at most MAX_K * MAX_K rows
         counts[r["cell"]] = r["count"]
@@ -223,8 +223,8 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
         return pa.table({"rep": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
 
     reps = asked.groupBy("embedding").agg(F.min("vec_id").alias("rep"))
-    probes = reps.mapInArrow(probe, "bucket bigint, rep bigint, embedding array<float>, cells array<bigint>")
-    placed = index.mapInArrow(place, "bucket bigint, vec_id bigint, embedding array<float>, cell bigint")
+    probes = reps.mapInArrow(lean(probe), "bucket bigint, rep bigint, embedding array<float>, cells array<bigint>")
+    placed = index.mapInArrow(lean(place), "bucket bigint, vec_id bigint, embedding array<float>, cell bigint")
     hits = placed.groupBy("bucket").cogroup(probes.groupBy("bucket")).applyInArrow(rerank, "rep bigint, vec_id bigint, score double")
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
     hits = hits.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= top + 1).drop("rn")

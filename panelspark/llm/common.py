@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import numpy as np
@@ -37,6 +39,23 @@ def ids(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(column))
 
 
+def lean(f):
+    """``f`` for mapInArrow; at a task's end freed memory goes back to the system, so that what
+    idle workers of earlier stages hold doesn't add up."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def rows(batch: pa.RecordBatch, *columns: str, size: int = 256):
     """Tuples of Python values, a few rows at a time: a batch may hold 64 MB of text."""
     for lo in range(0, batch.num_rows, size):
@@ -84,7 +103,7 @@ def count_slots(df: DataFrame, rows: int, slots: int, count_batch) -> np.ndarray
 
     schema = "piece int, data binary"
     parts = max(1, min(pieces, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    summed = df.mapInArrow(count, schema).repartition(parts, "piece").mapInArrow(add, schema)
+    summed = df.mapInArrow(lean(count), schema).repartition(parts, "piece").mapInArrow(lean(add), schema)
     out = np.zeros(pieces * PIECE, dtype=np.int64)
     z = zstandard.ZstdDecompressor()
     for r in summed.toLocalIterator():

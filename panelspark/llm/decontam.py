@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import ids, materialize
+from panelspark.llm.common import ids, lean, materialize
 from panelspark.llm.text import LOWER, TERM, U64, ranges, slices, span_hashes, words
 
 WINDOW = 10
@@ -63,7 +63,7 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
         if docs_:
             yield shard()
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, INDEX)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lean(run), INDEX)
 
 
 class Phrases:
@@ -201,7 +201,7 @@ def _match(index: DataFrame, phrases: Phrases, slop: int | None) -> DataFrame:
                 pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int64())),
                 pa.array([x.tolist() for x in out[3]], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "items", "spans"])
 
-    return index.mapInArrow(run, schema)
+    return index.mapInArrow(lean(run), schema)
 
 
 def matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = None,
@@ -237,7 +237,7 @@ def matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop:
             yield pa.RecordBatch.from_arrays([ids(b, "doc_id"), ids(b, "text_hash"), ids(b, "items"), pa.array(spans, pa.list_(pa.int32()))],
                                              names=["doc_id", "text_hash", "items", "spans"])
 
-    return merged.mapInArrow(union, "doc_id bigint, text_hash bigint, items array<bigint>, spans array<int>")
+    return merged.mapInArrow(lean(union), "doc_id bigint, text_hash bigint, items array<bigint>, spans array<int>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import count_slots, fraction_hash, ids
+from panelspark.llm.common import count_slots, fraction_hash, ids, lean
 from panelspark.llm.text import ranges
 
 ORDERS = (2, 3)
@@ -136,7 +136,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(ids(b, c) for c in keep), pa.array(lang, pa.string()), pa.array(score)],
                                              names=[*keep, "lang_pred", "score"])
 
-    return inner.mapInArrow(run, schema)
+    return inner.mapInArrow(lean(run), schema)
 
 
 def identify(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:

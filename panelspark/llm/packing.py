@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from panelspark.llm.common import rows
+from panelspark.llm.common import lean, rows
 from panelspark.llm.tokens import Encoder, in_order
 
 SIZE = 1024
@@ -182,4 +182,4 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE) ->
         yield packer.flush()
 
     schema = ", ".join(f"{c} bigint" for c in PIECES.names)
-    return in_order(docs).mapInArrow(run, schema)
+    return in_order(docs).mapInArrow(lean(run), schema)

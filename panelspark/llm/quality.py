@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import count_slots, ids, kth_largest, logistic, materialize, release
+from panelspark.llm.common import count_slots, ids, kth_largest, lean, logistic, materialize, release
 from panelspark.llm.langid import document_sums
 from panelspark.llm.text import mix, ranges, slices, span_hashes, words
 
@@ -151,7 +151,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], seed: int = SEED) -> D
                                               pa.array(sortable(key))],
                                              names=[*keep, "_llm_n", "_llm_total", "_llm_weight", "_llm_key", "_llm_rank"])
 
-    return inner.mapInArrow(run, schema)
+    return inner.mapInArrow(lean(run), schema)
 
 
 def cut(scores: DataFrame, model: Model) -> tuple[int, int | None]:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import count_slots, ids, materialize, release, rows
+from panelspark.llm.common import count_slots, ids, lean, materialize, release, rows
 from panelspark.llm.text import ranges, slices, sliding_min, span_hashes, squeeze, windows, words
 
 K = 35
@@ -182,7 +182,7 @@ def repeated_windows(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_B
                          "hot": pa.array(text, pa.binary()), "times": pa.array(times, pa.int64())})
 
     counted = materialize(
-        docs.mapInArrow(spread, "bucket int, data binary").groupBy("bucket").applyInArrow(
+        docs.mapInArrow(lean(spread), "bucket int, data binary").groupBy("bucket").applyInArrow(
             count, FLAGS + ", hot binary, times bigint"), "superkmers")
 
     def take_apart(batches):
@@ -194,7 +194,7 @@ def repeated_windows(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_B
                 pa.array(offset.astype(np.int32)), pa.array(times[of])], names=["h1", "h2", "s1", "s2", "at", "times"])
 
     hot = counted.where("hot is not null").select("s1", "s2", "hot", "times")
-    single = hot.mapInArrow(take_apart, "h1 bigint, h2 bigint, s1 bigint, s2 bigint, at int, times bigint")
+    single = hot.mapInArrow(lean(take_apart), "h1 bigint, h2 bigint, s1 bigint, s2 bigint, at int, times bigint")
     twice = single.groupBy("h1", "h2").agg(F.sum("times").alias("n")).where("n >= 2").select("h1", "h2")
     hot_flags = single.join(twice, ["h1", "h2"]).groupBy("s1", "s2").agg(F.array_sort(F.collect_list("at")).alias("flags"))
     out = materialize(counted.where("hot is null").select("s1", "s2", "flags").unionByName(hot_flags), "repeats")
@@ -220,7 +220,7 @@ def covered(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_BITS, buck
                     names=["s1", "s2", "doc_id", "text_hash", "at"])
 
     places = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        locate, "s1 bigint, s2 bigint, doc_id bigint, text_hash bigint, at int")
+        lean(locate), "s1 bigint, s2 bigint, doc_id bigint, text_hash bigint, at int")
     return places.join(flags, ["s1", "s2"]).groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.struct("at", "flags")).alias("runs"))
 
@@ -265,7 +265,7 @@ def dedup(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_BITS, bucket
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return _with_runs(docs, k, m, bits, bucket).select("_llm_id", "_llm_text", "_runs").mapInArrow(
-        run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+        lean(run), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_BITS, bucket: int = BUCKET) -> DataFrame:
@@ -282,7 +282,7 @@ def without_repeats(docs: DataFrame, k: int = K, m: int = M, bits: int = SLOT_BI
                 new.append(kept_words(t, r, k)[2].decode() if r else t)
             yield pa.RecordBatch.from_arrays([ids(b, "_llm_row"), pa.array(new, pa.string())], names=["_llm_row", "_llm_new"])
 
-    out = joined.select("_llm_row", "_llm_text", "_runs").mapInArrow(run, schema)
+    out = joined.select("_llm_row", "_llm_text", "_runs").mapInArrow(lean(run), schema)
     changed = ~F.col("_llm_new").eqNullSafe(F.col("_llm_row.text"))
     new = {"text": F.col("_llm_new"), "n_chars": F.when(changed, F.char_length("_llm_new").cast("bigint")).otherwise(F.col("_llm_row.n_chars"))
            if "n_chars" in docs.columns else None}

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import ids, rows
+from panelspark.llm.common import ids, lean, rows
 
 END_ID = 2
 DICT_BYTES = 64 << 10
@@ -166,7 +166,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int = END_ID, fit_rows:
 
     named = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # fit_rows ids
     samples, size = [], 0
-    for r in named.select("text").mapInArrow(run, "ids binary").toLocalIterator():
+    for r in named.select("text").mapInArrow(lean(run), "ids binary").toLocalIterator():
         if size + len(r["ids"]) <= FIT_BYTES:
             samples.append(bytes(r["ids"]))
             size += len(r["ids"])
@@ -220,7 +220,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, fit_row
         if docs_:
             yield flush()
 
-    in_order(docs).mapInArrow(run, CHUNKS).write.option("compression", "uncompressed").parquet(f"{folder}/chunks")
+    in_order(docs).mapInArrow(lean(run), CHUNKS).write.option("compression", "uncompressed").parquet(f"{folder}/chunks")
 
 
 ARROW = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("dict_hash", pa.string()), ("item_bytes", pa.int32()),
@@ -274,7 +274,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                                              names=["doc_id", "start", "n_tokens", "ids_crc32", "n_bytes"])
 
     inner = chunks.join(F.broadcast(base), "shard").select("dict_hash", "item_bytes", "doc_ids", "offsets", "before", "payload", "base")
-    return inner.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, n_bytes bigint")
+    return inner.mapInArrow(lean(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, n_bytes bigint")
 
 
 def fetch(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
@@ -295,7 +295,7 @@ def fetch(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
     for d in sorted(wanted):
         near = near | ((F.col("min_id") <= d) & (F.col("max_id") >= d))
     return (chunks.where(near).select("dict_hash", "item_bytes", "doc_ids", "offsets", "payload")
-            .mapInArrow(run, "doc_id bigint, ids array<bigint>"))
+            .mapInArrow(lean(run), "doc_id bigint, ids array<bigint>"))
 
 
 def encode_and_read(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> DataFrame:

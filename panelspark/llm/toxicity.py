@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import fraction_hash, ids, logistic, rows
+from panelspark.llm.common import fraction_hash, ids, lean, logistic, rows
 
 WINDOW = 96  # bytes
 LONGEST = 24  # bytes of a stem
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], threshold: fl
             yield pa.RecordBatch.from_arrays([*(ids(b, c) for c in keep), pa.array(score, pa.float64()),
                                               pa.array((score >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    return inner.mapInArrow(run, schema)
+    return inner.mapInArrow(lean(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import ids
+from panelspark.llm.common import ids, lean
 from panelspark.session import scratch_path
 
 #: (verdict, rule) as the contract gives them.
@@ -142,7 +142,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, default: str =
 
     host, path = url_parts(F.col("url"))
     return pages.select("page_id", host.alias("host"), path.alias("path")).mapInArrow(
-        run, "page_id bigint, host string, path string, rule string, verdict string")
+        lean(run), "page_id bigint, host string, path string, rule string, verdict string")
 
 
 def oracle(rules=RULES, default: str = DEFAULT) -> str:

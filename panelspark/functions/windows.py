@@ -16,7 +16,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from panelspark.session import materialize
 
 KEY = "ticker"
 ORDER = "Date"
@@ -95,142 +94,62 @@ def clip(c: Column, lo: float, hi: float) -> Column:
 # Recursive EMA (pandas ewm(span, adjust=False).mean()) as blocked window sums.
 # ---------------------------------------------------------------------------
 
-def ewm_plan(spans) -> tuple[int, dict]:
-    """Pick one block length B for all spans and the number J of earlier blocks to carry.
-
-    With q = 1 - 2/(span+1), factors q^-p inside a block stay below e^300 and the weight of
-    blocks older than J is below e^-40 (far under double precision): J = ceil(40 / (B d)).
-    """
-    decays = {s: -math.log(1.0 - 2.0 / (s + 1.0)) for s in spans}
-    b = int(max(8, min(4096, math.floor(300.0 / max(decays.values())))))
-    carry = {s: max(1, int(math.ceil(40.0 / (b * d)))) for s, d in decays.items()}
-    return b, carry
-
-
-def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER,
-            block: int | None = None, null_safe: bool = True, then=None) -> DataFrame:
-    """EMA columns for ``items`` = [(source_col, out_col, span), ...], optionally followed by
-    a ``then`` chain: a list of (derived_col, Column-builder, [(src, out, span)]) steps that
-    compute a column from earlier outputs and smooth it (MACD -> signal).
-
-    Tickers whose sources are null-free take the blocked window form (JVM only). With
-    ``null_safe``, tickers holding a null source value (a null close survives cleaning) are
-    routed once, by a per-ticker window flag, to a grouped pandas helper with the reference's
-    gap rule; a ticker's group is bounded by its calendar length.
-    """
-    then = then or []
-
-    def blocked(d):
-        d = _add_ewm_blocked(d, items, key, order, block)
-        for col, build, more in then:
-            d = _add_ewm_blocked(d.withColumn(col, build()), more, key, order, block)
-        return d
-
-    if not null_safe:
-        return blocked(df)
-    any_null = F.lit(False)
-    for src, _, _ in items:
-        any_null = any_null | F.col(src).isNull()
-    # The input is written once: the pandas branch reads only the flagged tickers' key and
-    # source columns, a different (pruned) plan, so without this its whole upstream (cleaning,
-    # aggregation, joins) would run a second time.
-    base = df.transform(materialize)
-    # A pruned scan of the written table; without any null source the routing is skipped.
-    if base.filter(any_null).limit(1).count() == 0:
-        return blocked(base)
-    flagged = base.withColumn("_ewm_gap", F.max(any_null.cast("int")).over(Window.partitionBy(key)))
-    # Every row takes the blocked form; rows of flagged tickers are then overwritten by the
-    # pandas results, joined back on (ticker, Date). A left join keeps the ticker partitioning
-    # of the main branch, so the windows after it need no new exchange (a union would not).
-    fast = blocked(flagged)
-    outs = [dst for _, dst, _ in items] + [c for c, _, _ in then] + [d for _, _, more in then for _, d, _ in more]
-    srcs = list(dict.fromkeys(src for src, _, _ in items))
-    slow_in = flagged.filter(F.col("_ewm_gap") == 1).select(key, order, *srcs)
-    schema = ", ".join([f"`{key}` string", f"`{order}` timestamp_ntz"] + [f"`_s_{c}` double" for c in outs])
-    first = [(src, dst, float(span)) for src, dst, span in items]
-    pandas_chain = [(col, [(s2, d2, float(sp)) for s2, d2, sp in more]) for col, _, more in then]
-    missing = [c for c, _ in pandas_chain if c not in PANDAS_DERIVED]
-    if missing:
-        raise ValueError(f"no pandas form for derived columns {missing}")
-
-    def per_ticker(pdf):
-        pdf = pdf.sort_values(order, kind="mergesort")
-        for src, dst, span in first:
-            pdf[dst] = pdf[src].astype("float64").ewm(span=span, adjust=False).mean()
-        for col, more in pandas_chain:
-            pdf[col] = PANDAS_DERIVED[col](pdf)
-            for src, dst, span in more:
-                pdf[dst] = pdf[src].astype("float64").ewm(span=span, adjust=False).mean()
-        res = pdf[[key, order] + outs].copy()
-        res.columns = [key, order] + [f"_s_{c}" for c in outs]
-        return res
-
-    slow = slow_in.groupBy(key).applyInPandas(per_ticker, schema)
-    if df.schema[order].dataType.typeName() != "timestamp_ntz":
-        slow = slow.withColumn(order, F.col(order).cast(df.schema[order].dataType))
-    j = fast.join(slow, [key, order], "left")
-    fixed = {c: F.when(F.col("_ewm_gap") == 1, F.col(f"_s_{c}")).otherwise(F.col(c)) for c in outs}
-    return j.withColumns(fixed).drop("_ewm_gap", *[f"_s_{c}" for c in outs])
-
-
-# pandas forms of the derived columns used in EMA chains (same arithmetic as the Column form).
-PANDAS_DERIVED = {
-    "MACD": lambda pdf: pdf["_ema_f"] - pdf["_ema_s"],
-}
-
-
-def _add_ewm_blocked(df: DataFrame, items, key: str = KEY, order: str = ORDER,
-                     block: int | None = None) -> DataFrame:
-    """Add EMA columns: ``items`` = [(source_col, out_col, span), ...], computed together.
-
-    y_0 = x_0, y_t = q y_{t-1} + a x_t. Rows are numbered t per ticker and cut into blocks of
-    B rows (b = t div B, p = t mod B). Inside a block S_t = q^p * sum_{i<=t} w_i x_i q^-p_i
-    (w = 1 on the first row of the ticker, else a); a block's end value is E_b. The value
-    entering block b is C_b = sum_j E_{b-j} q^(B(j-1)), read with constant-offset lags
-    (row t - jB lies in block b - j), and y_t = S_t + q^(p+1) C_b. Everything is a window
-    over the ticker partitioning (the block window partitions by (ticker, b), which the
-    ticker hash partitioning already satisfies), so no extra exchange.
-
-    Inputs must be null-free (prices after cleaning); rows with a null source give null.
-    """
-    spans = sorted({s for _, _, s in items})
-    B, carry = ewm_plan(spans)
-    if block is not None:
-        B = block
-        carry = {s: max(1, int(math.ceil(40.0 / (B * -math.log(1.0 - 2.0 / (s + 1.0)))))) for s in spans}
+EMA_BLOCK = 40.0  # decay (in nats) that one block spans; what is older than a block weighs below e**-40
+
+
+def add_ewm(df: DataFrame, items, key: str = KEY, order: str = ORDER, block: float | None = None, then=None) -> DataFrame:
+    """EMA columns for ``items`` = [(source_col, out_col, span), ...], optionally followed by a
+    ``then`` chain: (derived_col, Column-builder, [(src, out, span)]) steps that compute a column
+    from earlier outputs and smooth it (MACD -> signal). Null sources follow the reference's gap
+    rule: the average stays, and its weight decays by every row of the gap."""
+    out = _add_ewm(df, items, key, order, block)
+    for col, build, more in then or []:
+        out = _add_ewm(out.withColumn(col, build()), more, key, order, block)
+    return out
+
+
+def _add_ewm(df: DataFrame, items, key: str, order: str, block: float | None) -> DataFrame:
+    """Between values g rows apart the recurrence is y = A y_before + B x with
+    A = q^g / (q^g + a), B = a / (q^g + a), q = 1 - a (g = 1: A = q, B = a); the first value is y.
+
+    With the running decay D = sum(-ln A), y = e^-D sum(B x e^D). Rows are cut into blocks by
+    D div ``block``, and inside a block S is that sum with D from the block's first row on, so no
+    exponent exceeds ``block``. What a block inherits is the last S of the block before it, decayed;
+    older blocks lie more than ``block`` nats back, far below double precision. All of it are window
+    functions over the ticker partitioning ((ticker, block) windows need no new exchange)."""
+    width = EMA_BLOCK if block is None else float(block)
     w = by_key(key, order)
-    wb = Window.partitionBy(key, "_ewm_b").orderBy(order)
-    tmp = ["_ewm_t", "_ewm_b", "_ewm_p"]
-    out = df
-    if "_ewm_t" not in out.columns:
-        out = out.withColumn("_ewm_t", F.row_number().over(w) - 1)
-    out = out.withColumns({
-        "_ewm_b": F.floor(F.col("_ewm_t") / B),
-        "_ewm_p": F.col("_ewm_t") % B,
-    })
-    # Stage 1: per-block sums of the rescaled inputs.
-    stage1 = {}
-    for i, (src, _, span) in enumerate(items):
-        a = 2.0 / (span + 1.0)
-        lq = math.log(1.0 - a)
-        weight = F.when(F.col("_ewm_t") == 0, F.lit(1.0)).otherwise(F.lit(a))
-        u = weight * F.col(src) * F.exp(-F.col("_ewm_p") * F.lit(lq))
-        stage1[f"_ewm_s{i}"] = F.sum(u).over(wb.rowsBetween(Window.unboundedPreceding, 0))
-        stage1[f"_ewm_e{i}"] = F.sum(u).over(wb.rowsBetween(Window.unboundedPreceding,
-                                                           Window.unboundedFollowing)) * F.lit(
-            math.exp(lq * (B - 1)))
-        tmp += [f"_ewm_s{i}", f"_ewm_e{i}"]
-    out = out.withColumns(stage1)
-    # Stage 2: carry from earlier blocks, then the EMA itself.
-    final = {}
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    run = running(w)
+    out = df.withColumn("_ewm_t", F.row_number().over(w))
+    srcs = list(dict.fromkeys(src for src, _, _ in items))
+    for n, src in enumerate(srcs):  # rows since the last value; null: this is the first
+        gap = F.col("_ewm_t") - F.last(F.when(F.col(src).isNotNull(), F.col("_ewm_t")), ignorenulls=True).over(before)
+        out = out.withColumn(f"_ewm_g{n}", F.when(F.col(src).isNotNull(), gap))
+    decay, place, edge, sums, carry, final = ({} for _ in range(6))
     for i, (src, dst, span) in enumerate(items):
         a = 2.0 / (span + 1.0)
-        lq = math.log(1.0 - a)
-        c = F.lit(0.0)
-        for j in range(1, carry[span] + 1):
-            c = c + F.coalesce(F.lag(f"_ewm_e{i}", j * B).over(w), F.lit(0.0)) * F.lit(
-                math.exp(lq * B * (j - 1)))
-        s = F.col(f"_ewm_s{i}") * F.exp(F.col("_ewm_p") * F.lit(lq))
-        final[dst] = s + F.exp((F.col("_ewm_p") + 1) * F.lit(lq)) * c
-    out = out.withColumns(final)
-    return out.drop(*tmp)
+        has, g = F.col(src).isNotNull(), F.col(f"_ewm_g{srcs.index(src)}")
+        kept = F.exp(g * F.lit(math.log(1.0 - a)))
+        inner = Window.partitionBy(key, f"_ewm_b{i}").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        # -ln(A) = g (-ln q) + ln(q^g + a): counted in rows, which is exact, and in the logarithms of
+        # gaps alone (without a gap q + a = 1)
+        per_row, gap_log = F.lit(-math.log(1.0 - a)), F.col(f"_ewm_c{i}")
+        rows = F.coalesce(g, F.lit(0))
+        decay[f"_ewm_c{i}"] = F.when(g > 1, F.log(kept + F.lit(a))).otherwise(F.lit(0.0))
+        decay[f"_ewm_x{i}"] = F.when(has, F.when(g.isNull(), F.col(src)).when(g == 1, F.col(src) * F.lit(a))
+                                     .otherwise(F.col(src) * F.lit(a) / (kept + F.lit(a))))
+        place[f"_ewm_b{i}"] = F.floor((F.sum(rows).over(run) * per_row + F.sum(gap_log).over(run)) / F.lit(width))
+        # decay since the block's first row
+        edge[f"_ewm_f{i}"] = F.first(rows).over(inner) * per_row + F.first(gap_log).over(inner)
+        edge[f"_ewm_r{i}"] = (F.sum(rows).over(inner) - F.first(rows).over(inner)) * per_row + F.sum(gap_log).over(inner) - F.first(gap_log).over(inner)
+        rise, s, b = F.col(f"_ewm_r{i}"), F.col(f"_ewm_s{i}"), F.col(f"_ewm_b{i}")
+        sums[f"_ewm_s{i}"] = F.exp(-rise) * F.sum(F.col(f"_ewm_x{i}") * F.exp(rise)).over(inner)
+        carry[f"_ewm_h{i}"] = F.when(F.lag(b).over(w) != b, F.lag(s).over(w))
+        held = F.first(f"_ewm_h{i}").over(inner) * F.exp(-(rise + F.col(f"_ewm_f{i}")))
+        final[dst] = F.when(F.count(src).over(run) > 0, F.coalesce(s, F.lit(0.0)) + F.coalesce(held, F.lit(0.0)))
+    steps = (decay, place, edge, sums, carry, final)
+    for step in steps:
+        out = out.withColumns(step)
+    made = [c for step in steps[:-1] for c in step]
+    return out.drop("_ewm_t", *made, *[f"_ewm_g{n}" for n in range(len(srcs))])

@@ -78,9 +78,9 @@ def add_rsi(df: DataFrame, window=14, key=KEY, order=ORDER) -> DataFrame:
 
 
 def add_macd(df: DataFrame, fast=12, slow=26, signal=9, key=KEY, order=ORDER,
-             block: int | None = None, null_safe: bool = True) -> DataFrame:
-    """MACD = EMA_fast - EMA_slow, MACD_signal = EMA_signal(MACD); one routing split for all."""
-    df = add_ewm(df, [("Close", "_ema_f", fast), ("Close", "_ema_s", slow)], key, order, block, null_safe,
+             block: float | None = None) -> DataFrame:
+    """MACD = EMA_fast - EMA_slow, MACD_signal = EMA_signal(MACD)."""
+    df = add_ewm(df, [("Close", "_ema_f", fast), ("Close", "_ema_s", slow)], key, order, block,
                  then=[("MACD", lambda: F.col("_ema_f") - F.col("_ema_s"), [("MACD", "MACD_signal", signal)])])
     return df.drop("_ema_f", "_ema_s")
 

@@ -16,10 +16,10 @@ def _one_ticker(spark):
     return bars.filter(F.col("ticker") == tk)
 
 
-@pytest.mark.parametrize("block", [None, 16, 64])
+@pytest.mark.parametrize("block", [None, 40, 200])
 def test_blocked_ewm_matches_pandas(spark, block):
     df = _one_ticker(spark)
-    out = add_ewm(df, [("Close", "e12", 12), ("Close", "e26", 26)], block=block, null_safe=False)
+    out = add_ewm(df, [("Close", "e12", 12), ("Close", "e26", 26)], block=block)
     got = out.orderBy("Date").toPandas()
     ref = got["Close"].ewm(span=12, adjust=False).mean()
     ref26 = got["Close"].ewm(span=26, adjust=False).mean()
@@ -30,7 +30,7 @@ def test_blocked_ewm_matches_pandas(spark, block):
 def test_ewm_null_gaps_follow_pandas(spark):
     df = _one_ticker(spark)
     holes = df.withColumn("Close", F.when(F.dayofmonth("Date").isin(3, 4, 13), None).otherwise(F.col("Close")))
-    out = add_ewm(holes, [("Close", "e9", 9)], null_safe=True).orderBy("Date").toPandas()
+    out = add_ewm(holes, [("Close", "e9", 9)]).orderBy("Date").toPandas()
     ref = out["Close"].astype("float64").ewm(span=9, adjust=False).mean()
     assert np.allclose(out["e9"].astype("float64"), ref, atol=1e-9, equal_nan=True)
 

@@ -1,130 +1,69 @@
 """Global running sums and row numbers without a single-partition window.
 
-A window with ``orderBy`` and no ``partitionBy`` moves every row into one task. Instead:
+A window with ``orderBy`` and no ``partitionBy`` moves every row into one task. Instead rows are
+range-partitioned on the whole order key, written once, and each range is finished by a window of
+its own:
 
-1. bucket boundaries = ``approxQuantile`` of the order key (a bounded list: ``n_buckets``
-   values reach the driver, like any fitted parameter);
-2. per-bucket totals (at most ``n_buckets`` rows) get exclusive prefix sums; that table
-   has a proven size bound, so it is broadcast back;
-3. inside a bucket an ordinary window partitioned by the bucket finishes the sum.
+1. ``repartitionByRange`` on the composite key splits hot leading values by themselves, since the
+   later keys count too;
+2. the ranges' totals (one row a range and group) get exclusive prefix sums;
+3. inside a range an ordinary window adds what lies before the row.
 
-Hot values are collapsed first: callers aggregate to distinct order keys (scores) before
-calling, or use ``row_numbers`` which ranks in levels (primary key, then secondary keys
-inside a primary value), so a value held by a third of all rows never becomes one task.
+The table is written between 1 and 2 because range bounds are sampled: reading it back, both passes
+see the same ranges.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
-
-EPOCH = "1970-01-01 00:00:00"
-
 
-def numeric_key(df: DataFrame, col: str) -> Column:
-    """Order-preserving double for numeric, date and timestamp columns."""
-    t = df.schema[col].dataType
-    if isinstance(t, TimestampNTZType):
-        return F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(col)).cast("double")
-    if isinstance(t, TimestampType):
-        return F.unix_seconds(F.col(col)).cast("double")
-    if isinstance(t, DateType):
-        return F.datediff(F.col(col), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(t, StringType):
-        # First 6 UTF-8 bytes as a big-endian integer: non-decreasing in Spark's byte-wise
-        # string order, so buckets stay ordered; the full string orders rows inside a bucket.
-        head = F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    return F.col(col).cast("double")
+from panelspark.session import materialize
 
 
-def default_buckets(spark) -> int:
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(4096, 4 * n))
+def _order(levels: list[tuple[str, bool]]) -> list:
+    return [F.col(c).desc() if desc else F.col(c).asc() for c, desc in levels]
 
 
-def _bucketed(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
-    num = df.withColumn("_okey", numeric_key(df, col))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = num.approxQuantile("_okey", probs, 1.0 / (4 * n_buckets)) if probs else []
-    splits = sorted({s for s in splits if s is not None and not math.isnan(s) and not math.isinf(s)})
-    if not splits:
-        return num.withColumn("_bkt", F.lit(0.0)).drop("_okey")
-    b = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol="_okey", outputCol="_bkt",
-                   handleInvalid="keep")
-    return b.transform(num).drop("_okey")
+def _ranged(df: DataFrame, levels: list[tuple[str, bool]]) -> DataFrame:
+    """``df`` with its range number ``_rg``, ascending in the order of ``levels``."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(n, *_order(levels)).withColumn("_rg", F.spark_partition_id()))
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
-                 n_buckets: int | None = None, prefix: str = "cum_", by: list[str] | None = None) -> DataFrame:
+                 prefix: str = "cum_", by: list[str] | None = None) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows up to and including this one in key order,
-    separately per ``by`` group (a small set of groups: classes, (column, repeat) pairs).
-
-    ``order_col`` must be unique within a group (aggregate to distinct keys first). Bucket
-    totals per (group, bucket) hold at most groups x n_buckets rows, so they are broadcast."""
+    separately per ``by`` group. ``order_col`` must be unique within a group (aggregate to
+    distinct keys first)."""
     by = by or []
-    spark = df.sparkSession
-    nb = n_buckets or default_buckets(spark)
-    d = _bucketed(df, order_col, nb)
-    border = -F.col("_bkt") if descending else F.col("_bkt")
-    d = d.withColumn("_bo", border)
-    totals = d.groupBy(*by, "_bo").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    wt = Window.partitionBy(*by).orderBy("_bo").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(*by, "_bo", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
-                                       for c in sum_cols])
-    d = d.join(F.broadcast(offs), [*by, "_bo"])
-    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    wi = Window.partitionBy(*by, "_bo").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    levels = [(c, False) for c in by] + [(order_col, descending)]
+    d = _ranged(df, levels)
+    totals = d.groupBy(*by, "_rg").agg(*[F.sum(c).alias(f"_o_{c}") for c in sum_cols])
+    wt = Window.partitionBy(*by).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select(*by, "_rg", *[F.coalesce(F.sum(f"_o_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    wi = Window.partitionBy(*by, "_rg").orderBy(*_order(levels[-1:])).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.join(offs, [*by, "_rg"])
     d = d.withColumns({f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(wi) for c in sum_cols})
-    return d.drop("_bkt", "_bo", *[f"_o_{c}" for c in sum_cols])
+    return d.drop("_rg", *[f"_o_{c}" for c in sum_cols])
 
 
 def row_numbers(df: DataFrame, levels: list[tuple[str, bool]], out: str = "rn",
-                n_buckets: int | None = None, sum_cols: list[str] | None = None) -> DataFrame:
+                sum_cols: list[str] | None = None) -> DataFrame:
     """Global 1-based row number for the order given by ``levels`` = [(col, descending), ...],
-    plus inclusive running sums ``cum_<c>`` of ``sum_cols`` in that order.
-
-    The last level must make the order total. Each level is ranked inside its parent value:
-    counts (and sums) of distinct (level_1..level_i) are prefix-summed within
-    (level_1..level_{i-1}), the top level with ``running_sums``; the last level uses a window
-    inside the deepest group, whose size is bounded by the cardinality of that last key."""
+    plus inclusive running sums ``cum_<c>`` of ``sum_cols`` in that order. The levels together
+    must make the order total."""
     sum_cols = sum_cols or []
-    keys = [c for c, _ in levels]
-    vals = ["_n"] + sum_cols
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(c) for c in sum_cols]
-    top, top_desc = levels[0]
-    cnt = df.groupBy(top).agg(*aggs)
-    cnt = running_sums(cnt, top, vals, top_desc, n_buckets).select(
-        top, *[(F.col(f"cum_{v}") - F.col(v)).alias(f"_off0_{v}") for v in vals])
-    d = df.join(cnt, top)
-    offs = {v: [f"_off0_{v}"] for v in vals}
-    for i in range(1, len(levels) - 1):
-        parent = keys[:i]
-        c, desc = levels[i]
-        g = df.groupBy(*keys[: i + 1]).agg(*aggs)
-        o = F.col(c).desc() if desc else F.col(c).asc()
-        w = Window.partitionBy(*parent).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
-        g = g.select(*keys[: i + 1], *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_off{i}_{v}") for v in vals])
-        d = d.join(g, keys[: i + 1])
-        for v in vals:
-            offs[v].append(f"_off{i}_{v}")
-    last, ldesc = levels[-1]
-    o = F.col(last).desc() if ldesc else F.col(last).asc()
-    w = Window.partitionBy(*keys[:-1]).orderBy(o)
-    wr = w.rowsBetween(Window.unboundedPreceding, 0)
-
-    def total(v):
-        return sum((F.col(c) for c in offs[v]), F.lit(0))
-
-    new = {out: (total("_n") + F.row_number().over(w)).cast("bigint")}
+    d = _ranged(df, levels)
+    totals = d.groupBy("_rg").agg(F.count(F.lit(1)).alias("_o_n"), *[F.sum(c).alias(f"_o_{c}") for c in sum_cols])
+    wt = Window.orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    names = ["n", *sum_cols]
+    offs = totals.select("_rg", *[F.coalesce(F.sum(f"_o_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in names])
+    w = Window.partitionBy("_rg").orderBy(*_order(levels))
+    new = {out: (F.col("_o_n") + F.row_number().over(w)).cast("bigint")}
     for c in sum_cols:
-        new[f"cum_{c}"] = total(c) + F.sum(c).over(wr)
-    drop = [c for v in vals for c in offs[v]]
-    return d.withColumns(new).drop(*drop)
+        new[f"cum_{c}"] = F.col(f"_o_{c}") + F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return d.join(offs, "_rg").withColumns(new).drop("_rg", *[f"_o_{c}" for c in names])
 
 
 def rolling_mean_global(df: DataFrame, rn_col: str, value_col: str, window: int, out: str,
@@ -142,71 +81,17 @@ def rolling_mean_global(df: DataFrame, rn_col: str, value_col: str, window: int,
     return u.withColumn(out, m).filter(~F.col("_halo")).drop("_blk", "_halo")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int | None = None) -> list:
-    """Exact linear-interpolated quantiles (numpy/DuckDB ``quantile_cont`` definition) without
-    an aggregate that holds every value in one task: values are counted per distinct value,
-    prefix-counted with ``running_sums``, and the rows whose count interval contains one of
-    the (at most 2 * len(probs)) target ranks are the only ones returned to the driver.
-    Nulls and NaN are ignored; returns [None, ...] for an empty column."""
-    vals = (df.select(F.col(col).cast("double").alias("_v"))
-            .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-    n = vals.agg(F.sum("_n")).collect()[0][0]
-    if not n:
-        return [None for _ in probs]
-    plan = []
-    for p in probs:
-        pos = (n - 1) * float(p)
-        lo = int(math.floor(pos))
-        hi = min(lo + 1, n - 1)
-        plan.append((lo, hi, pos - lo))
-    targets = sorted({r for lo, hi, _ in plan for r in (lo, hi)})
-    cum = running_sums(vals, "_v", ["_n"], False, n_buckets)
-    arr = F.array(*[F.lit(int(t)).cast("bigint") for t in targets])
-    prev = F.col("cum__n") - F.col("_n")
-    hits = cum.select("_v", F.explode(F.filter(arr, lambda r: (r >= prev) & (r < F.col("cum__n")))).alias("_r"))
-    at = {int(r["_r"]): float(r["_v"]) for r in hits.collect()}
-    out = []
-    for lo, hi, frac in plan:
-        a, b = at[lo], at[hi]
-        out.append(a if frac == 0 or a == b else a + (b - a) * frac)
-    return out
-
-
-# Largest per-column value count for which one task may sort a column's values (checked).
-SMALL_EXACT = 1_000_000
-
-
-def order_statistics_multi(df: DataFrame, cols: list[str], ranks: list[int] | dict,
-                           n_buckets: int | None = None, max_count: int | None = None) -> dict[str, dict[int, float]]:
+def order_statistics_multi(df: DataFrame, cols: list[str], ranks: list[int] | dict) -> dict[str, dict[int, float]]:
     """Values at 0-based ranks of each column's sorted non-null values; ``ranks`` is one list
-    for all columns or a dict per column. Only the requested order statistics reach the
-    driver. Columns with at most SMALL_EXACT values (``max_count``, checked by the caller or
-    counted here) are sorted in one task per column; larger ones use the bucketed running
-    counts, so no task ever holds an unbounded column."""
-    if not cols:
-        return {}
-    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
-                                            for c in cols])).alias("_s")).select("_s._c", "_s._v")
-    stacked = stacked.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    for all columns or a dict per column. Values are counted, the counts summed up in value order
+    per column, and only the rows whose count interval holds a wanted rank reach the driver."""
     targets = ranks if isinstance(ranks, dict) else {c: list(ranks) for c in cols}
     targets = {c: sorted(set(int(r) for r in t)) for c, t in targets.items() if t}
     out: dict = {c: {} for c in cols}
-    if not targets:
-        return out
-    if max_count is None:
-        max_count = stacked.groupBy("_c").count().agg(F.max("count")).collect()[0][0] or 0
-    if max_count <= SMALL_EXACT:
-        tmap = F.create_map(*[x for c, t in targets.items()
-                              for x in (F.lit(c), F.array(*[F.lit(v + 1) for v in t]))])
-        picked = (stacked.groupBy("_c").agg(F.sort_array(F.collect_list("_v")).alias("_a"))
-                  .select("_c", F.explode(F.coalesce(tmap[F.col("_c")], F.array().cast("array<int>"))).alias("_r"), "_a")
-                  .select("_c", (F.col("_r") - 1).alias("_r"), F.element_at("_a", F.col("_r")).alias("_v")))
-        for row in picked.collect():
-            out[row["_c"]][int(row["_r"])] = float(row["_v"])
+    if not cols or not targets:
         return out
-    vals = stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_sums(vals, "_v", ["_n"], False, n_buckets, by=["_c"])
+    vals = _stacked(df, cols).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_sums(vals, "_v", ["_n"], by=["_c"])
     tmap = F.create_map(*[x for c, t in targets.items()
                           for x in (F.lit(c), F.array(*[F.lit(v).cast("bigint") for v in t]))])
     prev = F.col("cum__n") - F.col("_n")
@@ -217,39 +102,24 @@ def order_statistics_multi(df: DataFrame, cols: list[str], ranks: list[int] | di
     return out
 
 
-def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
-                          n_buckets: int | None = None) -> dict[str, list]:
-    """``exact_quantiles`` for many columns in one set of jobs (columns stacked and ranked
-    per column): linear interpolation between the order statistics at floor/ceil of
-    (n - 1) p, the numpy / DuckDB ``quantile_cont`` definition."""
-    if not cols:
-        return {}
-    ns = {r["_c"]: r["n"] for r in
-          df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
-                                        for c in cols])).alias("_s")).select("_s._c", "_s._v")
-          .filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plans = {}
-    for c in cols:
-        n = ns.get(c)
-        if not n:
-            continue
-        plan = []
-        for p in probs:
-            pos = (n - 1) * float(p)
-            lo = int(math.floor(pos))
-            plan.append((lo, min(lo + 1, n - 1), pos - lo))
-        plans[c] = plan
+def _stacked(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``_c, _v``: one row for each value of each column, without null and NaN."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols])
+    return df.select(F.explode(pairs).alias("_s")).select("_s._c", "_s._v").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list]:
+    """Exact linear-interpolated quantiles of many columns (the numpy / DuckDB ``quantile_cont``
+    definition) without an aggregate that holds every value in one task. Nulls and NaN are ignored;
+    [None, ...] for a column without values."""
     out = {c: [None for _ in probs] for c in cols}
-    if not plans:
+    if not cols:
         return out
-    stats = order_statistics_multi(df, list(plans), {c: [r for lo, hi, _ in pl for r in (lo, hi)]
-                                                     for c, pl in plans.items()}, n_buckets,
-                                   max_count=max(ns.values()))
+    ns = {r["_c"]: r["count"] for r in _stacked(df, cols).groupBy("_c").count().collect()}  # a row a column
+    plans = {c: [(int((n - 1) * float(p)), (n - 1) * float(p) - int((n - 1) * float(p))) for p in probs] for c, n in ns.items()}
+    stats = order_statistics_multi(df, list(plans), {c: [r for lo, _ in pl for r in (lo, min(lo + 1, ns[c] - 1))] for c, pl in plans.items()})
     for c, plan in plans.items():
-        at = stats[c]
-        res = []
-        for lo, hi, frac in plan:
-            a, b = at[lo], at[hi]
-            res.append(a if frac == 0 or a == b else a + (b - a) * frac)
-        out[c] = res
+        for i, (lo, frac) in enumerate(plan):
+            a, b = stats[c][lo], stats[c][min(lo + 1, ns[c] - 1)]
+            out[c][i] = a if frac == 0 or a == b else a + (b - a) * frac
     return out

@@ -64,7 +64,8 @@ def permutation_importance(model: mo.FittedPanelModel, test: DataFrame, cols: li
     reps = F.explode(F.array(*[F.struct(F.lit(rep).alias("r"), F.lit(a).cast("bigint").alias("a"),
                                          F.lit(b).cast("bigint").alias("b")) for rep, (a, b) in enumerate(ab)]))
     perm = (ids.select("*", reps.alias("_p"))
-            .withColumns({"_rep": F.col("_p.r"), "_pid": (F.col("_id") * F.col("_p.a") + F.col("_p.b")) % F.lit(n)})
+            .withColumns({"_rep": F.col("_p.r"), "_pid": ((F.col("_id").cast("decimal(19,0)") * F.col("_p.a").cast("decimal(18,0)") + F.col("_p.b"))
+                                                                % F.lit(n)).cast("bigint")})
             .drop("_p"))
     stacked = perm.join(donors, "_pid")
     stacked = stacked.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in cols])))

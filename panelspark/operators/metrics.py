@@ -64,7 +64,7 @@ def _cumulative(sc: DataFrame, by: list[str], score_col: str = "score", scan: st
         out = running_sums(sc, score_col, ["pos", "neg"], descending=True, by=by)
         out = out.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
         tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        return out.join(F.broadcast(tot), by)
+        return out.join(tot, by)
     if by:
         w = Window.partitionBy(*by).orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
         out = sc.withColumns({"tps": F.sum("pos").over(w), "fps": F.sum("neg").over(w)})

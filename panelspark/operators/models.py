@@ -25,6 +25,7 @@ from panelspark.functions.ordered import exact_quantiles_multi
 
 TICKER_COL = "__ticker__"
 LABEL = "Target"
+TOLERANCE = 1e-4  # fixed value: the reference solvers' stopping tolerance
 
 
 # ------------------------------------------------------------------ M1-M3
@@ -67,30 +68,32 @@ def onehot_stages(cat_col: str = TICKER_COL) -> list:
 
 # ------------------------------------------------------------------ M4-M8
 
-def logistic_regression(C: float = 1.0, n: int | None = None, max_iter: int = 100):
-    """M6: L2 logistic regression; sklearn's C maps to regParam = 1 / (C n)."""
-    reg = 1.0 / (C * n) if n else 1.0 / C
-    return LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False, maxIter=max_iter,
+def logistic_regression(C: float, weight: float, max_iter: int = 2000):
+    """M6: L2 logistic regression. C weighs the summed loss, regParam the mean one: regParam =
+    1 / (C ``weight``), the number of training rows (or their summed weights)."""
+    return LogisticRegression(regParam=1.0 / (C * weight), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
                               featuresCol="features", labelCol=LABEL)
 
 
-def linear_svc(C: float = 1.0, n: float | None = None, max_iter: int = 100):
-    """M7: linear SVM (hinge) with balanced class weights; regParam = 1 / (C sum(w))."""
-    reg = 1.0 / (C * n) if n else 1.0 / C
-    return LinearSVC(regParam=reg, standardization=False, maxIter=max_iter, weightCol="_w",
+def linear_svc(C: float, weight: float, max_iter: int = 3000):
+    """M7: linear SVM (hinge) with balanced class weights; regParam = 1 / (C sum of weights)."""
+    return LinearSVC(regParam=1.0 / (C * weight), standardization=False, maxIter=max_iter, tol=TOLERANCE, weightCol="_w",
                      featuresCol="features", labelCol=LABEL)
 
 
 def sgd_hinge(alpha: float = 1e-4, max_iter: int = 100):
     """M8: averaged-SGD hinge objective; the same objective as ``LinearSVC(regParam=alpha)``
     (the averaging of the SGD iterates is not reproduced)."""
-    return LinearSVC(regParam=alpha, standardization=False, maxIter=max_iter, featuresCol="features",
+    return LinearSVC(regParam=alpha, standardization=False, maxIter=max_iter, tol=TOLERANCE, featuresCol="features",
                      labelCol=LABEL)
 
 
 def random_forest(n_trees: int = 400, seed: int = 42, max_depth: int = 30, **kw):
-    """M5: forest with balanced class weights (global weights instead of per-bootstrap)."""
-    return RandomForestClassifier(numTrees=n_trees, seed=seed, maxDepth=min(max_depth, 30), weightCol="_w",
+    """M5: forest with balanced class weights (global weights instead of per-bootstrap). Spark's
+    trees are at most 30 levels deep; an unbounded reference depth is asked for as 30."""
+    if max_depth > 30:
+        raise ValueError(f"max_depth {max_depth} is beyond the 30 levels of Spark's trees")
+    return RandomForestClassifier(numTrees=n_trees, seed=seed, maxDepth=max_depth, weightCol="_w",
                                   featuresCol="features", labelCol=LABEL, **kw)
 
 
@@ -138,24 +141,43 @@ class FittedPanelModel:
         return list(self.num_cols) + [f"{TICKER_COL}_{c}" for c in labels]
 
 
-def fit_pipeline(train: DataFrame, num_cols: list[str], model, kind: str, scale: bool = True,
-                 cat_col: str = TICKER_COL) -> FittedPanelModel:
-    """M4 / M5: fit preprocessing on ``train`` and then the classifier."""
+@dataclass
+class Prepared:
+    """Preprocessing fitted on one training set: what every classifier of a grid shares."""
+    num_cols: list[str]
+    medians: dict
+    scale: dict
+    encoder: PipelineModel
+    rows: int
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        out = apply_impute(df, self.medians)
+        return self.encoder.transform(apply_scale(out, self.scale) if self.scale else out)
+
+
+def fit_preparation(train: DataFrame, num_cols: list[str], scale: bool = True, cat_col: str = TICKER_COL) -> Prepared:
+    """M1-M3 on ``train``."""
     medians = fit_medians(train, num_cols)
     prepped = apply_impute(train, medians)
     sc = fit_scaler(prepped, num_cols) if scale else {}
-    prepped = apply_scale(prepped, sc) if sc else prepped
-    if "_w" not in prepped.columns and model.hasParam("weightCol") and model.isDefined("weightCol") \
-            and model.getOrDefault("weightCol") == "_w":
-        prepped = balanced_weights(prepped)
     stages = onehot_stages(cat_col) + [
-        VectorAssembler(inputCols=list(num_cols) + [f"{cat_col}_oh"], outputCol="features", handleInvalid="keep"),
-        model]
-    pm = Pipeline(stages=stages).fit(prepped)
-    return FittedPanelModel(list(num_cols), medians, sc, pm, kind)
+        VectorAssembler(inputCols=list(num_cols) + [f"{cat_col}_oh"], outputCol="features", handleInvalid="keep")]
+    encoder = Pipeline(stages=stages).fit(apply_scale(prepped, sc) if sc else prepped)
+    return Prepared(list(num_cols), medians, sc, encoder, train.count())
+
 
+def weighted(df: DataFrame, model) -> DataFrame:
+    """``df`` with balanced weights, if ``model`` takes some."""
+    takes = model.hasParam("weightCol") and model.isDefined("weightCol") and model.getOrDefault("weightCol") == "_w"
+    return balanced_weights(df) if takes and "_w" not in df.columns else df
 
-def majority_class(train: DataFrame, label: str = LABEL) -> DataFrame:
-    """M9: the most frequent label (ties -> the smaller label), as a one-row DataFrame."""
-    return train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.max_by(label, F.struct(F.col("n"), -F.col(label))).alias("majority"))
+
+def fit_pipeline(train: DataFrame, num_cols: list[str], model, kind: str, scale: bool = True,
+                 cat_col: str = TICKER_COL) -> FittedPanelModel:
+    """M4 / M5: fit preprocessing on ``train`` and then the classifier (an estimator, or a function
+    that makes it of the summed training weights, which balanced weights leave at the row count)."""
+    prep = fit_preparation(train, num_cols, scale, cat_col)
+    if callable(model):
+        model = model(float(prep.rows))
+    fitted = model.fit(weighted(prep.vectors(train), model))
+    return FittedPanelModel(prep.num_cols, prep.medians, prep.scale, PipelineModel([*prep.encoder.stages, fitted]), kind)

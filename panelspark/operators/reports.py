@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +46,8 @@ def dummy_baseline(df: DataFrame, train_cutoff: str, order: str = "Date") -> Dat
 def sweep_curves(inner: DataFrame, param: str = "param", metric: str = "metric") -> DataFrame:
     """N3 + N4 in one pass: mean inner metric by (outer fold, param) and by param
     (``outer_fold`` null on the overall rows)."""
-    return (inner.groupBy(F.col("outer_fold"), F.col(param)).agg(F.avg(metric).alias(f"mean_{metric}"))
-            .unionByName(inner.groupBy(param).agg(F.avg(metric).alias(f"mean_{metric}"))
-                         .withColumn("outer_fold", F.lit(None).cast("int"))))
+    fold, value = F.col("outer_fold"), F.col(param)
+    return inner.groupingSets([[fold, value], [value]], fold, value).agg(F.avg(metric).alias(f"mean_{metric}"))
 
 
 def param_box(outer: DataFrame, param: str = "param") -> DataFrame:
@@ -91,10 +88,3 @@ def panel_info(df: DataFrame) -> DataFrame:
                              F.col(f"nn_{i}").alias("non_null"), F.col("__rows").alias("rows"))
                     for i, c in enumerate(df.columns)])
     return agg.select(F.explode(arr).alias("r")).select("r.*")
-
-
-def median_of(values: list[float]) -> float:
-    v = sorted(values)
-    if not v:
-        return math.nan
-    return (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2

@@ -25,8 +25,10 @@ from panelspark.session import wide_plan_settings
 from panelspark.sources import testbeds as tb
 from panelspark.session import materialize
 
-SVC_GRID = [0.01, 1.0]
-SGD_GRID = [1e-4, 1e-2]
+# The reference's grids.
+SVC_GRID = rp.log_grid(-4, 0, 15)
+SGD_GRID = rp.log_grid(-6, -2, 12)
+SWEEP_ITER = 100  # the solver's iterations in a sweep
 
 
 def _panel(spark, sf):
@@ -186,15 +188,15 @@ def q_info(spark, sf):
 # ------------------------------------------------------------------ models and search (rows only)
 
 def _lr(c):
-    return mo.logistic_regression(C=c, max_iter=20)
+    return lambda weight: mo.logistic_regression(c, weight)
 
 
 def _svc(c):
-    return mo.linear_svc(C=c, max_iter=20)
+    return lambda weight: mo.linear_svc(c, weight, max_iter=SWEEP_ITER)
 
 
 def _sgd(a):
-    return mo.sgd_hinge(alpha=a, max_iter=20)
+    return lambda weight: mo.sgd_hinge(alpha=a, max_iter=SWEEP_ITER)
 
 
 @register("cv_logreg")
@@ -290,5 +292,5 @@ def q_rf_search(spark, sf):
     """M14 + M15: seeded random search per outer fold (2 draws here), best fold."""
     pairs = _pairs(spark, sf)
     cols = _num_cols(pairs.drop("fold", "role"))
-    cv = se.random_search(pairs, cols, n_iter=2, inner_splits=3, seed=42, tree_cap=20)
+    cv = se.random_search(pairs, cols, n_iter=2, inner_splits=3, seed=42)
     return rounded(se.best_fold(cv))

@@ -46,3 +46,19 @@ def q_csv_sink(spark, sf):
     """S6 CSV form (dates as yyyy-MM-dd) read back with S1."""
     path = fs.write_panel(tb.calm_bars(spark, sf), fs.new_scratch(spark, "panel_csv"), fmt="csv")
     return rounded(fs.load_csv_bars(spark, path).select("ticker", "Date", *BARS))
+
+
+_NUMERIC_SQL = f"""SELECT lpad(CAST(l_suppkey AS VARCHAR), 4, '0') AS ticker, l_shipdate AS "Date",
+  round(sum(l_quantity) + 3.1e-10, 6) + 0.0 AS "Volume" FROM lineitem
+  WHERE lpad(CAST(l_suppkey AS VARCHAR), 4, '0') <> '0001' GROUP BY 1, 2"""
+
+
+@register("numeric_ticker_roundtrip", _NUMERIC_SQL)
+def q_numeric_ticker(spark, sf):
+    """S6 + S2/S3 with tickers that look like numbers, read back by a ticker list."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(
+        F.lpad(F.col("l_suppkey").cast("string"), 4, "0").alias("ticker"), F.col("l_shipdate").cast("timestamp_ntz").alias("Date")
+    ).agg(F.sum("l_quantity").alias("Volume"))
+    path = fs.write_panel(rows, fs.new_scratch(spark, "numeric"))
+    wanted = [r["ticker"] for r in rows.select("ticker").distinct().where("ticker <> '0001'").collect()]
+    return rounded(fs.read_panel(spark, path, wanted).select("ticker", "Date", "Volume"))

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from panelspark.session import scratch_path
 
@@ -22,13 +23,25 @@ def title_case(name: str) -> str:
     return name.strip().title()
 
 
+def _number(c):
+    """Null for NaN, which would pass null checks and poison windows."""
+    return F.nullif(c, F.lit(float("nan")))
+
+
+def _text_key(schema: StructType, key: str) -> StructType:
+    return StructType([StructField(f.name, StringType() if f.name == key else f.dataType, f.nullable) for f in schema])
+
+
 def load_csv_bars(spark: SparkSession, path: str, ticker: str | None = None) -> DataFrame:
     """Raw OHLCV CSV -> (ticker, Date, Open.., Volume).
 
     All columns are read as strings; headers are stripped and title-cased; the ticker comes
     from the argument, a ``ticker=`` partition folder, or the file name (``TICKER.csv``).
-    Bad dates drop the row, bad numbers become null (``try_cast``)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    Bad dates drop the row, bad numbers and NaN become null."""
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    raw = reader.csv(path)
+    if "ticker" in raw.columns:  # a folder name: text, whatever it looks like
+        raw = reader.schema(_text_key(raw.schema, "ticker")).option("enforceSchema", False).csv(path)
     if "ticker" in raw.columns:
         raw = raw.withColumnRenamed("ticker", "__tk")
     renamed = {c: title_case(c) for c in raw.columns if c != "__tk"}
@@ -42,7 +55,7 @@ def load_csv_bars(spark: SparkSession, path: str, ticker: str | None = None) ->
     date = F.to_timestamp(F.try_to_timestamp(F.trim(F.col("Date")))).cast("timestamp_ntz")
     keep = [c for c in RELEVANT if c in df.columns]
     out = df.select(tk.cast("string").alias("ticker"), date.alias("Date"),
-                    *[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in keep])
+                    *[_number(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(c) for c in keep])
     return out.filter(F.col("Date").isNotNull())
 
 
@@ -52,13 +65,13 @@ def wide_to_long(df: DataFrame, date_col: str = "Date", ticker: str | None = Non
     value_cols = [c for c in df.columns if c != date_col]
     if all(c in FIELDS for c in value_cols):
         return df.select(F.lit(ticker).alias("ticker"), F.col(date_col).alias("Date"),
-                         *[F.col(c).cast("double").alias(c) for c in FIELDS if c in value_cols])
+                         *[_number(F.col(c).cast("double")).alias(c) for c in FIELDS if c in value_cols])
     stacked = df.unpivot([date_col], value_cols, "col", "value")
     parts = stacked.select(
         F.col(date_col).alias("Date"),
         F.regexp_extract("col", r"^(.*)_([^_]+)$", 1).alias("ticker"),
         F.regexp_extract("col", r"^(.*)_([^_]+)$", 2).alias("field"),
-        F.col("value").cast("double").alias("value"))
+        _number(F.col("value").cast("double")).alias("value"))
     parts = parts.filter(F.col("field").isin(FIELDS) & F.col("value").isNotNull())
     return parts.groupBy("ticker", "Date").pivot("field", FIELDS).agg(F.first("value"))
 
@@ -72,8 +85,9 @@ def long_to_wide(df: DataFrame, key: str = "ticker", date_col: str = "Date") ->
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet", key: str = "ticker",
                 mode: str = "overwrite") -> str:
-    """One folder per ticker (Parquet by default; CSV with ``yyyy-MM-dd`` dates)."""
-    w = df.write.mode(mode).partitionBy(key)
+    """One folder and one file per ticker (Parquet by default; CSV with ``yyyy-MM-dd`` dates).
+    Rows of a ticker, which the calendar bounds, are brought together first."""
+    w = df.repartition(key).write.mode(mode).partitionBy(key)
     if fmt == "csv":
         w.option("header", True).option("dateFormat", "yyyy-MM-dd") \
          .option("timestampNTZFormat", "yyyy-MM-dd").csv(path)
@@ -83,8 +97,9 @@ def write_panel(df: DataFrame, path: str, fmt: str = "parquet", key: str = "tick
 
 
 def read_panel(spark: SparkSession, path: str, tickers=None, key: str = "ticker") -> DataFrame:
-    """Read a processed panel; a ticker list becomes a partition filter."""
-    df = spark.read.parquet(path)
+    """Read a processed panel; a ticker list becomes a partition filter. Tickers are text, so
+    that "0700" doesn't come back as a number."""
+    df = spark.read.schema(_text_key(spark.read.parquet(path).schema, key)).parquet(path)
     return df.filter(F.col(key).isin(list(tickers))) if tickers is not None else df
 
 

@@ -114,7 +114,13 @@ class Encoder:
         if None in got:
             for i, x in enumerate(got):
                 if x is None:
-                    got[i] = self._piece(" " + pieces[i])
+                    p = pieces[i]
+                    if p.isalpha():  # most of them
+                        got[i] = x = self._letters(p, " ")
+                        if len(self.memo) + len(self.spaced) < MEMO and len(p) <= 64:
+                            self.spaced[p] = x
+                    else:
+                        got[i] = self._piece(" " + p)
         return got
 
     def encode(self, text: str | None) -> bytes:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from panelspark.llm.common import lean, rows
-from panelspark.llm.tokens import Encoder, in_order
+from panelspark.llm.tokens import MEMO, Encoder, in_order
 
 SIZE = 1024
 END_ID = 0
@@ -162,19 +162,20 @@ class Packer:
         return out
 
 
-def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE, memo: int = MEMO) -> DataFrame:
     """One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and the
     sequence's ``sequence_tokens`` and ``padding``.
 
     Null and empty texts are documents of the end id alone; rows without doc_id come first;
     repeated rows are packed each; other columns are ignored; an empty table gives an empty result.
-    One range shuffle of the texts; a task plans ``BLOCK`` ids at a time.
+    One range shuffle of the texts; a task plans ``BLOCK`` ids at a time. ``memo``: token pieces a
+    worker remembers, time for memory.
     """
     if size < 1 or size & (size - 1):
         raise ValueError("size must be a power of two")
 
     def run(batches):
-        enc = Encoder.open(path)
+        enc = Encoder.open(path, memo)
         packer = Packer(sentence_ends(path), size, first=TaskContext.get().partitionId() << SHARD_BITS)
         for b in batches:
             for d, t in rows(b, "doc_id", "text"):

@@ -42,7 +42,7 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_read(spark, sf_dir, "documents"), tokens.tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(_read(spark, sf_dir, "documents"), tokens.tokenizer_path("byte_bpe_50k.json"), memo=900_000)
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

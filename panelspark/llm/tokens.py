@@ -72,13 +72,16 @@ class Encoder:
         # a tokenizer that drops white space encodes "a b" as "a" + "b", others as "a" + " b"
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
         self.lowers = self._whole("A") == self._whole("a")
+        self.limit = MEMO
         self.memo: dict[str, bytes] = {}  # pieces as they stand
         self.spaced: dict[str, bytes] = {}  # pieces that a space precedes, without it
 
     @classmethod
-    def open(cls, path: str) -> Encoder:
+    def open(cls, path: str, memo: int = MEMO) -> Encoder:
+        """A worker's encoder, which remembers at most ``memo`` pieces (about 150 bytes each)."""
         if path not in cls._open:
             cls._open[path] = cls(path)
+        cls._open[path].limit = memo
         return cls._open[path]
 
     def _whole(self, piece: str) -> bytes:
@@ -100,7 +103,7 @@ class Encoder:
             else:
                 word = p[1:] if p[:1] == " " else p
                 ids_ = self._letters(word, p[: len(p) - len(word)]) if word.isalpha() else self._whole(p)
-            if len(self.memo) + len(self.spaced) < MEMO and len(p) <= 64:
+            if len(self.memo) + len(self.spaced) < self.limit and len(p) <= 64:
                 if p[:1] == " ":
                     self.spaced[p[1:]] = ids_
                 else:
@@ -117,7 +120,7 @@ class Encoder:
                     p = pieces[i]
                     if p.isalpha():  # most of them
                         got[i] = x = self._letters(p, " ")
-                        if len(self.memo) + len(self.spaced) < MEMO and len(p) <= 64:
+                        if len(self.memo) + len(self.spaced) < self.limit and len(p) <= 64:
                             self.spaced[p] = x
                     else:
                         got[i] = self._piece(" " + p)

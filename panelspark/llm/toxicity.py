@@ -2,8 +2,11 @@
 
 Two zstandard dictionaries, one for ordinary and one for toxic text. What a window of a document
 costs under each is compared: the toxic dictionary saves bytes where a window holds toxic wording.
-Each holds the word stems of its own trained dictionary that its class uses far more often than
-the other, followed by the same trained content, so that common wording costs the same in both.
+Both hold the content trained on ordinary text, so that common wording costs the same in both. The
+toxic one ends in the word stems that toxic documents use more often than others, those that tell
+most at the very end; they are taken out of the common content, wherever they stand. No share or ratio
+keeps a stem out: how many bytes of them the dictionary takes is what tells unseen labelled texts apart best.
+(A dictionary trained on whole toxic text holds mostly its ordinary prose: README.)
 How much a saving means is calibrated on documents kept out of dictionary training (two folds): the
 log odds of each saving, summed over a document's windows, the largest saving, and the number and share of windows that save
 much go through a logistic threshold.
@@ -26,11 +29,12 @@ from panelspark.llm.common import fraction_hash, ids, lean, logistic, rows
 
 WINDOW = 96  # bytes
 LONGEST = 24  # bytes of a stem
-MIN_MATCH = 4
+MIN_MATCH = 4  # bytes; shorter stems can't match
+SEARCH_LOG = 6  # at level 3's own depth (2) most stems of a dictionary are never found
 DICT_BYTES = 100 << 10  # trained per class
 COMMON_BYTES = 100 << 10  # of the ordinary one, at the end of both
-GRAM = 5  # bytes; wording is compared between the classes by runs of so many
-LEAST, RATIO = 0.02, 10.0  # share of its class's documents that hold it, and times the other's share
+STEM_BYTES = [16 << k for k in range(12)]  # of toxic stems; calibration decides how many
+WORSE = 3  # sizes in a row that tell less end the search
 FIT_TOXIC, FIT_ORDINARY = 4_000, 6_000  # labelled documents learned from, by least id hash
 FIT_BYTES = 20 << 20  # their texts on the driver
 SAVING = 12  # savings are counted from -SAVING to SAVING
@@ -59,7 +63,7 @@ def cut_windows(b: bytes, size: int = WINDOW) -> list[bytes]:
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     params = zstandard.ZstdCompressionParameters.from_level(
         3, source_size=WINDOW, dict_size=len(content), min_match=MIN_MATCH, strategy=zstandard.STRATEGY_BTULTRA,
-        write_content_size=False, write_checksum=False, write_dict_id=False)
+        search_log=SEARCH_LOG, chain_log=18, hash_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
     return zstandard.ZstdCompressor(
         compression_params=params, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
@@ -70,23 +74,6 @@ def savings(text: bytes, ordinary, toxic) -> np.ndarray:
     return np.clip(np.array(d, dtype=np.int64), -SAVING, SAVING)
 
 
-def _grams(b: bytes) -> np.ndarray:
-    a = np.frombuffer(b, np.uint8).astype(np.uint64)
-    h = np.zeros(max(len(a) - GRAM + 1, 0), dtype=np.uint64)
-    for k in range(GRAM):
-        h = h * np.uint64(256) + a[k : k + len(h)]
-    return h
-
-
-def _frequencies(docs: list[bytes], wanted: np.ndarray) -> np.ndarray:
-    """Share of the documents that hold each of the wanted grams (sorted)."""
-    n = np.zeros(len(wanted))
-    for d in docs:
-        g = np.unique(_grams(d))
-        n += np.isin(wanted, g, assume_unique=True)
-    return n / max(len(docs), 1)
-
-
 def train(docs: list[bytes]) -> bytes:
     """Dictionary content for a class; its raw text where there is too little to train on."""
     try:
@@ -95,46 +82,72 @@ def train(docs: list[bytes]) -> bytes:
         return b" ".join(docs)[-DICT_BYTES:]
 
 
-def own_words(content: bytes, own: list[bytes], other: list[bytes]) -> list[bytes]:
-    """Word stems in a class's dictionary that the class uses ``RATIO`` times as often as the other."""
-    at = _grams(content)
-    if not len(at):
-        return []
-    wanted = np.unique(at)
-    mine, theirs = _frequencies(own, wanted), _frequencies(other, wanted)
-    good = (mine >= max(LEAST, 3 / max(len(own), 1))) & (mine >= RATIO * (theirs + 1 / (len(other) + 1)))
-    start = good[np.searchsorted(wanted, at)]
-    inside = np.zeros(len(content), dtype=bool)
-    for k in range(GRAM):
-        inside[k : k + len(start)] |= start
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
-    found: set[bytes] = set()
-    for s, e in zip(edges[::2], edges[1::2]):
-        found.update(w for w in NOT_WORD.split(content[s:e]) if len(w) >= GRAM - 1)
-    stems = {w[:k] for w in found for k in range(GRAM - 1, len(w) + 1)}
-    mine_of, theirs_of = _stem_counts(own, stems), _stem_counts(other, stems)
-    short: set[bytes] = set()
-    for w in found:
-        short.update([w[:k] for k in range(GRAM - 1, len(w) + 1)
-                      if mine_of[w[:k]] >= max(LEAST * len(own), 3)
-                      and mine_of[w[:k]] / len(own) >= RATIO * (theirs_of[w[:k]] + 1) / (len(other) + 1)][:1])
-    longer: Counter = Counter()
-    for d in own:
-        longer.update({w[:k] for w in set(NOT_WORD.split(d)) for j in range(GRAM - 1, len(w) + 1) if w[:j] in short
-                       for k in range(j, min(len(w), LONGEST) + 1)})
-    # of each stem the longest form that most of its documents share
-    return sorted({max((x for x in longer if x.startswith(w) and 2 * longer[x] >= longer[w]), key=lambda x: (len(x), x)) for w in short})
-
-
-def _stem_counts(docs: list[bytes], stems: set[bytes]) -> Counter:
+def _stems(docs: list[bytes]) -> Counter:
+    """Documents that hold a word with a stem, of all stems that two documents hold."""
+    counts: Counter = Counter()
+    left = [{w for w in set(NOT_WORD.split(d)) if len(w) >= MIN_MATCH} for d in docs]
+    for k in range(MIN_MATCH, LONGEST + 1):
+        of = Counter()
+        for ws in left:
+            of.update({w[:k] for w in ws})
+        of = Counter({w: n for w, n in of.items() if n > 1})
+        counts.update(of)
+        left = [kept for ws in left if (kept := {w for w in ws if len(w) > k and w[:k] in of})]
+    return counts
+
+
+def _stem_counts(docs: list[bytes], stems) -> Counter:
     """Documents that hold a word with each of the stems."""
     counts: Counter = Counter()
     longest = max(map(len, stems), default=0)
     for d in docs:
-        counts.update({w[:k] for w in set(NOT_WORD.split(d)) for k in range(GRAM - 1, min(len(w), longest) + 1) if w[:k] in stems})
+        counts.update({w[:k] for w in set(NOT_WORD.split(d)) for k in range(MIN_MATCH, min(len(w), longest) + 1) if w[:k] in stems})
     return counts
 
 
+def own_words(own: list[bytes], other: list[bytes]) -> list[bytes]:
+    """Word stems that a class uses more often than the other, those that tell most first (by the
+    log likelihood ratio of their shares). A stem that most of its documents hold within a longer
+    one before it is left to that."""
+    mine = _stems(own)
+    theirs = _stem_counts(other, mine)
+    n, m = len(own), len(other)
+
+    def tells(a: int, b: int) -> float:
+        p = (a + b) / (n + m)
+        return sum(x * np.log(x / e) for x, e in ((a, n * p), (n - a, n * (1 - p)), (b, m * p), (m - b, m * (1 - p))) if x > 0)
+
+    value: dict[tuple[int, int], float] = {}
+    found = []
+    for w, a in mine.items():
+        k = (a, theirs[w])
+        if a * m > k[1] * n:
+            if k not in value:
+                value[k] = float(tells(*k))
+            found.append((-value[k], -len(w), w))
+    out, held = [], set()
+    for _, _, w in sorted(found):
+        if w not in held:
+            out.append(w)
+            held.update(w[:k] for k in range(MIN_MATCH, len(w) + 1) if 2 * mine[w] >= mine[w[:k]])
+    return out
+
+
+def without(content: bytes, stems: list[bytes]) -> bytes:
+    """``content`` with the stems taken out, of several at one place the longest."""
+    by_start: dict[bytes, list[bytes]] = {}
+    for w in sorted(stems, key=len, reverse=True):
+        by_start.setdefault(w[:MIN_MATCH], []).append(w)
+    out, i, last = [], 0, 0
+    while i < len(content):
+        w = next((w for w in by_start.get(content[i : i + MIN_MATCH], ()) if content.startswith(w, i)), None)
+        if w:
+            out.append(content[last:i])
+            last = i + len(w)
+        i += len(w) if w else 1
+    return b"".join([*out, content[last:]])
+
+
 @dataclass
 class Model:
     ordinary: bytes
@@ -155,33 +168,51 @@ class Model:
         return 1.0 / (1.0 + np.exp(-min(max(z, -500.0), 500.0)))
 
 
-def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """Content of the ordinary and of the toxic dictionary."""
-    td, od = train(toxic), train(ordinary)
-    mark = lambda ws: b" " + b" ".join(ws) + b" "
-    base = od[-COMMON_BYTES:]
-    return mark(own_words(od, ordinary, toxic)) + base, mark(own_words(td, toxic, ordinary)) + base
+def dictionaries(base: bytes, words: list[bytes], size: int) -> tuple[bytes, bytes]:
+    """Content of the ordinary and of the toxic dictionary, with ``size`` bytes of toxic stems."""
+    end = np.cumsum([len(w) + 1 for w in words])
+    taken = words[: int(np.searchsorted(end, size, side="right"))]
+    base = without(base[-COMMON_BYTES:], taken)
+    return base, base + b" " + b" ".join(reversed(taken)) + b" "
+
+
+def calibrate(m: Model, seen: list[list[np.ndarray]]) -> float:
+    """Sets what savings mean in ``m`` by savings of unseen texts; the log loss."""
+    hist = [np.bincount(np.concatenate([*ds, [SAVING]]) + SAVING, minlength=2 * SAVING + 1) + 0.5 for ds in seen]
+    m.odds = np.log(hist[1] / hist[1].sum()) - np.log(hist[0] / hist[0].sum())
+    x = np.array([m.features(d) for ds in seen for d in ds])
+    y = np.repeat([0.0, 1.0], [len(seen[0]), len(seen[1])])
+    m.weights = logistic(x, y)
+    return float(np.logaddexp(0.0, np.where(y > 0, -1.0, 1.0) * (x @ m.weights)).sum())
 
 
 def fit_texts(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
-    """Model of labelled texts (None unless both classes have some). The dictionaries are trained on
-    all texts; what savings mean is calibrated in two folds, each with dictionaries of the other."""
+    """Model of labelled texts (None unless both classes have some). The dictionaries are made of
+    all texts; how many stems they take and what savings mean is calibrated in two folds, each with
+    dictionaries of the other."""
     classes = [list(dict.fromkeys(ordinary)), list(dict.fromkeys(toxic))]
     if not all(classes):
         return None
     part = lambda docs, k: [d for d in docs if zlib.crc32(d) % 2 == k]
-    seen: list[list[np.ndarray]] = [[], []]
-    for k in (0, 1):
-        learned = [part(docs, k) or docs for docs in classes]
-        cs = [compressor(c) for c in dictionaries(learned[1], learned[0])]
-        for label, docs in enumerate(classes):
-            seen[label] += [savings(d, *cs) for d in part(docs, 1 - k)]
-    m = Model(*dictionaries(classes[1], classes[0]), np.zeros(2 * SAVING + 1), np.zeros(5))
-    hist = [np.bincount(np.concatenate([*ds, [SAVING]]) + SAVING, minlength=2 * SAVING + 1) + 0.5 for ds in seen]
-    m.odds = np.log(hist[1] / hist[1].sum()) - np.log(hist[0] / hist[0].sum())
-    x = np.array([m.features(d) for ds in seen for d in ds])
-    m.weights = logistic(x, np.repeat([0.0, 1.0], [len(seen[0]), len(seen[1])]))
-    return m
+    learned = [[part(docs, k) or docs for docs in classes] for k in (0, 1)]
+    made = [(train(o), own_words(t, o)) for o, t in learned]
+    whole = train(classes[0]), own_words(classes[1], classes[0])
+    best, worse = None, 0
+    for size in STEM_BYTES:
+        seen: list[list[np.ndarray]] = [[], []]
+        for k in (0, 1):
+            cs = [compressor(c) for c in dictionaries(*made[k], size)]
+            for label, docs in enumerate(classes):
+                seen[label] += [savings(d, *cs) for d in part(docs, 1 - k)]
+        m = Model(*dictionaries(*whole, size), np.zeros(2 * SAVING + 1), np.zeros(5))
+        loss = calibrate(m, seen)
+        if best is None or loss < best[0]:
+            best, worse = (loss, m), 0
+        else:
+            worse += 1
+        if worse == WORSE or size >= max(sum(len(w) + 1 for w in words) for _, words in (*made, whole)):
+            break
+    return best[1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordinary: int = FIT_ORDINARY,

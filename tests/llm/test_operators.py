@@ -221,6 +221,32 @@ def test_toxicity(spark):
     assert toxicity.classify(docs.limit(0), labels).collect() == []
 
 
+def test_toxic_wording_that_ordinary_texts_also_hold():
+    """Every toxic text holds four words of a stem, one ordinary text in five holds one of them."""
+    syllables = ["ver", "ach", "lun", "keit", "mor", "gen", "tal", "rup", "ein", "sch", "bel", "ond"]
+
+    def doc(s, toxic):
+        r = np.random.RandomState(s)
+        w = ["".join(r.choice(syllables, r.randint(1, 5))) for _ in range(80)]
+        for p in r.randint(0, 80, 4 if toxic else int(s % 5 == 0)):
+            w[p] = "achlurun" + "".join(r.choice(syllables, 2))
+        return " ".join(w).encode()
+
+    m = toxicity.fit_texts([doc(s, True) for s in range(200)], [doc(s, False) for s in range(1000, 1600)])
+    cs = m.compressors()
+    said = lambda s, toxic: m.score(toxicity.savings(doc(s, toxic), *cs)) >= toxicity.THRESHOLD
+    assert np.mean([said(s, True) for s in range(5000, 5100)]) > 0.8
+    assert np.mean([said(s, False) for s in range(6000, 6300)]) < 0.05
+
+
+def test_toxic_stems_leave_the_common_content():
+    assert toxicity.without("a vileoaf, vileoafs and vile".encode(), [b"vileoaf", b"vileoafs"]) == b"a ,  and vile"
+    words = toxicity.own_words([b"vileoafs here", b"vileoaf there", b"calm here"], [b"calm here", b"calm there", b"vileness"])
+    assert words[0] == b"vileoaf" and b"calm" not in words
+    ordinary, toxic = toxicity.dictionaries(b"calm vileoaf here", [b"vileoaf", b"oafish"], 8)
+    assert ordinary == b"calm  here" and toxic == ordinary + b" vileoaf "
+
+
 def test_language(spark):
     forms = {"aa": ["the", "and", "with", "house"], "bb": ["der", "und", "mit", "haus"], "cc": ["ça", "été", "où", "maison"]}
     data = [(i, " ".join(np.random.RandomState(i).choice(forms[k], 30)), k) for i, k in enumerate([*forms] * 60)]

@@ -37,6 +37,7 @@ STEM_BYTES = [16 << k for k in range(12)]  # of toxic stems; calibration decides
 WORSE = 3  # sizes in a row that tell less end the search
 FIT_TOXIC, FIT_ORDINARY = 4_000, 6_000  # labelled documents learned from, by least id hash
 FIT_BYTES = 20 << 20  # their texts on the driver
+FIT_PART = 80  # of a text, at most this part of FIT_BYTES is learned from
 SAVING = 12  # savings are counted from -SAVING to SAVING
 HIT = 3  # a window that the toxic dictionary saves so many bytes of is a hit
 THRESHOLD = 0.7
@@ -218,19 +219,22 @@ def fit_texts(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
 def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordinary: int = FIT_ORDINARY,
         fit_bytes: int = FIT_BYTES) -> Model | None:
     """Model of a bounded sample of the labelled documents: of each class those with the least id
-    hash, as far as their whole texts fit ``fit_bytes`` (each class half)."""
+    hash, as far as their texts fit ``fit_bytes`` (each class half). Of a very long text the first
+    ``fit_bytes // FIT_PART`` bytes are learned from, so that it leaves room for the others."""
+    longest = fit_bytes // FIT_PART
     lab = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = None
     for label, rows in ((1, fit_toxic), (0, fit_ordinary)):
         part = lab.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
     named = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 12,000 ids
-    sizes = named.select("doc_id", "toxic", F.octet_length("text").alias("n"))
+    sizes = named.select("doc_id", "toxic", F.least(F.octet_length("text"), F.lit(longest)).alias("n"))
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "n").rowsBetween(Window.unboundedPreceding, 0)
     fits = sizes.withColumn("sum", F.sum("n").over(order)).where(F.col("sum") <= fit_bytes // 2).select("doc_id").distinct()
     texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in named.join(F.broadcast(fits), "doc_id", "left_semi").select("toxic", "text").toLocalIterator():
-        texts[r["toxic"]].append(fold(r["text"]))
+    start = F.substring(F.col("text").cast("binary"), 1, longest).alias("text")
+    for r in named.join(F.broadcast(fits), "doc_id", "left_semi").select("toxic", start).toLocalIterator():
+        texts[r["toxic"]].append(fold(bytes(r["text"]).decode("utf-8", "ignore")))
     return fit_texts(sorted(texts[1]), sorted(texts[0]))
 
 

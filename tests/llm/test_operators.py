@@ -247,6 +247,23 @@ def test_toxic_stems_leave_the_common_content():
     assert ordinary == b"calm  here" and toxic == ordinary + b" vileoaf "
 
 
+def test_toxicity_learns_beside_a_very_long_text(spark):
+    first = spark.range(100).selectExpr("id", "id % 2 as y").selectExpr("y", "id", "xxhash64(id) as h").groupBy("y").agg({"h": "min"})
+    long = {r.id for r in spark.range(100).selectExpr("id", "id % 2 as y", "xxhash64(id) as h").join(first, "y").where("h = `min(h)`").collect()}
+    assert {i % 2 for i in long} == {0, 1}
+    data = [(i, " ".join(words(60, i)) + " vileoaf" * (i % 2) + " more" * 60_000 * (i in long)) for i in range(100)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id bigint, toxic int")
+    seen = []
+    learn = toxicity.fit_texts
+    toxicity.fit_texts = lambda t, o: seen.append((t, o))
+    try:
+        toxicity.fit(docs, labels, fit_bytes=400_000)
+    finally:
+        toxicity.fit_texts = learn
+    assert [len(x) for x in seen[0]] == [50, 50] and max(len(d) for x in seen[0] for d in x) == 5_000
+
+
 def test_language(spark):
     forms = {"aa": ["the", "and", "with", "house"], "bb": ["der", "und", "mit", "haus"], "cc": ["ça", "été", "où", "maison"]}
     data = [(i, " ".join(np.random.RandomState(i).choice(forms[k], 30)), k) for i, k in enumerate([*forms] * 60)]

@@ -120,11 +120,34 @@ def q_strat(spark, sf):
     return se.stratified_folds(tr, 3).select("__ticker__", "Date", "inner_fold")
 
 
+def _strat_all_sql():
+    nn = " AND ".join(f'"{c}" IS NOT NULL' for c in _x_cols())
+    return fold_ctes('expanding') + f""",
+tr AS (SELECT ft.fold, p.ticker, p."Date", p."Target" FROM inter p JOIN ft ON p.ticker = ft.ticker
+  AND p."Date" BETWEEN ft.train_lo AND ft.train_hi WHERE {nn}),
+first_ AS (SELECT fold, arg_min("Target", row(ticker, "Date")) AS fc FROM tr GROUP BY 1),
+cls AS (SELECT fold, "Target" AS c, count(*) AS m FROM tr GROUP BY 1, 2),
+pos AS (SELECT cls.fold, c, m, coalesce(sum(m) OVER (PARTITION BY cls.fold ORDER BY (c <> fc)
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM cls JOIN first_ ON first_.fold = cls.fold),
+numbered AS (SELECT pos.fold, c, i, (SELECT count(*) FROM range(CAST(s AS BIGINT), CAST(s + m AS BIGINT)) g(v) WHERE v % 3 = i) AS a
+  FROM pos, (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2) k),
+sedges AS (SELECT *, sum(a) OVER (PARTITION BY fold, c ORDER BY i ROWS UNBOUNDED PRECEDING) AS hi FROM numbered),
+rk AS (SELECT *, row_number() OVER (PARTITION BY fold, "Target" ORDER BY ticker, "Date") - 1 AS q FROM tr)
+SELECT CAST(rk.fold AS INTEGER) AS fold, rk.ticker AS "__ticker__", rk."Date", CAST(e.i AS INTEGER) AS inner_fold
+FROM rk JOIN sedges e ON e.fold = rk.fold AND e.c = rk."Target" AND rk.q >= e.hi - e.a AND rk.q < e.hi"""
+
+
+@register("stratified_split_folds", _strat_all_sql())
+def q_strat_all(spark, sf):
+    tr = _pairs(spark, sf).filter(F.col("role") == "train")
+    return (se.stratified_folds(tr, 3, by="fold")
+            .select(F.col("fold").cast("int").alias("fold"), "__ticker__", "Date", "inner_fold"))
+
+
 @register("shuffled_split")
 def q_shuffled(spark, sf):
-    pairs = _pairs(spark, sf)
-    tr = pairs.filter((F.col("fold") == 0) & (F.col("role") == "train"))
-    return se.shuffled_folds(tr, 3, 42).select("__ticker__", "Date", "Target", "inner_fold")
+    tr = _pairs(spark, sf).filter(F.col("role") == "train")
+    return se.shuffled_folds(tr, 3, 42, by="fold").select("fold", "__ticker__", "Date", "Target", "inner_fold")
 
 
 # ------------------------------------------------------------------ baselines

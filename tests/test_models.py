@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.ordered import row_numbers, running_sums
 from panelspark.operators import models as mo
+from panelspark.operators import search as se
 
 
 def test_regularisation_follows_training_weight(spark):
@@ -28,6 +29,15 @@ def test_fit_passes_the_row_count(spark):
     assert scored.where((F.col("score") > 0).cast("int") != F.col("Target")).count() <= 5
 
 
+def test_inner_folds_of_every_outer_fold_at_once(spark):
+    rows = [(f, f"T{d % 3}", d, int((d * 7 + f) % 5 < 2)) for f in range(3) for d in range(20 + 7 * f)]
+    df = spark.createDataFrame(rows, "fold int, __ticker__ string, Date int, Target int")
+    for split in (se.stratified_folds, se.shuffled_folds):
+        got = {tuple(r) for r in split(df, 3, by="fold").select("fold", "__ticker__", "Date", "inner_fold").collect()}
+        want = {(f, *r) for f in range(3) for r in split(df.where(F.col("fold") == f), 3).select("__ticker__", "Date", "inner_fold").collect()}
+        assert got == want and len(got) == len(rows)
+
+
 def test_global_order_with_hot_key(spark):
     df = spark.range(0, 400, 1, 7).select(F.when(F.col("id") < 300, F.lit(5)).otherwise(F.col("id")).alias("k"), F.col("id").alias("d"))
     got = {r.d: (r.rn, r.cum_d) for r in row_numbers(df, [("k", True), ("d", False)], "rn", sum_cols=["d"]).collect()}

@@ -59,6 +59,13 @@ def param_box(outer: DataFrame, param: str = "param") -> DataFrame:
                     (F.col("q")[1] - 1.5 * iqr).alias("whisker_lo"), (F.col("q")[3] + 1.5 * iqr).alias("whisker_hi"))
 
 
+def box_rows(box: DataFrame) -> DataFrame:
+    """The statistics of ``param_box`` one a row: ``report, key, x, y`` with the name as key."""
+    names = ["min", "q1", "median", "q3", "max", "whisker_lo", "whisker_hi"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("x")) for n in names])).alias("s")
+    return box.select(pairs).select(F.lit("box").alias("report"), "s.key", "s.x", F.lit(None).cast("double").alias("y"))
+
+
 def fold_series(outer: DataFrame) -> DataFrame:
     """Per-outer-fold validation AUC and accuracy, by fold."""
     return outer.select("fold", "val_auc", "val_accuracy").orderBy("fold")

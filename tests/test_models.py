@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.ordered import row_numbers, running_sums
 from panelspark.operators import models as mo
+from panelspark.operators import reports as rp
 from panelspark.operators import search as se
+from panelspark.plans import queries_models as qm
 
 
 def test_regularisation_follows_training_weight(spark):
@@ -47,3 +49,14 @@ def test_global_order_with_hot_key(spark):
         assert got[d] == (i + 1, total)
     sums = running_sums(df.groupBy("k").agg(F.count("*").alias("n")), "k", ["n"]).orderBy("k").collect()
     assert [r.cum_n for r in sums] == [300 + i for i in range(101)]
+
+
+def test_box_rows_hold_every_statistic(spark):
+    got = {r.key: r.x for r in rp.box_rows(rp.param_box(spark.createDataFrame([(float(i),) for i in range(5)], "param double"))).collect()}
+    assert got == {"min": 0.0, "q1": 1.0, "median": 2.0, "q3": 3.0, "max": 4.0, "whisker_lo": -2.0, "whisker_hi": 6.0}
+
+
+def test_registered_models_have_the_reference_sizes():
+    forest = qm._forest()
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (400, 30)
+    assert (qm._svc(1.0)(1.0).getMaxIter(), qm._sgd(1.0)(1.0).getMaxIter()) == (20_000, 2_000)

@@ -155,10 +155,13 @@ def score(docs: DataFrame, model: Model, keep: list[str], seed: int = SEED) -> D
 
 
 def cut(scores: DataFrame, model: Model) -> tuple[int, int | None]:
-    """How many documents to sample, and the sortable key of the last of them (None: all)."""
+    """How many documents to sample, and the sortable key of the last of them (None: all; above
+    every key where there are none)."""
     n, mass = scores.agg(F.count("*"), F.sum(F.least(F.lit(1.0), F.exp(F.col("_llm_weight")) * model.share))).first()
     k = int(round(mass or 0.0))
-    return k, kth_largest(scores, "_llm_rank", k) if 0 < k < n else None
+    if k >= n:
+        return k, None
+    return k, kth_largest(scores, "_llm_rank", k) if k else 2**63 - 1
 
 
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -197,6 +197,14 @@ def test_kth_largest(spark):
     assert kth_largest(df, "x", 10) is None
 
 
+def test_quality_keeps_nothing_where_nothing_is_good(spark, monkeypatch):
+    bad = quality.Model(np.zeros(quality.SLOTS, dtype=np.float32), 0.1, (1.0, -12.0))
+    monkeypatch.setattr(quality, "fit", lambda docs, labels: bad)
+    docs = spark.createDataFrame([(i, f"loop loop loop {i}") for i in range(5)], "doc_id bigint, text string")
+    assert [r.kept for r in quality.resample(docs, None).collect()] == [False] * 5
+    assert quality.keep_sampled(docs, None).count() == 0
+
+
 def test_toxicity(spark):
     calm = ["meadow", "lantern", "harbour", "window", "pepper", "violin", "garden", "copper", "winter", "ribbon", "saddle", "timber"]
     mean = ["nastyfool", "vileoaf", "dimwitted"]

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import ann, decontam, jaccard, langid, packing, quality, substrings, tokens, toxicity, urls
+from panelspark.llm import (alignment, ann, decontam, jaccard, langid, packing, quality, sharding, substrings, tokens, toxicity,
+                            urls, whitening)
 from panelspark.session import scratch_path
 
 
@@ -57,8 +58,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(_read(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_read(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_read(spark, sf_dir, "documents"), tokens.tokenizer_path("byte_bpe_50k.json"),
+                           tokens.tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_benchmark_decontamination, op3_quality_resampling, op4_toxicity, op5_language_id,
-                            op6_nearest_neighbours, op7_packing, op8_url_filter, op9_substring_dedup, op10_jaccard_join)}
+                            op6_nearest_neighbours, op7_packing, op8_url_filter, op9_substring_dedup, op10_jaccard_join,
+                            op11_sharding, op12_whitening, op13_alignment)}
 ORACLES: dict[str, str] = {"op2_benchmark_decontamination": decontam.ORACLE, "op8_url_filter": urls.oracle(),
-                           "op9_substring_dedup": substrings.ORACLE, "op10_jaccard_join": jaccard.ORACLE}
+                           "op9_substring_dedup": substrings.ORACLE, "op10_jaccard_join": jaccard.ORACLE,
+                           "op11_sharding": sharding.ORACLE}

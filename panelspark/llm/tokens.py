@@ -36,7 +36,7 @@ CHUNKS = ("shard int, chunk int, dict_hash string, item_bytes int, doc_ids array
 #: White space but the single space and line feed, as characters and pairs.
 _ODD_SPACE = ["  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-MEMO = 700_000  # pieces whose ids a worker remembers, the first it meets
+MEMO = 900_000  # pieces whose ids a worker remembers, the first it meets: about 150 bytes each, two workers an executor
 
 
 #: Letters that byte-level tokenizers write for bytes: printable ones stand for themselves, the
@@ -87,6 +87,11 @@ class Encoder:
     def _whole(self, piece: str) -> bytes:
         return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
+    def _stays_letters(self, core: str) -> bool:
+        """Whether the tokenizer's normaliser leaves a letter at the end: some letters turn into a
+        letter and a mark, and marks do join punctuation."""
+        return core.isascii() or not self.lowers or (unicodedata.is_normalized("NFC", core) and core.lower()[-1].isalpha())
+
     def _letters(self, word: str, space: str) -> bytes:
         if not word.isascii():
             if self.lowers and (word != word.lower() or not unicodedata.is_normalized("NFC", word)):
@@ -98,7 +103,7 @@ class Encoder:
         ids_ = self.spaced.get(p[1:]) if p[:1] == " " else self.memo.get(p)
         if ids_ is None:
             core = p.rstrip(".,!?")
-            if core is not p and core[-1:].isalpha() and len(core) < len(p):
+            if len(core) < len(p) and core[-1:].isalpha() and self._stays_letters(core):
                 ids_ = self._piece(core) + self._piece(p[len(core) :])  # letters never join punctuation
             else:
                 word = p[1:] if p[:1] == " " else p
@@ -156,9 +161,10 @@ def crc(ids_: np.ndarray) -> int:
 
 
 def in_order(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` in ranges of ascending doc_id (null first; equal ids by text hash)."""
-    return (docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
-            .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")))
+    """``doc_id, text`` in ranges of ascending doc_id (null first; equal ids by text hash, in the ranges
+    too, so that the rows of one hot id are spread)."""
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    return docs.select("doc_id", "text").repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int = END_ID, fit_rows: int = FIT_ROWS) -> bytes:

@@ -3,6 +3,7 @@ repeated rows, empty tables and columns whose names clash with the operators' ow
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -54,6 +55,26 @@ def test_windows_and_sliding_min():
     assert text.windows(np.concatenate([h, h]), 7)[3] == text.windows(np.concatenate([h, h]), 7)[203]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_letter_equals_the_library(name):
+    """Some letters turn into a letter and a mark, and marks join punctuation."""
+    enc = tokens.Encoder(tokens.tokenizer_path(name))
+    letters = [chr(c) for c in range(0x20000) if unicodedata.category(chr(c))[0] == "L"]
+    forms = [f for x in letters for f in (x, x + ".", "a" + x + "!", x + "7", "a" + x + "b")]
+    forms += ["SAHİ!", "KADIKÖYİ.", "ভয়.", "সময়, হয়."]
+    wrong = [f for f, w in zip(forms, enc.tokenizer.encode_batch(forms, add_special_tokens=False))
+             if np.frombuffer(enc.encode(f), dtype=enc.type).tolist() != w.ids]
+    assert wrong == []
+
+
+def test_rows_of_one_id_spread_over_ranges(spark):
+    many = spark.createDataFrame([(None, f"text {i}") for i in range(2000)] + [(i, "x") for i in range(500)], "doc_id bigint, text string")
+    parts = [p for p in tokens.in_order(many).rdd.glom().map(lambda p: [r.doc_id for r in p]).collect() if p]
+    assert max(map(len, parts)) < 1500 and len(parts) > 2
+    ids_ = [-1 if d is None else d for p in parts for d in p]
+    assert ids_ == sorted(ids_)
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_the_library(name):
     enc = tokens.Encoder(tokens.tokenizer_path(name))

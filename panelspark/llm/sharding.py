@@ -93,8 +93,8 @@ hexed AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size
 sized AS (SELECT doc_id, size, CAST(xor(list_reduce(list_prepend(4294967295,
     list_transform(regexp_extract_all(h, '..'), lambda x: CAST(concat('0x', x) AS BIGINT))),
     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32 FROM hexed, tab),
-line AS (SELECT *, row_number() OVER w AS at, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) - size AS before,
+line AS (SELECT *, row_number() OVER w AS place, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) - size AS before,
     (SELECT sum(size) FROM sized) AS total FROM sized WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size)),
 cut AS (SELECT *, CAST(least(39, ((2 * before + size) * 40) // (2 * total)) AS INTEGER) AS shard FROM line)
-SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY at) - 1 AS slot,
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
     CAST(NULL AS INTEGER) AS grown_shard FROM cut"""

@@ -123,3 +123,26 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float]) ->
             a, b = stats[c][lo], stats[c][min(lo + 1, ns[c] - 1)]
             out[c][i] = a if frac == 0 or a == b else a + (b - a) * frac
     return out
+
+
+def exact_quantiles_stacked(vals: DataFrame, probs: list[float]) -> dict[str, list[float]]:
+    """``exact_quantiles_multi`` of many groups of values: ``vals`` has a group name ``_c`` and a value
+    ``_v`` without null and NaN. The wanted ranks, two a group and quantile, are joined."""
+    counted = vals.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_sums(counted, "_v", ["_n"], by=["_c"])
+    ends = cum.groupBy("_c").agg(F.max("cum__n").alias("_all"))  # a row a group
+    place = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_all") - 1) * F.lit(float(p))).alias("at")) for i, p in enumerate(probs)]))
+    want = ends.select("_c", "_all", place.alias("w")).select("_c", "_all", "w.i", "w.at", F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
+    want = want.withColumn("rank", F.least(F.floor("at") + F.col("up"), F.col("_all") - 1))
+    prev = F.col("cum__n") - F.col("_n")
+    hits = cum.join(F.broadcast(want), "_c").where((F.col("rank") >= prev) & (F.col("rank") < F.col("cum__n")))
+    found: dict = {}
+    for r in hits.select("_c", "i", "up", "at", "_v").collect():
+        found.setdefault(r["_c"], {}).setdefault(r["i"], {})[r["up"]] = (r["at"], float(r["_v"]))
+    out = {}
+    for c, by in found.items():
+        out[c] = []
+        for i in range(len(probs)):
+            (at, a), (_, b) = by[i][0], by[i][1]
+            out[c].append(a if at == int(at) or a == b else a + (b - a) * (at - int(at)))
+    return out

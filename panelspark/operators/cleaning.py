@@ -147,6 +147,9 @@ def outlier_qc(df: DataFrame, events: DataFrame | None = None, abs_threshold=0.5
 
 def cleaning_pipeline(raw: DataFrame, events: DataFrame | None = None, ord_col: str | None = "ord",
                       **params) -> DataFrame:
-    """Dedupe -> prune -> outliers. Without an ingest ordinal, rows are assumed unique."""
-    df = dedupe(raw, ord_col=ord_col).drop(ord_col) if ord_col and ord_col in raw.columns else raw
+    """Dedupe -> prune -> outliers. Without an ingest ordinal the largest of a day's rows stays."""
+    if not (ord_col and ord_col in raw.columns):
+        ord_col = "_largest"
+        raw = raw.withColumn(ord_col, F.struct(*[c for c in raw.columns if c not in (KEY, ORDER)]))
+    df = dedupe(raw, ord_col=ord_col).drop(ord_col)
     return clean_outliers(prune_nulls(df), events, **params)

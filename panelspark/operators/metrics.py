@@ -29,6 +29,22 @@ def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
+def scores_and_proba(margin: Column | None, own: Column | None, strategy: str = "auto") -> tuple[Column, Column]:
+    """(score, probability of class 1) of a model that has a margin, a probability of its own, or both.
+
+    The score is the margin, else the own probability. ``auto``: own probability, else the margin's
+    sigmoid; ``model``: own probability, else null; ``sigmoid``: the margin's sigmoid, else null;
+    ``none``: null."""
+    if margin is None and own is None:
+        raise ValueError("a model needs a margin or a probability")
+    null = F.lit(None).cast("double")
+    squashed = null if margin is None else sigmoid(margin)
+    choices = {"auto": squashed if own is None else own, "model": null if own is None else own, "sigmoid": squashed, "none": null}
+    if strategy not in choices:
+        raise ValueError(f"strategy is one of {sorted(choices)}")
+    return (own if margin is None else margin), choices[strategy]
+
+
 def build_eval_frame(df: DataFrame, score_col: str = "score", proba_col: str | None = "proba",
                      y_col: str = "y", score_is_margin: bool = True, date_col: str | None = "Date",
                      ticker_col: str | None = "ticker") -> DataFrame:

@@ -12,20 +12,29 @@ forest), so fitted coefficients and trees are close to, not equal to, the refere
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.ordered import exact_quantiles_multi
+from panelspark.operators import metrics as me
+from panelspark.session import materialize
 
 TICKER_COL = "__ticker__"
 LABEL = "Target"
-TOLERANCE = 1e-4  # fixed value: the reference solvers' stopping tolerance
+# The reference solvers' stopping tolerances.
+TOLERANCE = 1e-4
+SGD_TOLERANCE = 1e-3
+ROWS_A_TASK = 100_000
+TREES_A_BAG = 10
 
 
 # ------------------------------------------------------------------ M1-M3
@@ -84,19 +93,93 @@ def linear_svc(C: float, weight: float, max_iter: int = 3000):
 def sgd_hinge(alpha: float = 1e-4, max_iter: int = 100):
     """M8: averaged-SGD hinge objective; the same objective as ``LinearSVC(regParam=alpha)``
     (the averaging of the SGD iterates is not reproduced)."""
-    return LinearSVC(regParam=alpha, standardization=False, maxIter=max_iter, tol=TOLERANCE, featuresCol="features",
+    return LinearSVC(regParam=alpha, standardization=False, maxIter=max_iter, tol=SGD_TOLERANCE, featuresCol="features",
                      labelCol=LABEL)
 
 
 def random_forest(n_trees: int = 400, seed: int = 42, max_depth: int = 30, **kw):
-    """M5: forest with balanced class weights (global weights instead of per-bootstrap). Spark's
-    trees are at most 30 levels deep; an unbounded reference depth is asked for as 30."""
+    """M5: one Spark forest with balanced class weights over all rows. Spark's trees are at most 30
+    levels deep; an unbounded reference depth is asked for as 30. Rows keep their node of every tree,
+    so finished levels don't travel with each task."""
     if max_depth > 30:
         raise ValueError(f"max_depth {max_depth} is beyond the 30 levels of Spark's trees")
+    kw = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 2048, **kw}
     return RandomForestClassifier(numTrees=n_trees, seed=seed, maxDepth=max_depth, weightCol="_w",
                                   featuresCol="features", labelCol=LABEL, **kw)
 
 
+def bag_draws(bag, seed: int, keys: list[str]) -> Column:
+    """How often a row is drawn into ``bag``: Poisson(1) from a seeded hash of the row's keys, so a
+    row's draws don't depend on its partition."""
+    u = F.pmod(F.xxhash64(F.lit(seed), bag, *keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    below, total, term = [], 0.0, math.exp(-1)
+    for k in range(13):
+        total += term
+        below.append(total)
+        term /= k + 1
+    return sum(((u >= F.lit(x)).cast("double") for x in below[1:]), (u >= F.lit(below[0])).cast("double"))
+
+
+def bag_class_weights(df: DataFrame, n_bags: int, seed: int, keys: list[str], label: str = LABEL) -> dict[int, dict[int, float]]:
+    """Balanced class weights of every bag, n / (2 n_class) over its own draws: one grouped pass."""
+    bags = F.explode(F.sequence(F.lit(0), F.lit(n_bags - 1))).alias("bag")
+    drawn = df.select(*keys, label, bags).withColumn("n", bag_draws(F.col("bag"), seed, keys))
+    counts: dict = {}
+    for r in drawn.groupBy("bag", label).agg(F.sum("n").alias("n")).collect():  # two rows a bag
+        counts.setdefault(r["bag"], {})[int(r[label])] = r["n"]
+    return {b: {y: sum(c.values()) / (2 * n) if n else 0.0 for y, n in c.items()} for b, c in counts.items()}
+
+
+@dataclass
+class BaggedForest:
+    """M5 with ``class_weight="balanced_subsample"``: rows are drawn into bags, each bag has its own class
+    weights, and ``trees_a_bag`` trees grow on each (1: a bag a tree, as in the reference; they differ by
+    the features tried at each node). Bags are fitted a few at a time over one cached table and
+    joined into one averaged model."""
+    n_trees: int = 400
+    seed: int = 42
+    max_depth: int = 30
+    trees_a_bag: int = TREES_A_BAG
+    keys: tuple = (TICKER_COL, "Date")
+    parallelism: int = 8
+    options: dict = field(default_factory=dict)
+
+    def fit(self, vectors: DataFrame):
+        keys = list(self.keys)
+        known = vectors.select(*keys, "features", LABEL).transform(materialize)
+        known = known.coalesce(max(1, known.count() // ROWS_A_TASK)).cache()
+        sizes = [self.trees_a_bag] * (self.n_trees // self.trees_a_bag)
+        sizes += [self.n_trees % self.trees_a_bag] * (self.n_trees % self.trees_a_bag > 0)
+        weights = bag_class_weights(known, len(sizes), self.seed, keys)
+
+        def grow(bag: int):
+            w = weights.get(bag, {})
+            by_class = F.when(F.col(LABEL) == 1, F.lit(w.get(1, 0.0))).otherwise(F.lit(w.get(0, 0.0)))
+            drawn = known.withColumn("_w", bag_draws(F.lit(bag), self.seed, keys) * by_class).where("_w > 0")
+            tree = {"bootstrap": False, "featureSubsetStrategy": "sqrt", **self.options}
+            return random_forest(sizes[bag], self.seed + bag, self.max_depth, **tree).fit(drawn)
+
+        try:
+            with ThreadPool(self.parallelism) as pool:
+                return joined_forest(pool.map(grow, range(len(sizes)), chunksize=1))
+        finally:
+            known.unpersist()
+
+
+def joined_forest(models: list[RandomForestClassificationModel], first_trees: int | None = None) -> RandomForestClassificationModel:
+    """One forest of all trees of several (or of the first so many), each with one vote."""
+    sc = SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml.classification
+    trees = [t for m in models for t in m._java_obj.trees()][:first_trees]
+    array = sc._gateway.new_array(ml.DecisionTreeClassificationModel, len(trees))
+    for i, t in enumerate(trees):
+        array[i] = t
+    first = models[0]
+    java = ml.RandomForestClassificationModel(f"{first.uid}_joined", array, first.numFeatures, first.numClasses)
+    java.set(java.numTrees(), len(trees))
+    return RandomForestClassificationModel(java).setFeaturesCol("features")
+
+
 def balanced_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """w = n / (2 n_class), the reference's ``class_weight="balanced"``."""
     n = df.select(F.count(F.lit(1))).scalar()
@@ -119,19 +202,13 @@ class FittedPanelModel:
         out = apply_impute(df, self.medians)
         return apply_scale(out, self.scale) if self.scale else out
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``score`` (margin when the model has one, else probability) and ``proba``."""
+    def transform(self, df: DataFrame, proba_strategy: str = "auto") -> DataFrame:
+        """Adds ``score`` (margin when the model has one, else probability) and ``proba`` by the
+        strategy (E1)."""
         out = self.spark_model.transform(self.prepare(df))
-        raw = vector_to_array("rawPrediction")
-        if self.kind == "svc":
-            score = raw[1]  # rawPrediction = [-margin, margin]
-            proba = F.lit(None).cast("double")
-        elif self.kind == "logreg":
-            score = raw[1]
-            proba = vector_to_array("probability")[1]
-        else:
-            proba = vector_to_array("probability")[1]
-            score = proba
+        margin = vector_to_array("rawPrediction")[1] if self.kind in ("svc", "logreg") else None  # [-margin, margin]
+        own = vector_to_array("probability")[1] if self.kind != "svc" else None
+        score, proba = me.scores_and_proba(margin, own, proba_strategy)
         return out.withColumns({"score": score + F.lit(0.0), "proba": proba})
 
     def feature_names(self) -> list[str]:
@@ -150,6 +227,10 @@ class Prepared:
     encoder: PipelineModel
     rows: int
 
+    def feature_names(self) -> list[str]:
+        """Names in the order a classifier sees them: numeric, then one-hot."""
+        return list(self.num_cols) + [f"{TICKER_COL}_{c}" for c in self.encoder.stages[0].labels]
+
     def vectors(self, df: DataFrame) -> DataFrame:
         out = apply_impute(df, self.medians)
         return self.encoder.transform(apply_scale(out, self.scale) if self.scale else out)
@@ -168,6 +249,8 @@ def fit_preparation(train: DataFrame, num_cols: list[str], scale: bool = True, c
 
 def weighted(df: DataFrame, model) -> DataFrame:
     """``df`` with balanced weights, if ``model`` takes some."""
+    if isinstance(model, BaggedForest):
+        return df  # weighs each bag by itself
     takes = model.hasParam("weightCol") and model.isDefined("weightCol") and model.getOrDefault("weightCol") == "_w"
     return balanced_weights(df) if takes and "_w" not in df.columns else df
 
@@ -178,6 +261,6 @@ def fit_pipeline(train: DataFrame, num_cols: list[str], model, kind: str, scale:
     that makes it of the summed training weights, which balanced weights leave at the row count)."""
     prep = fit_preparation(train, num_cols, scale, cat_col)
     if callable(model):
-        model = model(float(prep.rows))
+        model = model(float(prep.rows))  # a factory
     fitted = model.fit(weighted(prep.vectors(train), model))
     return FittedPanelModel(prep.num_cols, prep.medians, prep.scale, PipelineModel([*prep.encoder.stages, fitted]), kind)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import features as fx
 from panelspark.operators import folds as fo
 from panelspark.operators import inspect as ins
+from panelspark.operators import margin_sweep as ms
 from panelspark.operators import metrics as me
 from panelspark.operators import models as mo
 from panelspark.operators import reports as rp
@@ -28,7 +29,6 @@ from panelspark.session import materialize
 # The reference's grids.
 SVC_GRID = rp.log_grid(-4, 0, 15)
 SGD_GRID = rp.log_grid(-6, -2, 12)
-SVC_ITER, SGD_ITER = 20_000, 2_000  # the solvers' iterations in a sweep
 
 
 def _panel(spark, sf):
@@ -144,7 +144,16 @@ def q_strat_all(spark, sf):
             .select(F.col("fold").cast("int").alias("fold"), "__ticker__", "Date", "inner_fold"))
 
 
-@register("shuffled_split")
+def _shuffled_sql():
+    nn = " AND ".join(f'"{c}" IS NOT NULL' for c in _x_cols())
+    return fold_ctes('expanding') + f""",
+tr AS (SELECT ft.fold, p.ticker, p."Date", p."Target" FROM inter p JOIN ft ON p.ticker = ft.ticker
+  AND p."Date" BETWEEN ft.train_lo AND ft.train_hi WHERE {nn})
+SELECT fold, ticker AS "__ticker__", "Date", "Target", CAST((row_number() OVER (PARTITION BY fold, "Target"
+  ORDER BY md5(concat_ws('|', '42', ticker, CAST("Date" AS VARCHAR)))) - 1) % 3 AS INTEGER) AS inner_fold FROM tr"""
+
+
+@register("shuffled_split", _shuffled_sql())
 def q_shuffled(spark, sf):
     tr = _pairs(spark, sf).filter(F.col("role") == "train")
     return se.shuffled_folds(tr, 3, 42, by="fold").select("fold", "__ticker__", "Date", "Target", "inner_fold")
@@ -214,41 +223,41 @@ def _lr(c):
     return lambda weight: mo.logistic_regression(c, weight)
 
 
-def _svc(c):
-    return lambda weight: mo.linear_svc(c, weight, max_iter=SVC_ITER)
-
-
-def _sgd(a):
-    return lambda weight: mo.sgd_hinge(alpha=a, max_iter=SGD_ITER)
-
-
 @register("cv_logreg")
 def q_cv_logreg(spark, sf):
     pairs = _pairs(spark, sf)
     return rounded(se.cv_loop(pairs, _num_cols(pairs.drop("fold", "role")), _lr, 1.0, "logreg"))
 
 
-def _sweep(spark, sf, factory, grid):
+def _split_pairs(spark, sf):
+    """Pooled pairs, the training rows with their inner fold."""
     pairs = _pairs(spark, sf)
-    return se.nested_sweep(pairs, _num_cols(pairs.drop("fold", "role")), factory, grid, "svc")
+    train = se.stratified_folds(pairs.filter(F.col("role") == "train"), 3, by="fold")
+    val = pairs.filter(F.col("role") == "val").withColumn("inner_fold", F.lit(None).cast("int"))
+    return train.unionByName(val).transform(materialize)
+
+
+def _sweep(spark, sf, solver, grid):
+    pairs = _split_pairs(spark, sf)
+    return solver(pairs, _num_cols(pairs.drop("fold", "role", "inner_fold")), grid)
 
 
 @register("svm_sweep")
 def q_svm_sweep(spark, sf):
-    inner, outer, final = _sweep(spark, sf, _svc, SVC_GRID)
+    inner, outer, final = _sweep(spark, sf, ms.svc_sweep, SVC_GRID)
     return rounded(outer.withColumn("final_param", F.lit(final)))
 
 
 @register("sgd_sweep")
 def q_sgd_sweep(spark, sf):
-    inner, outer, final = _sweep(spark, sf, _sgd, SGD_GRID)
+    inner, outer, final = _sweep(spark, sf, ms.sgd_sweep, SGD_GRID)
     return rounded(outer.withColumn("final_param", F.lit(final)))
 
 
 @register("sweep_reports")
 def q_sweep_reports(spark, sf):
     """N3-N7 over a real sweep: curves (grouping-set union), box stats, fold series, median."""
-    inner, outer, _ = _sweep(spark, sf, _svc, SVC_GRID)
+    inner, outer, _ = _sweep(spark, sf, ms.svc_sweep, SVC_GRID)
     i, o, med = rp.rename_results(inner, outer, "C")
     curves = rp.sweep_curves(inner).select(F.lit("curve").alias("report"), F.col("outer_fold").cast("string").alias("key"),
                                            F.col("param").alias("x"), F.col("mean_metric").alias("y"))
@@ -261,7 +270,7 @@ def q_sweep_reports(spark, sf):
 
 
 def _forest():
-    return mo.random_forest(seed=42)
+    return mo.BaggedForest(n_trees=400, seed=42)
 
 
 def _rf_model(spark, sf):
@@ -277,10 +286,19 @@ def q_rf_importance(spark, sf):
     return rounded(ins.impurity_importance(m, top=30))
 
 
-@register("feature_names")
+def _names_sql():
+    listed = ", ".join(f"({i}, '{c}')" for i, c in enumerate(_x_cols()))
+    return fold_ctes('expanding') + f""",
+named AS (SELECT '__ticker___' || ticker AS feature, row_number() OVER (ORDER BY ticker) AS place FROM (SELECT DISTINCT ticker FROM ft))
+SELECT CAST(position AS INTEGER) AS position, feature FROM (VALUES {listed}) v(position, feature)
+UNION ALL SELECT CAST({len(_x_cols()) - 1} + place AS INTEGER), feature FROM named"""
+
+
+@register("feature_names", _names_sql())
 def q_feature_names(spark, sf):
-    _, _, m = _rf_model(spark, sf)
-    return ins.feature_names(m)
+    it = _ins_test(spark, sf)
+    tr = it.filter(F.col("role") == "insample")
+    return ins.feature_names(mo.fit_preparation(tr, _num_cols(tr.drop("role")), scale=False))
 
 
 @register("final_test")
@@ -306,7 +324,14 @@ def q_pdp(spark, sf):
     test = it.filter(F.col("role") == "test")
     # The five features the reference inspects.
     feats = ["HL_range", "SMA_ratio", "MACD", "BB_width", "MACD_signal"]
-    return rounded(ins.partial_dependence(m, test, feats, grid_resolution=60))
+    return rounded(ins.partial_dependence(m, test, feats, grid_resolution=60).drop("feature2", "value2"))
+
+
+@register("partial_dependence_pairs")
+def q_pdp_pairs(spark, sf):
+    it, cols, m = _rf_model(spark, sf)
+    test = it.filter(F.col("role") == "test")
+    return rounded(ins.partial_dependence(m, test, [("SMA_ratio", "MACD"), ("HL_range", "BB_width")], grid_resolution=20))
 
 
 @register("rf_search")

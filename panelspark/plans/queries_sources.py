@@ -60,5 +60,5 @@ def q_numeric_ticker(spark, sf):
         F.lpad(F.col("l_suppkey").cast("string"), 4, "0").alias("ticker"), F.col("l_shipdate").cast("timestamp_ntz").alias("Date")
     ).agg(F.sum("l_quantity").alias("Volume"))
     path = fs.write_panel(rows, fs.new_scratch(spark, "numeric"))
-    wanted = [r["ticker"] for r in rows.select("ticker").distinct().where("ticker <> '0001'").collect()]
+    wanted = rows.select("ticker").distinct().where("ticker <> '0001'")
     return rounded(fs.read_panel(spark, path, wanted).select("ticker", "Date", "Volume"))

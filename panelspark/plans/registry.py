@@ -71,4 +71,4 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 def load_all() -> None:
     """Import the modules that register queries."""
     from panelspark.plans import (  # noqa: F401
-        queries_clean, queries_core, queries_folds, queries_metrics, queries_models, queries_sources)
+        queries_clean, queries_core, queries_folds, queries_metrics, queries_models, queries_results, queries_sources)

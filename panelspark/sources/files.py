@@ -6,7 +6,9 @@ partitioned by ticker, so loading a ticker list is partition pruning (S2, S3).
 
 from __future__ import annotations
 
+import csv
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,30 +34,47 @@ def _text_key(schema: StructType, key: str) -> StructType:
     return StructType([StructField(f.name, StringType() if f.name == key else f.dataType, f.nullable) for f in schema])
 
 
-def load_csv_bars(spark: SparkSession, path: str, ticker: str | None = None) -> DataFrame:
+def header_groups(spark: SparkSession, path: str) -> tuple[dict[str, list[str]], bool]:
+    """Header lines and the files that begin with each (one row a file reaches the driver, as does the
+    file listing itself), and whether files lie in ``ticker=`` folders."""
+    lines = spark.read.text(path)
+    first = (lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                          F.monotonically_increasing_id().alias("row"))
+             .where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header")))
+    groups: dict[str, list[str]] = {}
+    for r in first.collect():
+        groups.setdefault(r["header"], []).append(unquote(r["file"]))  # a path, not a URL
+    return groups, "ticker" in lines.columns
+
+
+def load_csv_bars(spark: SparkSession, path: str, ticker: str | None = None, with_ord: bool = False) -> DataFrame:
     """Raw OHLCV CSV -> (ticker, Date, Open.., Volume).
 
-    All columns are read as strings; headers are stripped and title-cased; the ticker comes
-    from the argument, a ``ticker=`` partition folder, or the file name (``TICKER.csv``).
-    Bad dates drop the row, bad numbers and NaN become null."""
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    raw = reader.csv(path)
-    if "ticker" in raw.columns:  # a folder name: text, whatever it looks like
-        raw = reader.schema(_text_key(raw.schema, "ticker")).option("enforceSchema", False).csv(path)
-    if "ticker" in raw.columns:
-        raw = raw.withColumnRenamed("ticker", "__tk")
-    renamed = {c: title_case(c) for c in raw.columns if c != "__tk"}
-    df = raw.withColumnsRenamed(renamed)
-    if ticker is not None:
-        tk = F.lit(ticker)
-    elif "__tk" in df.columns:
-        tk = F.col("__tk")
-    else:
-        tk = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.csv)?$", 1)
-    date = F.to_timestamp(F.try_to_timestamp(F.trim(F.col("Date")))).cast("timestamp_ntz")
-    keep = [c for c in RELEVANT if c in df.columns]
-    out = df.select(tk.cast("string").alias("ticker"), date.alias("Date"),
-                    *[_number(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(c) for c in keep])
+    Files are grouped by their header line, each group is read with its own columns, all as strings;
+    headers are stripped and title-cased, columns a group lacks are null. The ticker comes from the
+    argument, a ``ticker=`` partition folder, or the file name (``TICKER.csv``). Bad dates drop the row,
+    bad numbers and NaN become null. ``with_ord`` adds the ingest ordinal ``ord``: file, block start and
+    place in the block, so "the last row" means the last of the file."""
+    groups, in_folders = header_groups(spark, path)
+    out = None
+    for header, files in sorted(groups.items()):
+        names = [title_case(c) for c in next(csv.reader([header]))]
+        kinds = [StructField(n if n not in names[:i] else f"{n}_{i}", StringType()) for i, n in enumerate(names)]
+        schema = StructType(kinds + ([StructField("ticker", StringType())] if in_folders else []))
+        raw = spark.read.schema(schema).option("header", True).option("basePath", path).csv(path if len(groups) == 1 else files)
+        if ticker is not None:
+            tk = F.lit(ticker)
+        else:
+            tk = F.col("ticker") if in_folders else F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.csv)?$", 1)
+        date = F.to_timestamp(F.try_to_timestamp(F.trim(F.col("Date")))).cast("timestamp_ntz")
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("row"))
+        part = raw.select(tk.cast("string").alias("ticker"), date.alias("Date"),
+                          *[_number(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(c) for c in RELEVANT if c in names],
+                          *([place.alias("ord")] if with_ord else []))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], "ticker string, Date timestamp_ntz")
     return out.filter(F.col("Date").isNotNull())
 
 
@@ -97,9 +116,12 @@ def write_panel(df: DataFrame, path: str, fmt: str = "parquet", key: str = "tick
 
 
 def read_panel(spark: SparkSession, path: str, tickers=None, key: str = "ticker") -> DataFrame:
-    """Read a processed panel; a ticker list becomes a partition filter. Tickers are text, so
-    that "0700" doesn't come back as a number."""
+    """Read a processed panel; a ticker list becomes a partition filter, a table of tickers a semi
+    join, which prunes partitions as it runs. Tickers are text, so that "0700" doesn't come back as a
+    number."""
     df = spark.read.schema(_text_key(spark.read.parquet(path).schema, key)).parquet(path)
+    if isinstance(tickers, DataFrame):
+        return df.join(tickers.select(key), key, "left_semi")
     return df.filter(F.col(key).isin(list(tickers))) if tickers is not None else df
 
 
@@ -109,6 +131,11 @@ def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def read_table_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table of ``write_table_csv`` with its types."""
+    return spark.read.schema(schema).option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")

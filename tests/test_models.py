@@ -58,5 +58,5 @@ def test_box_rows_hold_every_statistic(spark):
 
 def test_registered_models_have_the_reference_sizes():
     forest = qm._forest()
-    assert (forest.getNumTrees(), forest.getMaxDepth()) == (400, 30)
-    assert (qm._svc(1.0)(1.0).getMaxIter(), qm._sgd(1.0)(1.0).getMaxIter()) == (20_000, 2_000)
+    assert (forest.n_trees, forest.max_depth) == (400, 30)
+    assert (len(qm.SVC_GRID), len(qm.SGD_GRID)) == (15, 12)

@@ -175,7 +175,11 @@ def permuted_scores(model: mo.FittedPanelModel, rows: DataFrame, cols: list[str]
     shared = spark.sparkContext.broadcast(tables(model.spark_model.stages[-1], spark))
     place = [model.num_cols.index(c) for c in cols]
     medians = [model.medians[c] if model.medians[c] is not None else 0.0 for c in cols]
-    donors = F.flatten(F.array(*[F.transform(f"_d_{c}", lambda v, m=m: F.coalesce(v.cast("double"), F.lit(m))) for c, m in zip(cols, medians)]))
+
+    def imputed(c: str, m: float):
+        return F.transform(f"_d_{c}", lambda v: F.coalesce(v.cast("double"), F.lit(m)))  # a second argument would be the index
+
+    donors = F.flatten(F.array(*[imputed(c, m) for c, m in zip(cols, medians)]))
 
     def run(batches):
         for b in batches:

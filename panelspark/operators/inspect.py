@@ -86,6 +86,10 @@ def _permuted(model: mo.FittedPanelModel, joined: DataFrame, ids: DataFrame, col
         took = joined.groupBy("_id").agg(*[F.transform(F.sort_array(F.collect_list(F.struct("_rep", F.col(f"_d_{c}").alias("v")))), lambda s: s["v"]).alias(f"_d_{c}")
                                            for c in cols])  # one value a repeat
         return ft.permuted_scores(model, ids.join(took, "_id"), cols, label)
+    return _permuted_copies(model, joined, cols, label, key)
+
+
+def _permuted_copies(model: mo.FittedPanelModel, joined: DataFrame, cols: list[str], label: str, key: str) -> DataFrame:
     stacked = joined.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in cols])))
     stacked = stacked.withColumns({c: F.when(F.col("_col") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in cols})
     return model.transform(stacked).select("_col", "_rep", F.col(label).alias("y"), F.col(key).alias("score"))

@@ -134,9 +134,22 @@ def test_partial_dependence_of_features_and_pairs(spark, pairs, forest):
         assert forest.transform(at).agg(F.avg("proba")).first()[0] == pytest.approx(r.average)
 
 
-def test_permutation_importance(spark, pairs, forest):
-    rows = {r.feature: r for r in ins.permutation_importance(forest, pairs.where("role = 'val' and fold = 1"), COLS, n_repeats=3).collect()}
-    assert set(rows) == set(COLS) and rows["a"].importance_mean > rows["c"].importance_mean
+def test_permutation_importance(spark, pairs, forest, monkeypatch):
+    seen = []
+
+    def both(model, joined, ids, cols, label, key):
+        walked = keep(model, joined, ids, cols, label, key)
+        copies = ins._permuted_copies(model, joined, cols, label, key)
+        for out in (walked, copies):
+            seen.append(sorted((r["_col"], r["_rep"], r["y"], round(r["score"], 9)) for r in out.select("_col", "_rep", "y", "score").collect()))
+        return walked
+
+    keep = ins._permuted
+    monkeypatch.setattr(ins, "_permuted", both)
+    test = pairs.where("role = 'val' and fold = 1")
+    rows = {r.feature: r for r in ins.permutation_importance(forest, test, COLS, n_repeats=3).collect()}
+    assert seen[0] == seen[1] and len(seen[0]) == 60 * 3 * 3
+    assert set(rows) == set(COLS) and rows["b"].importance_mean > rows["c"].importance_mean
     assert all(math.isfinite(r.importance_std) for r in rows.values())
 
 

@@ -443,6 +443,13 @@ def test_jaccard(spark, docs, rows, options):
         {c for d, n, c in brute_components(data) if n and c is not None} | {4, 5, 6}) and kept[0].__fields__ == df.columns
 
 
+def test_documents_without_words_all_stay(spark):
+    data = [(1, "\t\n"), (1, "\t\n"), (None, "\t\n"), (None, "\t\n"), (2, ""), (2, ""), (3, None), (4, "a b"), (4, "a b"), (5, "a b")]
+    kept = jaccard.one_of_each(spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(data[:7] + [(4, "a b")], key=repr)
+    assert jaccard.one_of_each(spark.createDataFrame([], "doc_id bigint, text string, _bare int")).collect() == []
+
+
 def test_overlap_bounds():
     for a in range(1, 40):
         for b in range(1, 40):

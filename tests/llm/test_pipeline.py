@@ -27,5 +27,5 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
-    assert {"op2_benchmark_decontamination", "op8_url_filter", "op9_substring_dedup", "op10_jaccard_join"} <= entry.oracle_sql().keys()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
+    assert {"op2_benchmark_decontamination", "op8_url_filter", "op9_substring_dedup", "op10_jaccard_join", "op11_sharding"} <= entry.oracle_sql().keys()

@@ -34,7 +34,7 @@ class PanelConfig:
 
     def __post_init__(self):
         if self.fold_mode not in ("expanding", "sliding"):
-            raise ValueError("fold_mode must be 'expanding' or 'sliding'")
+            raise ValueError(f"unknown fold mode {self.fold_mode!r}")
         if self.fold_mode == "sliding" and not self.sliding_train_years:
             raise ValueError("sliding mode needs sliding_train_years")
         if self.profile not in ("reference", "full"):

@@ -192,7 +192,7 @@ def fold_bounds(df: DataFrame, validate_cutoff: str, horizon: int = 5, embargo_d
                                 "k", F.lit("start").alias("tag"))
         marks = marks.unionByName(start_m)
     elif fold_mode != "expanding":
-        raise ValueError("fold_mode must be 'expanding' or 'sliding'")
+        raise ValueError(f"unknown fold mode {fold_mode!r}")
     mc = _marker_counts(ins, marks, key, order, horizon)
     te = mc.filter(F.col("tag") == "end").select(key, "k", F.col("n_before").alias("c_end"),
                                                  F.col("back_date").alias("train_hi"))
@@ -226,6 +226,13 @@ def trim_folds(bounds: DataFrame, key: str = KEY) -> DataFrame:
     return bounds.filter(F.col("fold") < min_folds)
 
 
+def require_folds(bounds: DataFrame) -> DataFrame:
+    """K9: ``bounds``, or an error when no ticker yields a fold (one short job)."""
+    if bounds.isEmpty():
+        raise RuntimeError("not one ticker has rows enough for a fold")
+    return bounds
+
+
 def skipped_tickers(df: DataFrame, bounds: DataFrame, key: str = KEY) -> DataFrame:
     """Tickers of the panel that produced no fold (reported, not silently lost)."""
     return df.select(key).distinct().join(bounds.select(key).distinct(), key, "left_anti")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from panelspark.operators import features as fx
@@ -109,3 +110,10 @@ def test_stratified_closed_form(spark):
         df = spark.createDataFrame(pdf).withColumn("Date", F.col("Date").cast("timestamp_ntz"))
         got = se.stratified_folds(df, 3).orderBy("Date").toPandas()["inner_fold"].tolist()
         assert got == _published_stratified(y, 3).tolist()
+
+
+def test_no_folds_is_an_error(spark):
+    some = spark.createDataFrame([("A", 0)], "ticker string, fold int")
+    assert fo.require_folds(some) is some
+    with pytest.raises(RuntimeError):
+        fo.require_folds(some.where("fold > 0"))

@@ -119,18 +119,94 @@ def grid_sums(trees: list[Tree], x: np.ndarray, features: list[int], grids: list
     return out[tuple(slice(0, len(g)) for g in grids)] / len(trees)
 
 
-def swapped_scores(trees: list[Tree], x: np.ndarray, feature: int, donors: np.ndarray) -> np.ndarray:
-    """Probabilities of each row with ``feature`` replaced by each of its donors."""
-    order = np.argsort(donors, axis=1, kind="stable")
-    values = np.take_along_axis(donors, order, axis=1)
-    n, g = donors.shape
-    steps = np.zeros(n * (g + 1))
+def single_swaps(tree: Tree, x: np.ndarray, place: np.ndarray, size: np.ndarray, cuts):
+    """Walk ``x`` through a tree once for all features that are replaced one at a time. ``place`` numbers
+    the replaced features (-1: not replaced), ``size`` gives how many sorted values each is tried with, and
+    ``cuts(nodes, rows, ks)`` how many of feature k's values go left at a node.
+
+    Each row walks once as it is, and a second walker leaves it where its path first asks for a replaced
+    feature. Returns the rows' own votes, which (row, k) were met, and the (row, k, low, high, vote) of the
+    other walkers' leaves; a feature that a path never asks for keeps the row's own vote."""
+    n = len(x)
+    own, met = np.empty(n), np.zeros((n, len(size)), dtype=bool)
+    row, node, k = np.arange(n), np.zeros(n, np.int32), np.full(n, -1, np.int32)
+    lo, hi = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    leaves = []
+    while len(row):
+        f = tree.feature[node]
+        end = f < 0
+        if end.any():
+            base, moved = end & (k < 0), end & (k >= 0)
+            own[row[base]] = tree.vote[node[base]]
+            leaves.append((row[moved], k[moved], lo[moved], hi[moved], tree.vote[node[moved]]))
+            row, node, k, lo, hi, f = (a[~end] for a in (row, node, k, lo, hi, f))
+        asks = place[f]
+        new = np.flatnonzero((k < 0) & (asks >= 0))
+        new = new[~met[row[new], asks[new]]]
+        if len(new):
+            met[row[new], asks[new]] = True
+            first = np.zeros(len(new), np.int32)
+            row, node, f, k = (np.concatenate([a, a_[new]]) for a, a_ in ((row, row), (node, node), (f, f), (k, asks)))
+            lo, hi, asks = np.concatenate([lo, first]), np.concatenate([hi, size[asks[new]]]), np.concatenate([asks, asks[new]])
+        nxt = np.where(x[row, f] <= tree.threshold[node], tree.left[node], tree.right[node])
+        at = np.flatnonzero((k >= 0) & (asks == k))
+        if len(at):
+            low, high = lo[at], hi[at]
+            cut = np.clip(cuts(node[at], row[at], k[at]), low, high).astype(np.int32)
+            goes_left = cut > low
+            nxt[at] = np.where(goes_left, tree.left[node[at]], tree.right[node[at]])
+            hi[at] = np.where(goes_left, cut, high)
+            both = goes_left & (cut < high)  # the upper part of the range goes right
+            b = at[both]
+            row, k = np.concatenate([row, row[b]]), np.concatenate([k, k[b]])
+            nxt = np.concatenate([nxt, tree.right[node[b]]])
+            lo, hi = np.concatenate([lo, cut[both]]), np.concatenate([hi, high[both]])
+        node = nxt
+    return own, met, [np.concatenate(c) for c in zip(*leaves)]
+
+
+def _places(features: list[int], n_features: int) -> np.ndarray:
+    place = np.full(n_features, -1, np.int32)
+    place[features] = np.arange(len(features))
+    return place
+
+
+def single_grid_sums(trees: list[Tree], x: np.ndarray, features: list[int], grids: list[np.ndarray]) -> list[np.ndarray]:
+    """``grid_sums`` of several single features, all in one walk a tree."""
+    place, size = _places(features, x.shape[1]), np.array([len(g) for g in grids], np.int32)
+    width = int(size.max(initial=0)) + 1
+    steps = np.zeros(len(features) * width)
     for tree in trees:
-        for rows, [(lo, hi)], vote in ranged_votes(tree, x, [(feature, values)]):
-            steps += np.bincount(rows * (g + 1) + lo, weights=vote, minlength=len(steps)) - np.bincount(rows * (g + 1) + hi, weights=vote, minlength=len(steps))
-    ranked = steps.reshape(n, g + 1).cumsum(axis=1)[:, :g] / len(trees)
+        cut = np.zeros(len(tree.feature), np.int32)
+        for f, g in zip(features, grids):
+            of = np.flatnonzero(tree.feature == f)
+            cut[of] = np.searchsorted(g, tree.threshold[of], side="right")
+        own, met, (_, k, lo, hi, vote) = single_swaps(tree, x, place, size, lambda nodes, rows, ks, cut=cut: cut[nodes])
+        steps += np.bincount(k * width + lo, vote, len(steps)) - np.bincount(k * width + hi, vote, len(steps))
+        steps[::width] += (~met).T @ own
+    sums = steps.reshape(-1, width).cumsum(axis=1) / len(trees)
+    return [s[:n] for s, n in zip(sums, size)]
+
+
+def swapped_scores(trees: list[Tree], x: np.ndarray, features: list[int], donors: np.ndarray) -> np.ndarray:
+    """Probabilities of each row with each of ``features`` replaced by each of its donors (rows x features
+    x donors), one feature at a time."""
+    order = np.argsort(donors, axis=2, kind="stable")
+    values = np.take_along_axis(donors, order, axis=2)
+    n, m, g = donors.shape
+    place, size = _places(features, x.shape[1]), np.full(m, g, np.int32)
+    steps = np.zeros((n, m, g + 1))
+    flat = steps.reshape(-1)
+    for tree in trees:
+        own, met, (row, k, lo, hi, vote) = single_swaps(
+            tree, x, place, size, lambda nodes, rows, ks, tree=tree: (values[rows, ks] <= tree.threshold[nodes][:, None]).sum(axis=1))
+        at = (row * m + k) * (g + 1)
+        np.add.at(flat, at + lo, vote)
+        np.subtract.at(flat, at + hi, vote)
+        steps[:, :, 0] += np.where(met, 0.0, own[:, None])
+    ranked = steps.cumsum(axis=2)[:, :, :g] / len(trees)
     out = np.empty_like(ranked)
-    np.put_along_axis(out, order, ranked, axis=1)
+    np.put_along_axis(out, order, ranked, axis=2)
     return out
 
 
@@ -154,13 +230,17 @@ def dependence(model: mo.FittedPanelModel, data: DataFrame, jobs: list[tuple[tup
     shared = spark.sparkContext.broadcast(tables(model.spark_model.stages[-1], spark))
     plans = [([model.num_cols.index(c) for c in names], [np.array(g) for g in grids]) for names, grids in jobs]
 
+    first = {features[0]: j for j, (features, _) in reversed(list(enumerate(plans))) if len(features) == 1}
+    singles = sorted(first.values())  # a feature's first job; its others walk on their own
+
     def run(batches):
         for b in batches:
             x = _matrix(b.column(0), b.num_rows)
             for lo in range(0, len(x), ROWS):
                 part = x[lo : lo + ROWS]
+                sums = dict(zip(singles, single_grid_sums(shared.value, part, [plans[j][0][0] for j in singles], [plans[j][1][0] for j in singles])))
                 for j, (features, grids) in enumerate(plans):
-                    s = grid_sums(shared.value, part, features, grids).ravel()
+                    s = sums[j] if j in sums else grid_sums(shared.value, part, features, grids).ravel()
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), j), pa.int32()), pa.array(np.arange(len(s)), pa.int32()), pa.array(s),
                                                       pa.array(np.full(len(s), len(part)), pa.int64())], names=["job", "cell", "s", "n"])
 
@@ -187,8 +267,9 @@ def permuted_scores(model: mo.FittedPanelModel, rows: DataFrame, cols: list[str]
                 part = b.slice(lo, ROWS)
                 x, d = _matrix(part.column(0), part.num_rows), _matrix(part.column(1), part.num_rows).reshape(part.num_rows, len(cols), -1)
                 y, reps = part.column(2).to_numpy(zero_copy_only=False), d.shape[2]
+                scores = swapped_scores(shared.value, x, place, d)
                 for k, c in enumerate(cols):
-                    s = swapped_scores(shared.value, x, place[k], d[:, k, :])
+                    s = scores[:, k, :]
                     yield pa.RecordBatch.from_arrays([pa.array([c] * s.size), pa.array(np.tile(np.arange(reps), len(x)), pa.int32()),
                                                       pa.array(np.repeat(y, reps), pa.int32()), pa.array(s.ravel())], names=["_col", "_rep", "y", "score"])
 

@@ -116,12 +116,17 @@ def test_forest_arrays_score_as_the_model(spark, pairs, forest):
     want = sorted(r[0] for r in forest.transform(test).select("proba").collect())
     got = sorted(ft.grid_sums(trees, x[i : i + 1], [0], [x[i, :1]])[0] for i in range(len(x)))
     assert got == pytest.approx(want)
-    donors = np.random.RandomState(0).randn(len(x), 4)
-    for k in range(4):
-        swapped = x.copy()
-        swapped[:, 1] = donors[:, k]
-        plain = [ft.grid_sums(trees, swapped[i : i + 1], [1], [swapped[i, 1:2]])[0] for i in range(len(x))]
-        assert ft.swapped_scores(trees, x, 1, donors)[:, k] == pytest.approx(plain)
+    donors = np.random.RandomState(0).randn(len(x), 3, 4)
+    grids = [np.sort(donors[:n, j, 0]) for j, n in enumerate((5, 3, 1))]
+    scores = ft.swapped_scores(trees, x, [2, 0, 1], donors)
+    sums = ft.single_grid_sums(trees, x, [2, 0, 1], grids)
+    for j, feature in enumerate([2, 0, 1]):
+        assert sums[j] == pytest.approx(ft.grid_sums(trees, x, [feature], [grids[j]]))
+        for k in range(4):
+            swapped = x.copy()
+            swapped[:, feature] = donors[:, j, k]
+            plain = [ft.grid_sums(trees, swapped[i : i + 1], [feature], [swapped[i, feature : feature + 1]])[0] for i in range(len(x))]
+            assert scores[:, j, k] == pytest.approx(plain)
 
 
 def test_partial_dependence_of_features_and_pairs(spark, pairs, forest):

@@ -66,10 +66,9 @@ def main():
                      (F.round(F.lit(1.0) - F.col("SMA_ratio"), 6) + F.lit(0.0)).alias("score"))
         s = s.withColumn("proba", me.sigmoid(F.lit(50.0) * F.col("score")))
         ev = me.build_eval_frame(s).transform(materialize)
-        run(me.full_stats(ev))
-        run(me.roc_curve(ev))
-        run(me.gains(ev))
-        run(me.rolling_accuracy(ev))
+        frames = me.full_evaluation(ev)
+        for name in ("stats", "roc_curve", "gains", "rolling_accuracy"):
+            run(frames[name])
 
     plan = [("bars_wide", q_bars), ("features_full_wide", q_features), ("outliers_raw", q_clean),
             ("data_build_dirty", q_pipeline), ("folds_pairs_wide", q_folds), ("metrics_wide", q_metrics)]

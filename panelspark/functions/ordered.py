@@ -32,19 +32,34 @@ def _ranged(df: DataFrame, levels: list[tuple[str, bool]]) -> DataFrame:
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
-                 prefix: str = "cum_", by: list[str] | None = None) -> DataFrame:
+                 prefix: str = "cum_", by: list[str] | None = None, leads: list[str] | None = None,
+                 totals_as: dict[str, str] | None = None) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows up to and including this one in key order,
     separately per ``by`` group. ``order_col`` must be unique within a group (aggregate to
-    distinct keys first)."""
-    by = by or []
+    distinct keys first). ``leads`` adds ``next_<c>`` of the row that follows in the group (null after
+    the last): the last row of a range gets it from the first row of the next one. ``totals_as`` adds a
+    column's sum over the group under the name given."""
+    by, leads, totals_as = by or [], leads or [], totals_as or {}
     levels = [(c, False) for c in by] + [(order_col, descending)]
     d = _ranged(df, levels)
-    totals = d.groupBy(*by, "_rg").agg(*[F.sum(c).alias(f"_o_{c}") for c in sum_cols])
-    wt = Window.partitionBy(*by).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(*by, "_rg", *[F.coalesce(F.sum(f"_o_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
-    wi = Window.partitionBy(*by, "_rg").orderBy(*_order(levels[-1:])).rowsBetween(Window.unboundedPreceding, 0)
+    firsts = F.struct(order_col, *leads)  # nulls and NaN compare as they sort
+    totals = d.groupBy(*by, "_rg").agg(*[F.sum(c).alias(f"_o_{c}") for c in sum_cols],
+                                       (F.max(firsts) if descending else F.min(firsts)).alias("_first"))
+    wg = Window.partitionBy(*by).orderBy("_rg")
+    wt, wa = wg.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*by)
+    offs = totals.select(*by, "_rg", *[F.coalesce(F.sum(f"_o_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+                         *[F.sum(f"_o_{c}").over(wa).alias(name) for c, name in totals_as.items()],
+                         *([F.lead("_first").over(wg).alias("_halo")] if leads else []))
+    wr = Window.partitionBy(*by, "_rg").orderBy(*_order(levels[-1:]))
+    wi = wr.rowsBetween(Window.unboundedPreceding, 0)
     d = d.join(offs, [*by, "_rg"])
-    d = d.withColumns({f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(wi) for c in sum_cols})
+    new = {f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(wi) for c in sum_cols}
+    if leads:
+        following = F.coalesce(F.lead(F.struct(*leads)).over(wr), F.struct(*[F.col(f"_halo.{c}") for c in leads]))
+        new["_next"] = following
+    d = d.withColumns(new)
+    if leads:
+        d = d.withColumns({f"next_{c}": F.col(f"_next.{c}") for c in leads}).drop("_next", "_halo")
     return d.drop("_rg", *[f"_o_{c}" for c in sum_cols])
 
 

@@ -10,10 +10,14 @@ cumulative counts over the grid: one pass over the data for all thresholds.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.ordered import exact_quantiles_multi, rolling_mean_global, row_numbers, running_sums
+from panelspark.session import materialize
+from panelspark.sources.files import write_table_csv
 
 # Fixed values of the reference: sigmoid clip, quantile grid, bins, gains epsilon.
 SIGMOID_CLIP = 50.0
@@ -71,108 +75,117 @@ def score_counts(ev: DataFrame, by: list[str] | None = None, score_col: str = "s
         F.count_if(F.col(y_col) == 1).alias("pos"), F.count_if(F.col(y_col) != 1).alias("neg"))
 
 
+def score_table(ev: DataFrame, score_col: str = "score", y_col: str = "y") -> DataFrame:
+    """One row per distinct score, best first: ``score, pos, neg, tps, fps, idx, next_pos, next_neg, P, N``.
+
+    tps/fps count the rows with this score or more, idx numbers the scores, next_* are the counts at the
+    score that follows. One range shuffle gives all of it; AUC, AP, both curves, the sweep's grid and the
+    sweep itself are scans of this table (``materialize`` it for several of them)."""
+    sc = score_counts(ev, None, score_col, y_col).withColumnRenamed(score_col, "score").withColumn("_one", F.lit(1))
+    out = running_sums(sc, "score", ["pos", "neg", "_one"], descending=True, leads=["pos", "neg"], totals_as={"pos": "P", "neg": "N"})
+    return out.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps", "cum__one": "idx"}).drop("_one")
+
+
 def _cumulative(sc: DataFrame, by: list[str], score_col: str = "score", scan: str = "window") -> DataFrame:
-    """tps/fps = positives/negatives with score >= this score (descending scan).
+    """tps/fps = positives/negatives with score >= this score (descending scan), per group of ``by``.
 
     ``scan="window"``: many bounded groups (tickers) -> a window per group. ``"bucketed"``: few
     large groups -> bucketed running sums per group, no group lands in one task."""
-    if by and scan == "bucketed":
-        out = running_sums(sc, score_col, ["pos", "neg"], descending=True, by=by)
-        out = out.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
-        tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        return out.join(tot, by)
-    if by:
-        w = Window.partitionBy(*by).orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
-        out = sc.withColumns({"tps": F.sum("pos").over(w), "fps": F.sum("neg").over(w)})
-    else:
-        out = running_sums(sc, score_col, ["pos", "neg"], descending=True)
-        out = out.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
-    if by:
-        tot = Window.partitionBy(*by)
-        out = out.withColumns({"P": F.sum("pos").over(tot), "N": F.sum("neg").over(tot)})
-    else:
-        out = out.withColumns({"P": sc.select(F.sum("pos")).scalar(), "N": sc.select(F.sum("neg")).scalar()})
-    return out
+    if scan == "bucketed":
+        out = running_sums(sc, score_col, ["pos", "neg"], descending=True, by=by, totals_as={"pos": "P", "neg": "N"})
+        return out.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
+    w = Window.partitionBy(*by).orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    tot = Window.partitionBy(*by)
+    return sc.withColumns({"tps": F.sum("pos").over(w), "fps": F.sum("neg").over(w), "P": F.sum("pos").over(tot), "N": F.sum("neg").over(tot)})
+
+
+def _auc() -> Column:
+    term = F.col("neg") * (F.col("tps") - F.col("pos") + F.col("pos") / F.lit(2.0))
+    return F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc")
+
+
+def _ap() -> Column:
+    prec = F.col("tps") / (F.col("tps") + F.col("fps"))
+    return F.coalesce(F.try_divide(F.sum(F.col("pos") * prec), F.first("P")), F.lit(0.0)).alias("average_precision")
+
+
+def _by_score(ev: DataFrame, by: list[str], score_col: str, y_col: str, scan: str) -> DataFrame:
+    return _cumulative(score_counts(ev, by, score_col, y_col), by, score_col, scan) if by else score_table(ev, score_col, y_col)
 
 
 def roc_auc(ev: DataFrame, by: list[str] | None = None, score_col: str = "score", y_col: str = "y",
             scan: str = "window") -> DataFrame:
     """E5: trapezoidal AUC with tied scores grouped: sum(neg * (tps_before + pos/2)) / (P N)."""
     by = by or []
-    cum = _cumulative(score_counts(ev, by, score_col, y_col), by, score_col, scan)
-    term = F.col("neg") * (F.col("tps") - F.col("pos") + F.col("pos") / F.lit(2.0))
-    return cum.groupBy(*by).agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc"))
+    return _by_score(ev, by, score_col, y_col, scan).groupBy(*by).agg(_auc())
 
 
 def average_precision(ev: DataFrame, by: list[str] | None = None, score_col: str = "score",
                       y_col: str = "y", scan: str = "window") -> DataFrame:
     """AP = sum over distinct scores (desc) of (pos/P) * precision; 0 without positives."""
     by = by or []
-    cum = _cumulative(score_counts(ev, by, score_col, y_col), by, score_col, scan)
-    prec = F.col("tps") / (F.col("tps") + F.col("fps"))
-    ap = F.coalesce(F.try_divide(F.sum(F.col("pos") * prec), F.first("P")), F.lit(0.0))
-    return cum.groupBy(*by).agg(ap.alias("average_precision"))
+    return _by_score(ev, by, score_col, y_col, scan).groupBy(*by).agg(_ap())
 
 
-def roc_curve(ev: DataFrame, drop_intermediate: bool = True, score_col: str = "score",
-              y_col: str = "y") -> DataFrame:
+def roc_curve(ev: DataFrame | None, drop_intermediate: bool = True, score_col: str = "score",
+              y_col: str = "y", table: DataFrame | None = None) -> DataFrame:
     """E5 curve: (point, fpr, tpr, threshold), origin first with a null threshold.
 
-    ``drop_intermediate`` drops collinear points like the reference's library default; the
-    neighbours are fetched by equi-joins on the point index, not by a global window."""
-    cum = _cumulative(score_counts(ev, None, score_col, y_col), [], score_col)
-    cum = cum.withColumn("_one", F.lit(1))
-    cum = running_sums(cum, score_col, ["_one"], descending=True).withColumnRenamed("cum__one", "idx")
-    pts = cum.select("idx", "tps", "fps", "P", "N", F.col(score_col).alias("threshold"))
+    ``drop_intermediate`` drops collinear points like the reference's library default: those whose
+    steps to them and from them are the same. ``table``: the score table, where it is at hand."""
+    pts = score_table(ev, score_col, y_col) if table is None else table
     if drop_intermediate:
-        n = pts.select(F.max("idx")).scalar()
-        prv = pts.select((F.col("idx") + 1).alias("idx"), F.col("tps").alias("tp_p"), F.col("fps").alias("fp_p"))
-        nxt = pts.select((F.col("idx") - 1).alias("idx"), F.col("tps").alias("tp_n"), F.col("fps").alias("fp_n"))
-        j = pts.join(prv, "idx", "left").join(nxt, "idx", "left")
-        keep = ((F.col("idx") == 1) | (F.col("idx") == n)
-                | (F.col("fp_p") - 2 * F.col("fps") + F.col("fp_n") != 0)
-                | (F.col("tp_p") - 2 * F.col("tps") + F.col("tp_n") != 0))
-        pts = j.filter(F.coalesce(keep, F.lit(True))).select("idx", "tps", "fps", "P", "N", "threshold")
+        same_step = (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg"))
+        pts = pts.filter((F.col("idx") == 1) | ~F.coalesce(same_step, F.lit(False)))
     curve = pts.select(F.col("idx").cast("bigint").alias("point"),
                        F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
-                       F.try_divide(F.col("tps"), F.col("P")).alias("tpr"), "threshold")
-    # one constant row (a global aggregate always yields exactly one row)
-    origin = curve.agg(F.count(F.lit(1)).alias("_n")).select(
+                       F.try_divide(F.col("tps"), F.col("P")).alias("tpr"), F.col("score").alias("threshold"))
+    origin = curve.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("point"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
         F.lit(None).cast("double").alias("threshold"))
     return origin.unionByName(curve)
 
 
-def pr_curve(ev: DataFrame, score_col: str = "score", y_col: str = "y") -> DataFrame:
+def pr_curve(ev: DataFrame | None, score_col: str = "score", y_col: str = "y", table: DataFrame | None = None) -> DataFrame:
     """E7 curve: per distinct threshold precision and recall, plus the end point (1, 0)."""
-    cum = _cumulative(score_counts(ev, None, score_col, y_col), [], score_col)
+    cum = score_table(ev, score_col, y_col) if table is None else table
     prec = F.coalesce(F.try_divide(F.col("tps"), F.col("tps") + F.col("fps")), F.lit(0.0))
     rec = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(F.col("tps") / F.col("P"))
-    curve = cum.select(F.col(score_col).alias("threshold"), prec.alias("precision"), rec.alias("recall"))
-    end = curve.agg(F.count(F.lit(1)).alias("_n")).select(
+    curve = cum.select(F.col("score").alias("threshold"), prec.alias("precision"), rec.alias("recall"))
+    end = curve.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return curve.unionByName(end)
 
 
 # ------------------------------------------------------------------ threshold sweep
 
-def sweep_grid(ev: DataFrame, score_col: str = "score") -> list[float]:
+def sweep_grid(table: DataFrame) -> list[float]:
     """Grid = 99 linear quantiles of the scores plus 0.0, distinct and sorted (<= 100 values,
-    a bounded fitted parameter)."""
-    vals = [v for v in exact_quantiles_multi(ev, [score_col], SWEEP_QUANTILES)[score_col] if v is not None]
-    return sorted(set(float(v) for v in vals) | {0.0})
-
-
-def sweep_thresholds(ev: DataFrame, grid: list[float] | None = None, score_col: str = "score",
-                     y_col: str = "y") -> DataFrame:
+    a bounded fitted parameter), from a score table: a score fills the places its count gives it."""
+    known = F.col("score").isNotNull() & ~F.isnan("score")
+    size = F.col("pos") + F.col("neg")
+    n, above = table.agg(F.sum(F.when(known, size)), F.sum(F.when(F.isnan("score"), size))).first()
+    if not n:
+        return [0.0]
+    places = {q: (n - 1) * q for q in SWEEP_QUANTILES}
+    need = sorted({int(f(p)) for p in places.values() for f in (math.floor, math.ceil)})
+    last = F.lit(int(n + (above or 0))) - (F.col("tps") + F.col("fps"))  # places before this score, from the least up
+    held = F.filter(F.array(*[F.lit(r).cast("bigint") for r in need]), lambda r: (r >= last) & (r < last + size))
+    at = {int(row[1]): float(row[0]) for row in table.filter(known).select("score", F.explode(held)).collect()}  # at most 198 places
+    values = {at[math.floor(p)] + (at[math.ceil(p)] - at[math.floor(p)]) * (p - math.floor(p)) for p in places.values()}
+    return sorted(values | {0.0})
+
+
+def sweep_thresholds(ev: DataFrame | None, grid: list[float] | None = None, score_col: str = "score",
+                     y_col: str = "y", table: DataFrame | None = None) -> DataFrame:
     """Per threshold acc, f1, precision, recall, fpr, youden (0 where undefined)."""
-    spark = ev.sparkSession
-    grid = sorted(set(grid)) if grid is not None else sweep_grid(ev, score_col)
+    table = materialize(score_table(ev, score_col, y_col)) if table is None else table
+    spark = table.sparkSession
+    grid = sorted(set(grid)) if grid is not None else sweep_grid(table)
     # bucket b = number of grid values <= score; score >= grid[j] <=> b >= j + 1 (0-based j)
     arr = F.array(*[F.lit(float(g)) for g in grid])
-    bucket = F.size(F.filter(arr, lambda g: g <= F.col(score_col)))
-    counts = (ev.groupBy(bucket.alias("b"))
-              .agg(F.count_if(F.col(y_col) == 1).alias("pos"), F.count_if(F.col(y_col) != 1).alias("neg")))
+    bucket = F.size(F.filter(arr, lambda g: g <= F.col("score")))
+    counts = table.groupBy(bucket.alias("b")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     P = counts.select(F.sum("pos")).scalar()
     N = counts.select(F.sum("neg")).scalar()
     # The grid and the bucket counts both hold at most len(grid) + 1 rows.
@@ -311,20 +324,44 @@ def rolling_accuracy(ev: DataFrame, window: int = ROLLING_WINDOW, pred_col: str
     return out.select("Date", "ticker", "rolling_accuracy")
 
 
-def auc_and_ap(ev: DataFrame, score_col: str = "score", y_col: str = "y") -> DataFrame:
-    """E5 + E7 from one cumulative table: one row with roc_auc and average_precision."""
-    cum = _cumulative(score_counts(ev, None, score_col, y_col), [], score_col)
-    term = F.col("neg") * (F.col("tps") - F.col("pos") + F.col("pos") / F.lit(2.0))
-    prec = F.col("tps") / (F.col("tps") + F.col("fps"))
-    return cum.agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc"),
-                   F.coalesce(F.try_divide(F.sum(F.col("pos") * prec), F.first("P")), F.lit(0.0))
-                   .alias("average_precision"))
+def auc_and_ap(ev: DataFrame | None, score_col: str = "score", y_col: str = "y", table: DataFrame | None = None) -> DataFrame:
+    """E5 + E7 from one score table: one row with roc_auc and average_precision."""
+    return (score_table(ev, score_col, y_col) if table is None else table).agg(_auc(), _ap())
 
 
-def full_stats(ev: DataFrame) -> DataFrame:
-    """One row with roc_auc, average_precision, best_youden_thr, best_f1_thr."""
-    best = best_thresholds(sweep_thresholds(ev))
-    return auc_and_ap(ev).select(
+def full_stats(ev: DataFrame | None, table: DataFrame | None = None, sweep: DataFrame | None = None) -> DataFrame:
+    """E15's stats: one row with roc_auc, average_precision, best_youden_thr, best_f1_thr."""
+    table = materialize(score_table(ev)) if table is None else table
+    best = best_thresholds(sweep_thresholds(ev, table=table) if sweep is None else sweep)
+    return auc_and_ap(ev, table=table).select(
         "roc_auc", "average_precision",
         best.select("best_youden_thr").scalar().alias("best_youden_thr"),
         best.select("best_f1_thr").scalar().alias("best_f1_thr"))
+
+
+def full_evaluation(ev: DataFrame, out_dir: str | None = None, predictions_name: str = "final_test_predictions.csv",
+                    rolling_window: int = ROLLING_WINDOW) -> dict[str, DataFrame]:
+    """Every frame of the evaluation by name, all score curves from one written score table.
+
+    ``stats`` (one row), ``sweep``, ``roc_curve``, ``pr_curve``, ``calibration``, ``confusion`` and
+    ``class_report`` (at threshold 0 and at the best Youden threshold: ``thr_name, thr``), ``gains``,
+    ``ap_by_ticker``, ``rolling_accuracy`` and ``predictions`` (the evaluation frame). With ``out_dir`` the
+    predictions are written there as CSV. ``calibration`` is missing where no row has a probability."""
+    ev = materialize(ev)
+    table = materialize(score_table(ev))
+    sweep = materialize(sweep_thresholds(ev, table=table))
+    stats = materialize(full_stats(ev, table=table, sweep=sweep))
+    cuts = {"thr0": 0.0, "youden": stats.first()["best_youden_thr"]}
+
+    def at_cuts(report) -> DataFrame:
+        parts = [report(ev, thr).withColumns({"thr_name": F.lit(name), "thr": F.lit(float(thr))}) for name, thr in cuts.items()]
+        return parts[0].unionByName(parts[1])
+
+    out = {"predictions": ev, "stats": stats, "sweep": sweep, "roc_curve": roc_curve(ev, table=table), "pr_curve": pr_curve(ev, table=table),
+           "confusion": at_cuts(confusion), "class_report": at_cuts(class_report), "gains": gains(ev),
+           "ap_by_ticker": ap_by_ticker(ev), "rolling_accuracy": rolling_accuracy(ev, rolling_window)}
+    if not ev.filter(F.col("proba").isNotNull() & ~F.isnan("proba")).isEmpty():
+        out["calibration"] = calibration(ev)
+    if out_dir is not None:
+        write_table_csv(ev, f"{out_dir.rstrip('/')}/{predictions_name}")
+    return out

@@ -129,6 +129,37 @@ def q_predictions_file(spark, sf):
     return rounded(fs.read_table_csv(spark, path, frame.schema))
 
 
+def _evaluation_sql():
+    cells = lambda cols: ", ".join(f"CAST({R6(f'CAST({c} AS DOUBLE)')} AS DOUBLE) AS {n}" for n, c in zip("tabcd", cols))
+    roc = """(SELECT 0 AS idx, 0.0 AS fpr, 0.0 AS tpr, NULL AS score UNION ALL SELECT idx, fps / "N", tps / "P", score
+  FROM (SELECT *, lag(tps) OVER (ORDER BY idx) AS tp_p, lag(fps) OVER (ORDER BY idx) AS fp_p, lead(tps) OVER (ORDER BY idx) AS tp_n,
+    lead(fps) OVER (ORDER BY idx) AS fp_n, max(idx) OVER () AS n_pts FROM cu) nb
+  WHERE idx = 1 OR idx = n_pts OR fp_p - 2 * fps + fp_n <> 0 OR tp_p - 2 * tps + tp_n <> 0) rc"""
+    pr = """(SELECT score, tps / (tps + fps) AS p, tps / "P" AS r FROM cu UNION ALL SELECT NULL, 1.0, 0.0) pc"""
+    stats = """(SELECT (SELECT sum(neg * (tps - pos + pos / 2.0)) / (sum(pos) * sum(neg)) FROM cu) AS auc,
+  (SELECT sum(pos * tps / (tps + fps)) / sum(pos) FROM cu) AS ap, best_youden_thr, best_f1_thr FROM best) st"""
+    parts = [("stats", ["NULL", "auc", "ap", "best_youden_thr", "best_f1_thr"], stats),
+             ("sweep", ["thr", "acc", "f1", '"precision"', "recall"], "sw2"), ("roc_curve", ["score", "fpr", "tpr", "NULL", "NULL"], roc),
+             ("pr_curve", ["score", "p", "r", "NULL", "NULL"], pr), ("predictions", ["NULL", "y", "score", "proba", '"pred@0"'], "ev")]
+    return eval_sql(" UNION ALL ".join(f"SELECT '{n}' AS frame, {cells(cols)} FROM {source}" for n, cols, source in parts))
+
+
+@register("full_evaluation", _evaluation_sql())
+def q_full_evaluation(spark, sf):
+    """Statistics, sweep and curves of one score table, and the predictions as written and read back."""
+    path = fs.new_scratch(spark, "evaluation")
+    frames = me.full_evaluation(scored(spark, sf, write_once=False), path)
+    frames["predictions"] = fs.read_table_csv(spark, f"{path}/final_test_predictions.csv", frames["predictions"].schema)
+    cells = {"stats": [None, "roc_auc", "average_precision", "best_youden_thr", "best_f1_thr"], "sweep": ["thr", "acc", "f1", "precision", "recall"],
+             "roc_curve": ["threshold", "fpr", "tpr", None, None], "pr_curve": ["threshold", "precision", "recall", None, None],
+             "predictions": [None, "y", "score", "proba", "pred@0"]}
+    out = None
+    for name, cols in cells.items():
+        part = frames[name].select(F.lit(name).alias("frame"), *[(F.col(f"`{c}`") if c else F.lit(None)).cast("double").alias(n) for n, c in zip("tabcd", cols)])
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
 MIN_TRAIN = 880
 
 

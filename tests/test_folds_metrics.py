@@ -117,3 +117,35 @@ def test_no_folds_is_an_error(spark):
     assert fo.require_folds(some) is some
     with pytest.raises(RuntimeError):
         fo.require_folds(some.where("fold > 0"))
+
+
+def test_score_table_feeds_every_curve(spark, tmp_path):
+    rnd = np.random.RandomState(5)
+    score, y = rnd.randint(-6, 7, 400) / 4, rnd.randint(0, 2, 400)
+    rows = [(f"2020-01-{1 + i % 28:02d}", f"T{i % 3}", int(b), float(a)) for i, (a, b) in enumerate(zip(score, y))]
+    ev = me.build_eval_frame(spark.createDataFrame(rows, "Date string, ticker string, y int, score double").selectExpr("cast(Date as timestamp_ntz) Date", "ticker", "y", "score"),
+                             proba_col=None)
+    got = me.score_table(ev).orderBy("idx").collect()
+    values = sorted(set(score), reverse=True)
+    assert [r.score for r in got] == values and [r.idx for r in got] == list(range(1, len(values) + 1))
+    for i, r in enumerate(got):
+        assert (r.tps, r.fps, r.P, r.N) == ((y[score >= r.score] == 1).sum(), (y[score >= r.score] == 0).sum(), y.sum(), (1 - y).sum())
+        after = (None, None) if i + 1 == len(values) else (got[i + 1].pos, got[i + 1].neg)
+        assert (r.next_pos, r.next_neg) == after
+    grid = me.sweep_grid(me.score_table(ev))
+    assert grid == pytest.approx(sorted({*np.quantile(score, me.SWEEP_QUANTILES).tolist(), 0.0}))
+    frames = me.full_evaluation(ev, str(tmp_path))
+    assert set(frames) == {"predictions", "stats", "sweep", "roc_curve", "pr_curve", "confusion", "class_report", "gains", "ap_by_ticker", "rolling_accuracy"}
+    assert frames["sweep"].count() == len(grid) and (tmp_path / "final_test_predictions.csv").exists()
+    stats, pairs = frames["stats"].first(), (score[y == 1][:, None] - score[y == 0][None, :])
+    assert stats.roc_auc == pytest.approx(((pairs > 0) + 0.5 * (pairs == 0)).mean())
+    at = {(r.thr_name, r.y, r.pred): r.n for r in frames["confusion"].collect()}
+    assert at["youden", 1, 1] == ((score >= stats.best_youden_thr) & (y == 1)).sum() and at["thr0", 0, 1] == ((score >= 0) & (y == 0)).sum()
+    assert me.full_evaluation(ev.limit(0))["roc_curve"].count() == 1
+
+
+def test_sweep_grid_leaves_out_null_and_nan(spark):
+    v = [float("nan"), None, 3.0, 1.0, 2.0, 2.0, float("nan")]
+    ev = spark.createDataFrame([(x, i % 2) for i, x in enumerate(v)], "score double, y int")
+    assert me.sweep_grid(me.score_table(ev)) == pytest.approx(sorted({*np.quantile([3, 1, 2, 2], me.SWEEP_QUANTILES).tolist(), 0.0}))
+    assert me.sweep_grid(me.score_table(ev.limit(0))) == [0.0]

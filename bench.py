@@ -65,8 +65,7 @@ def main():
         s = f.select("Date", "ticker", F.col("Target").alias("y"),
                      (F.round(F.lit(1.0) - F.col("SMA_ratio"), 6) + F.lit(0.0)).alias("score"))
         s = s.withColumn("proba", me.sigmoid(F.lit(50.0) * F.col("score")))
-        ev = me.build_eval_frame(s).transform(materialize)
-        frames = me.full_evaluation(ev)
+        frames = me.full_evaluation(me.build_eval_frame(s))
         for name in ("stats", "roc_curve", "gains", "rolling_accuracy"):
             run(frames[name])
 

@@ -1,11 +1,11 @@
 """Evaluation operators (E1-E15): the data behind every report of the reference.
 
 Input is an evaluation frame ``(Date, ticker, y, score, proba, "pred@0", score_is_margin)``.
-Curves that depend on a global score order (ROC, PR, AP) first collapse rows to one row per
-distinct score (a hash aggregate with map-side combine), then take running sums with the
-bucketed two-phase scan of ``functions.ordered``. Per-ticker variants use plain windows
-partitioned by ticker. Threshold sweeps bin rows into the (<= 100-value) grid and take
-cumulative counts over the grid: one pass over the data for all thresholds.
+All that depends on a global score order (ROC, PR, AP, the sweep and its quantile grid) reads one
+``score_table``: a row per distinct score (a hash aggregate with map-side combine) with running sums,
+totals and the following score's counts, from one range shuffle of ``functions.ordered``. Per-ticker
+variants use plain windows partitioned by ticker. Sweeps bin the scores into the (<= 100-value) grid
+and take cumulative counts over the grid.
 """
 
 from __future__ import annotations

@@ -22,16 +22,23 @@ EVERY = 20  # queries: rows whose vec_id it divides
 FIT_ROWS = 20_000  # vectors the centroids are fitted on, by least id hash; all are indexed
 MAX_K = 512  # k * k cell counts go to the driver and to all tasks
 RECALL, FIT_QUERIES = 0.95, 256  # recall to reach, and the queries it is measured on
-BLOCK = 8_192  # vectors of the index that a task holds; larger cells are split
+BLOCK = 4_096  # vectors of the index that a group holds; larger cells are split
+ASKED = 1_024  # queries that a group holds; a bucket that more queries visit meets them in blocks
+WALKS = 128  # queries whose cells one task looks up
+
+
+def _kind(vectors: DataFrame) -> str:
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    return kind if kind == "array<float>" else "array<double>"
 
 
 def valid(vectors: DataFrame) -> DataFrame:
     """One row a vec_id (the least vector, if repeated): ``vec_id, embedding``. Left out are null
     ids, null, empty and zero vectors, those with null or non-finite components, and those not of
-    the commonest length."""
-    x = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")).where(
+    the commonest length. Floats stay floats, components of any other type become doubles."""
+    x = vectors.select("vec_id", F.col("embedding").cast(_kind(vectors)).alias("embedding")).where(
         "vec_id is not null and embedding is not null and size(embedding) > 0"
-        " and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < float('Infinity'))"
+        " and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))"
         " and exists(embedding, x -> x != 0)")
     x = x.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     size = x.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -76,6 +83,21 @@ def visit(a: np.ndarray, b: np.ndarray, counts: np.ndarray, want: int) -> list[i
     return out
 
 
+def cell_runs(cells: np.ndarray, counts: np.ndarray, salts: np.ndarray, first: np.ndarray):
+    """The buckets that hold some of the cells and, for each, the runs of its cells as ``low, high, low,
+    high, ..``. Cells without vectors don't end a run."""
+    c = np.repeat(cells, salts[cells])
+    bucket = first[c] + np.arange(len(c)) - np.repeat(np.cumsum(salts[cells]) - salts[cells], salts[cells])
+    order = np.lexsort((c, bucket))
+    c, bucket = c[order], bucket[order]
+    place = np.cumsum(counts > 0)[c]
+    new = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    start = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (place[1:] != place[:-1] + 1)])
+    low, high = c[start], c[np.append(start[1:], True)]
+    begin = np.append(np.cumsum(start)[new] - 1, len(low))  # a bucket's first run
+    return bucket[new].tolist(), [np.column_stack([low[a:z], high[a:z]]).ravel() for a, z in zip(begin, begin[1:])]
+
+
 def fit(vectors: DataFrame, n: int, fit_rows: int = FIT_ROWS, k: int | None = None):
     """Centroids of both halves, from a bounded sample."""
     chosen = vectors.select("vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows)
@@ -130,7 +152,8 @@ def measure(index: DataFrame, asked: DataFrame, half: int, centroids, counts: np
 
 
 def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: int | None = None, recall: float = RECALL,
-           fit_rows: int = FIT_ROWS, fit_queries: int = FIT_QUERIES, k: int | None = None, block: int = BLOCK) -> DataFrame:
+           fit_rows: int = FIT_ROWS, fit_queries: int = FIT_QUERIES, k: int | None = None, block: int = BLOCK,
+           asked_block: int = ASKED) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``top`` nearest found of every query, nearest first,
     equal scores by smaller vec_id (all candidates, if fewer). Which rows take part: see ``valid``;
     other columns are ignored; an empty table gives an empty result.
@@ -138,9 +161,11 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
     Of equal vectors only the ``top`` + 1 least ids can be in any answer, and equal queries have
     one answer but for their own id: both are reduced to that before the index is made, so a vector
     that a third of all rows share costs no more than others. Cells of more than ``block`` vectors
-    are split, and their queries go to every part.
+    are split, and their queries go to every part. A bucket of cells that more than ``asked_block``
+    queries visit is copied once for each such block of them, so no task holds more than one block of
+    either side, however many queries a bucket has.
     """
-    spark = vectors.sparkSession
+    spark, kind = vectors.sparkSession, _kind(vectors)
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     whole = materialize(valid(vectors), "vectors")
     least = Window.partitionBy("embedding").orderBy("vec_id")
@@ -159,7 +184,7 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(assign(x[:, :h], c1) * len(c2) + assign(x[:, h:], c2), pa.int64())],
                                              names=[*b.schema.names, "cell"])
 
-    index = materialize(base.mapInArrow(lean(cell), "vec_id bigint, embedding array<float>, cell bigint"), "cells")
+    index = materialize(base.mapInArrow(lean(cell), f"vec_id bigint, embedding {kind}, cell bigint"), "cells")
     counts = np.zeros(shape[0] * shape[1], dtype=np.int64)
     for r in index.groupBy("cell").count().collect():  # at most MAX_K * MAX_K rows
         counts[r["cell"]] = r["count"]
@@ -186,20 +211,15 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
         cnt, s, f = layout.value
         for b in batches:
             x = _stack(ids(b, "embedding")).astype(np.float64)
-            out = {"bucket": [], "row": [], "cells": []}
+            buckets, row, runs = [], [], []
             for r, q in enumerate(x):
-                by: dict[int, list[int]] = {}
-                for c in visit(c1 @ q[:h], c2 @ q[h:], cnt, candidates):
-                    for salt in range(s[c]):
-                        by.setdefault(int(f[c]) + salt, []).append(c)
-                for bu, cs in by.items():
-                    out["bucket"].append(bu)
-                    out["row"].append(r)
-                    out["cells"].append(sorted(cs))
-            row = pa.array(out["row"], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int64()), ids(b, "rep").take(row),
-                                              ids(b, "embedding").take(row), pa.array(out["cells"], pa.list_(pa.int64()))],
-                                             names=["bucket", "rep", "embedding", "cells"])
+                found, own = cell_runs(np.array(visit(c1 @ q[:h], c2 @ q[h:], cnt, candidates)), cnt.ravel(), s, f)
+                buckets += found
+                runs += own
+                row += [r] * len(found)
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), ids(b, "rep").take(at), ids(b, "embedding").take(at),
+                                              pa.array(runs, pa.list_(pa.int64()))], names=["bucket", "rep", "embedding", "runs"])
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [], [], []
@@ -208,13 +228,15 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
             cells = left.column("cell").to_numpy()
             vec, vid = _stack(left.column("embedding").combine_chunks()).astype(np.float64), left.column("vec_id").to_numpy()
             queries = _stack(right.column("embedding").combine_chunks()).astype(np.float64)
-            for rep, q, cs in zip(right.column("rep").to_pylist(), queries, right.column("cells").to_pylist()):
-                lo, hi = np.searchsorted(cells, cs, "left"), np.searchsorted(cells, cs, "right")
+            longest = np.sqrt((vec**2).sum(axis=1).max())
+            for rep, q, runs in zip(right.column("rep").to_pylist(), queries, right.column("runs").to_pylist()):
+                lo, hi = np.searchsorted(cells, runs[::2], "left"), np.searchsorted(cells, runs[1::2], "right")
                 rows = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])
                 rough = vec[rows] @ q
-                if len(rows) > top + 1:  # what rounding can't lift into the best
+                slack = 1e-9 * longest * np.sqrt((q**2).sum())
+                if len(rows) > top + 1 and np.isfinite(slack):  # leave out what rounding can't lift into the best
                     edge = np.partition(rough, len(rough) - top - 1)[len(rough) - top - 1]
-                    rows = rows[rough >= edge - 1e-9 * (1 + np.abs(rough).max())]
+                    rows = rows[rough >= edge - slack]
                 score = (vec[rows] * q).sum(axis=1)  # the same order of summation for every row
                 best = np.lexsort((vid[rows], -score))[: top + 1]
                 found[0].extend([rep] * len(best))
@@ -222,10 +244,15 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, candidates: i
                 found[2].extend(score[best].tolist())
         return pa.table({"rep": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
 
-    reps = asked.groupBy("embedding").agg(F.min("vec_id").alias("rep"))
-    probes = reps.mapInArrow(lean(probe), "bucket bigint, rep bigint, embedding array<float>, cells array<bigint>")
-    placed = index.mapInArrow(lean(place), "bucket bigint, vec_id bigint, embedding array<float>, cell bigint")
-    hits = placed.groupBy("bucket").cogroup(probes.groupBy("bucket")).applyInArrow(rerank, "rep bigint, vec_id bigint, score double")
+    reps = materialize(asked.groupBy("embedding").agg(F.min("vec_id").alias("rep")), "asked")
+    walks = reps.repartition(max(1, -(-reps.count() // WALKS)))  # a walk costs more than its row's size tells
+    probes = materialize(walks.mapInArrow(lean(probe), f"bucket bigint, rep bigint, embedding {kind}, runs array<bigint>"), "probes")
+    placed = index.mapInArrow(lean(place), f"bucket bigint, vec_id bigint, embedding {kind}, cell bigint")
+    blocks = probes.groupBy("bucket").agg(F.ceil(F.count("*") / asked_block).alias("blocks"))  # a row a bucket
+    placed = placed.join(blocks, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("blocks")
+    probes = probes.join(blocks, "bucket").withColumn("part", F.pmod(F.xxhash64("rep"), "blocks")).drop("blocks")
+    hits = (placed.groupBy("bucket", "part").cogroup(probes.groupBy("bucket", "part"))
+            .applyInArrow(rerank, "rep bigint, vec_id bigint, score double"))
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
     hits = hits.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= top + 1).drop("rn")
     own = asked.join(reps, "embedding").select(F.col("vec_id").alias("query_id"), "rep")

@@ -336,6 +336,32 @@ def test_neighbours(spark):
     assert ann.search(df.limit(0)).collect() == [] and ann.search(df.where("vec_id = 1000")).collect() == []
 
 
+def test_cell_runs():
+    counts, salts = np.array([3, 0, 2, 5, 1, 9, 1]), np.array([1, 1, 1, 1, 1, 3, 1])
+    first = np.array([0, 0, 0, 1, 1, 2, 1])
+    got = ann.cell_runs(np.array([6, 2, 5, 0, 3]), counts, salts, first)
+    assert got[0] == [0, 1, 2, 3, 4]
+    assert [x.tolist() for x in got[1]] == [[0, 2], [3, 3, 6, 6], [5, 5], [5, 5], [5, 5]]
+
+
+def test_neighbours_of_doubles_in_blocks(spark):
+    """Components beyond the range and the precision of floats; many query blocks a bucket."""
+    r = np.random.RandomState(1)
+    x = r.randn(300, 6) + 1e-12 * r.randn(300, 6)
+    x[20], x[33] = 1e39, 1e200
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(300, [float("inf")] * 6)],
+                               "vec_id bigint, embedding array<double>")
+    for size in (2, 1_000):
+        got = defaultdict(list)
+        for q in ann.search(df, every=10, top=5, candidates=300, k=4, block=40, asked_block=size).orderBy("query_id", "rank").collect():
+            got[q.query_id].append((q.vec_id, q.score))
+        assert got.keys() == set(range(0, 300, 10))
+        for q, rows_ in got.items():
+            s = (x * x[q]).sum(axis=1)
+            want = [i for i in np.lexsort((np.arange(300), -s)) if i != q][:5]
+            assert rows_ == [(i, s[i]) for i in want]
+
+
 def test_urls(spark):
     rules = [("block", "bad.com/"), ("allow", "bad.com/ok"), ("block", "a.bad.com/ok"), ("block", "q.org/x?")]
     data = ["http://bad.com/x", "HTTP://www.BAD.com/okay?x", "http://a.bad.com/ok", "http://notbad.com/", "http://bad.com", None, "", "bad.com/x",

@@ -8,12 +8,19 @@ then intersected with the offset-adjusted lists of its other terms, rarer ones f
 with a term that the shard lacks costs nothing. Documents are never split between shards, so
 matching needs no shuffle.
 
+The test phrases are a table too, of packed blocks of bounded size that Spark makes from the
+benchmark. A few blocks (see ``SHARED_BLOCKS``) are sent to all tasks and met in one pass over the
+index; more of them are joined to the index by groups of shards, so neither the driver nor a task
+ever holds the benchmark.
+
 Words are equal if their 64-bit hashes are; a phrase of several words would need as many
 collisions at the right places to match falsely.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,10 +31,14 @@ from panelspark.llm.text import LOWER, TERM, U64, ranges, slices, span_hashes, w
 
 WINDOW = 10
 SHARD_WORDS = 1 << 18
-BLOCK_WINDOWS = 100_000  # test phrases looked up in one pass over the index
+BLOCK_WINDOWS = 100_000  # test phrases in a block: at most 21 MB, mostly 6
+SHARED_BLOCKS = 4  # blocks that may be sent to all tasks
+GROUP_SHARDS = 64  # shards that one copy of the further blocks serves
 
 INDEX = ("doc_ids array<bigint>, text_hashes array<bigint>, n_words array<bigint>, first array<bigint>, "
          "terms binary, begins binary, positions binary")
+PHRASES = "terms binary, places binary, lengths binary, items array<bigint>"
+MATCHES = "doc_id bigint, text_hash bigint, items array<bigint>, spans array<int>"
 _ARROW = pa.schema([*((c, pa.list_(pa.int64())) for c in ("doc_ids", "text_hashes", "n_words", "first")),
                     *((c, pa.binary()) for c in ("terms", "begins", "positions"))])
 
@@ -66,38 +77,63 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lean(run), INDEX)
 
 
+@dataclass
 class Phrases:
-    """A block of test phrases: their distinct terms and, by phrase, term numbers, length and item."""
-
-    def __init__(self, items: list[tuple], window: int = WINDOW):
-        buf = np.frombuffer("\n".join(t or "" for _, t in items).encode(), dtype=np.uint8)
-        size = np.array([len((t or "").encode()) + 1 for _, t in items], dtype=np.int64)
-        off = np.append(np.cumsum(size) - size, len(buf))
-        s, e, first = words(buf := LOWER[buf], off, TERM)
-        self.terms, number = np.unique(span_hashes(buf, s, e), return_inverse=True)
-        rows, self.length, self.item = [], [], []
-        for i, (item, _) in enumerate(items):
-            own = number[first[i] : first[i + 1]]
-            k = min(window, len(own))
-            for a in range(len(own) - k + 1 if k else 0):
-                rows.append(np.append(own[a : a + k], [-1] * (window - k)))
-                self.length.append(k)
-                self.item.append(item)
-        self.rows = np.array(rows, dtype=np.int64).reshape(len(rows), window)
-        self.length = np.array(self.length, dtype=np.int64)
+    """A block of test phrases: their distinct terms and, by phrase, term numbers (-1 behind the end),
+    length and item."""
+
+    terms: np.ndarray
+    rows: np.ndarray
+    length: np.ndarray
+    item: np.ndarray  # of ints and None
 
     @staticmethod
-    def blocks(benchmark: DataFrame, window: int, size: int):
-        """Blocks of at most about ``size`` phrases, read from ``item_id, text`` one at a time."""
-        held, n = [], 0
-        for r in benchmark.where("text is not null").select("item_id", "text").toLocalIterator():
-            held.append((r["item_id"], r["text"]))
-            n += max(1, len(r["text"].split()) - window + 1)
-            if n >= size:
-                yield Phrases(held, window)
-                held, n = [], 0
-        if held:
-            yield Phrases(held, window)
+    def unpack(terms: bytes, places: bytes, lengths: bytes, items: list) -> Phrases:
+        n = np.frombuffer(lengths, dtype=np.int32).astype(np.int64)
+        rows = np.frombuffer(places, dtype=np.int32).astype(np.int64)
+        return Phrases(np.frombuffer(terms, dtype=U64), rows.reshape(len(n), -1), n, np.array(items, dtype=object))
+
+
+def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_WINDOWS) -> DataFrame:
+    """Packed blocks of at most ``size`` phrases of ``item_id, text``; a long item may lie in several.
+    A lazy table."""
+
+    def pack(hashes: list, lengths: list, items: list) -> pa.RecordBatch:
+        h, n = np.concatenate(hashes), np.concatenate(lengths)
+        own = np.arange(window) < n[:, None]
+        places = np.full(own.shape, -1, dtype=np.int32)
+        terms, places[own] = np.unique(h[own], return_inverse=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x], pa.binary()) for x in (terms.tobytes(), places.tobytes(), n.astype(np.int32).tobytes())]
+            + [pa.array([items], pa.list_(pa.int64()))], names=["terms", "places", "lengths", "items"])
+
+    def run(batches):
+        hashes, lengths, items = [], [], []
+        for b in batches:
+            names = ids(b, "item_id")
+            for lo, _, buf, off in slices(b):
+                s, e, first = words(buf := LOWER[buf], off, TERM)
+                h = np.append(span_hashes(buf, s, e), np.zeros(window, dtype=U64))
+                n = np.diff(first)
+                k = np.minimum(n, window)
+                many = np.where(n > 0, n - k + 1, 0)
+                item, start = np.repeat(np.arange(len(n)), many), ranges(first[:-1], many)
+                at = 0
+                while at < len(start):
+                    part = slice(at, at + size - len(items))
+                    hashes.append(h[start[part, None] + np.arange(window)])
+                    lengths.append(k[item[part]])
+                    items += names.take(pa.array(lo + item[part])).to_pylist()
+                    at = part.stop
+                    if len(items) >= size:
+                        yield pack(hashes, lengths, items)
+                        hashes, lengths, items = [], [], []
+        if items:
+            yield pack(hashes, lengths, items)
+
+    texts = benchmark.where("text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    much = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return texts.coalesce(max(1, -(-much // (6 * size)))).mapInArrow(lean(run), PHRASES)  # a word and a space: 6 bytes
 
 
 class Shard:
@@ -160,65 +196,91 @@ class Shard:
         return alive[who], at
 
 
-def _match(index: DataFrame, phrases: Phrases, slop: int | None) -> DataFrame:
-    shared = index.sparkSession.sparkContext.broadcast(phrases)  # at most about BLOCK_WINDOWS phrases
-    schema = "doc_id bigint, text_hash bigint, items array<bigint>, spans array<int>"
+def _shard_hits(col: dict, i: int, p: Phrases, slop: int | None, out: tuple[list, ...]) -> None:
+    """Adds doc_id, text_hash, items and spans of the documents of index row ``i`` that hold a phrase."""
+    view = lambda c, t: np.frombuffer(col[c][i].as_buffer(), dtype=t)
+    shard = Shard(view("terms", U64), view("begins", np.uint32), view("positions", np.uint32), p.terms)
+    first = np.array(col["first"][i].as_py(), dtype=np.int64)
+    n = np.array(col["n_words"][i].as_py(), dtype=np.int64)
+    some = np.flatnonzero(n > 0)
+    if slop is None:
+        who, at = shard.phrases(p)
+        size = p.length[who]
+    else:
+        who, at = shard.proximity(p, slop, first[some], first[some] + n[some] - 1)
+        size = np.ones(len(who), dtype=np.int64)
+    if not len(who):
+        return
+    cover = np.zeros(int(first[-1] + n[-1]) + 2, dtype=np.int32)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + size, -1)
+    edge = np.diff(np.concatenate([[0], (np.cumsum(cover) > 0).astype(np.int8)]))
+    opens, closes = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    doc, span_doc = some[np.searchsorted(first[some], at, "right") - 1], some[np.searchsorted(first[some], opens, "right") - 1]
+    docs_, hashes = col["doc_ids"][i].as_py(), col["text_hashes"][i].as_py()
+    for d in np.unique(doc).tolist():
+        mine = span_doc == d
+        out[0].append(docs_[d])
+        out[1].append(hashes[d])
+        out[2].append(sorted({x for x in p.item[who[doc == d]] if x is not None}))
+        out[3].append((np.column_stack([opens[mine], closes[mine]]).ravel() - first[d]).tolist())
+
+
+def _hit_batch(out: tuple[list, ...]) -> pa.RecordBatch:
+    kinds = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=["doc_id", "text_hash", "items", "spans"])
+
+
+def _match_shared(index: DataFrame, blocks: list[Phrases], slop: int | None) -> DataFrame:
+    """Hits of a few blocks, which all tasks get, in one pass over the index."""
+    shared = index.sparkSession.sparkContext.broadcast(blocks)  # at most SHARED_BLOCKS
+
+    def run(batches):
+        for b in batches:
+            out, col = ([], [], [], []), {c: ids(b, c) for c in b.schema.names}
+            for i in range(b.num_rows):
+                for p in shared.value:
+                    _shard_hits(col, i, p, slop, out)
+            yield _hit_batch(out)
+
+    return index.mapInArrow(lean(run), MATCHES)
+
+
+def _match_joined(index: DataFrame, blocks: DataFrame, slop: int | None, group_shards: int) -> DataFrame:
+    """Hits of any number of blocks: shards are dealt to groups, and each group gets every block once."""
+    groups = max(1, -(-index.count() // group_shards))
+    shards = index.withColumn("deal", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    copies = blocks.select(*(F.col(c).alias(f"p_{c}") for c in blocks.columns),
+                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("deal"))
 
     def run(batches):
-        p = shared.value
         for b in batches:
-            out = [], [], [], []
             col = {c: ids(b, c) for c in b.schema.names}
             for i in range(b.num_rows):
-                view = lambda c, t: np.frombuffer(col[c][i].as_buffer(), dtype=t)  # noqa: E731, B023
-                shard = Shard(view("terms", U64), view("begins", np.uint32), view("positions", np.uint32), p.terms)
-                first = np.array(col["first"][i].as_py(), dtype=np.int64)
-                n = np.array(col["n_words"][i].as_py(), dtype=np.int64)
-                if slop is None:
-                    who, at = shard.phrases(p)
-                    size = p.length[who]
-                else:
-                    some = np.flatnonzero(n > 0)
-                    who, at = shard.proximity(p, slop, first[some], first[some] + n[some] - 1)
-                    size = np.ones(len(who), dtype=np.int64)
-                if not len(who):
-                    continue
-                cover = np.zeros(int(first[-1] + n[-1]) + 2, dtype=np.int32)
-                np.add.at(cover, at, 1)
-                np.add.at(cover, at + size, -1)
-                edge = np.diff(np.concatenate([[0], (np.cumsum(cover) > 0).astype(np.int8)]))
-                opens, closes = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                some = np.flatnonzero(n > 0)
-                doc, span_doc = some[np.searchsorted(first[some], at, "right") - 1], some[np.searchsorted(first[some], opens, "right") - 1]
-                docs_, hashes = col["doc_ids"][i].as_py(), col["text_hashes"][i].as_py()
-                for d in np.unique(doc).tolist():
-                    mine = span_doc == d
-                    out[0].append(docs_[d])
-                    out[1].append(hashes[d])
-                    out[2].append(sorted({x for x in (p.item[w] for w in who[doc == d]) if x is not None}))
-                    out[3].append(np.column_stack([opens[mine], closes[mine]]).ravel() - first[d])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int64())),
-                pa.array([x.tolist() for x in out[3]], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "items", "spans"])
-
-    return index.mapInArrow(lean(run), schema)
+                out = [], [], [], []
+                p = Phrases.unpack(*(col[f"p_{c}"][i].as_buffer() for c in ("terms", "places", "lengths")), col["p_items"][i].as_py())
+                _shard_hits(col, i, p, slop, out)
+                yield _hit_batch(out)
+
+    return shards.join(copies, "deal").mapInArrow(lean(run), MATCHES)
 
 
 def matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = None,
-            block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+            block_windows: int = BLOCK_WINDOWS, shared_blocks: int = SHARED_BLOCKS, group_shards: int = GROUP_SHARDS) -> DataFrame:
     """``doc_id, text_hash, items, spans``: documents that hold a test phrase (a window of an item's
     words, or all of a shorter item), the items, and the word ranges (start, end, start, end, ..)
     hit. With ``slop``: proximity matches, whose ranges are the rarest terms' places.
 
-    The benchmark is worked off in blocks of bounded size, each in one pass over the index, and the
-    passes' rows are merged by document. Items without words match nothing; of an item without
-    item_id only the ranges count."""
-    out = None
-    for p in Phrases.blocks(benchmark, window, block_windows):
-        part = _match(index, p, slop)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return index.sparkSession.createDataFrame([], "doc_id bigint, text_hash bigint, items array<bigint>, spans array<int>")
+    The benchmark is cut into blocks of bounded size. Up to ``shared_blocks`` of them are sent to all
+    tasks; more are joined to the index, ``group_shards`` shards a copy. Either way the rows of several
+    blocks are merged by document. Items without words match nothing; of an item without item_id only
+    the ranges count."""
+    blocks = materialize(phrase_blocks(benchmark, window, block_windows), "phrases")
+    if blocks.count() <= shared_blocks:
+        packed = [Phrases.unpack(bytes(r["terms"]), bytes(r["places"]), bytes(r["lengths"]), r["items"]) for r in blocks.collect()]
+        out = _match_shared(index, packed, slop)
+    else:
+        out = _match_joined(index, blocks, slop, group_shards)
     merged = out.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
                                                     F.collect_list("spans").alias("spans"))
 
@@ -237,15 +299,14 @@ def matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop:
             yield pa.RecordBatch.from_arrays([ids(b, "doc_id"), ids(b, "text_hash"), ids(b, "items"), pa.array(spans, pa.list_(pa.int32()))],
                                              names=["doc_id", "text_hash", "items", "spans"])
 
-    return merged.mapInArrow(lean(union), "doc_id bigint, text_hash bigint, items array<bigint>, spans array<int>")
+    return merged.mapInArrow(lean(union), MATCHES)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document.
 
     Null text has no words. Repeated rows get a row each; other columns are ignored; an empty table
-    gives an empty result, an empty benchmark hits nothing. The index is written once and read by
-    every pass."""
+    gives an empty result, an empty benchmark hits nothing. The index is written once."""
     index = materialize(build_index(docs), "postings")
     hits = matches(index, benchmark, window)
     all_docs = index.select(F.explode(F.arrays_zip("doc_ids", "text_hashes", "n_words")).alias("d")).select(

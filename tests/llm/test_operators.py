@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from panelspark.llm import ann, decontam, jaccard, langid, packing, quality, substrings, text, tokens, toxicity, urls
+from panelspark.llm.common import materialize
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, rn int, items string"
 
@@ -177,9 +178,14 @@ def test_decontamination(spark, docs, rows):
         names = sorted(str(x) for x in found if x is not None)
         want[(d, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit))] += 1
     assert sum(k[-1] * n for k, n in want.items()) >= 5
-    for size in (1, 100_000):  # many passes over the index, or one
-        index = decontam.build_index(docs, 400)
-        assert decontam.matches(index, items, block_windows=size).count() == sum(k[-1] * n for k, n in want.items())
+    index = materialize(decontam.build_index(docs, 400))
+    found = []
+    for size, group in ((7, 1), (7, 3), (100_000, 1)):  # blocks joined to groups of shards, or sent to all tasks
+        assert (decontam.phrase_blocks(items, size=size).count() > decontam.SHARED_BLOCKS) == (size == 7)
+        got = decontam.matches(index, items, block_windows=size, group_shards=group).collect()
+        assert len(got) == sum(k[-1] * n for k, n in want.items())
+        found.append(Counter((r.doc_id, r.text_hash, tuple(r["items"]), tuple(r.spans)) for r in got))
+    assert found[0] == found[1] == found[2]
     assert Counter(tuple(r) for r in decontam.decontaminate(docs, items).collect()) == want
     assert decontam.decontaminate(docs.limit(0), items).collect() == []
     assert not decontam.decontaminate(docs, items.limit(0)).where("contaminated").count()
@@ -190,8 +196,9 @@ def test_decontamination(spark, docs, rows):
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x x beta gamma"), (2, "gamma beta y alpha"), (3, "alpha beta"), (4, "beta alpha " + "z " * 20 + "gamma")], "doc_id bigint, text string")
     items = spark.createDataFrame([(5, "alpha beta gamma")], "item_id bigint, text string")
-    got = decontam.matches(decontam.build_index(docs), items, slop=4)
-    assert sorted(r.doc_id for r in got.collect()) == [1, 2]
+    for shared in (0, 4):
+        got = decontam.matches(decontam.build_index(docs), items, slop=4, shared_blocks=shared)
+        assert sorted(r.doc_id for r in got.collect()) == [1, 2]
 
 
 def test_quality(spark):

@@ -2,15 +2,12 @@
 
 Setting one feature to each of g values doesn't need g walks through a tree: the values that a row is
 tried with travel together as a range of the sorted values, and split only where the tree asks for
-that feature. At a leaf the whole range gets the leaf's vote. Tasks hold the forest (broadcast, as
-Spark's own scoring does) and their rows; grids come back as sums.
+that feature. At a leaf the whole range gets the leaf's vote. A task holds a group of trees and a block
+of rows (``stored_forest``); grids come back as sums.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
@@ -18,42 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators import models as mo
-from panelspark.session import scratch_path
+from panelspark.operators.stored_forest import ARRAYS, ID, Tree, matrix, store, tree_of
+from panelspark.session import materialize
 
 ROWS = 4096  # rows that walk a tree together
 
 
-@dataclass
-class Tree:
-    feature: np.ndarray  # -1: leaf
-    threshold: np.ndarray  # a value up to it goes left
-    left: np.ndarray
-    right: np.ndarray
-    vote: np.ndarray  # share of class 1
-
-
 def tables(model, spark) -> list[Tree]:
-    """The trees of a fitted Spark forest, from its saved form."""
-    path = scratch_path(spark, f"forest-{uuid.uuid4().hex[:12]}")
-    model.write().save(path)
-    n, s = "nodeData", "nodeData.split"
-    nodes = (spark.read.parquet(f"{path}/data").select(
-        "treeID", F.col(f"{n}.id").alias("id"), F.col(f"{n}.leftChild").alias("left"), F.col(f"{n}.rightChild").alias("right"),
-        F.col(f"{s}.featureIndex").alias("feature"), F.col(f"{s}.numCategories").alias("categories"),
-        F.get(F.col(f"{s}.leftCategoriesOrThreshold"), 0).alias("first"), F.size(f"{s}.leftCategoriesOrThreshold").alias("n_left"),
-        (F.get(f"{n}.impurityStats", 1) / F.aggregate(f"{n}.impurityStats", F.lit(0.0), lambda a, b: a + b)).alias("vote")).toPandas())
-    out = []
-    for _, t in nodes.sort_values(["treeID", "id"]).groupby("treeID"):
-        if (t["categories"] > 2).any():
-            raise ValueError("features of more than two categories aren't supported")
-        left, right, leaf = t["left"].to_numpy(np.int32), t["right"].to_numpy(np.int32), t["left"].to_numpy() < 0
-        # of two categories the split names those that go left
-        binary = t["categories"].to_numpy() == 2
-        swap = binary & (t["first"].to_numpy() == 1.0) & (t["n_left"].to_numpy() == 1)
-        threshold = np.where(binary, np.where(t["n_left"].to_numpy() == 2, np.inf, 0.5), t["first"].to_numpy(np.float64))
-        out.append(Tree(np.where(leaf, -1, t["feature"].to_numpy()).astype(np.int32), threshold, np.where(swap, right, left), np.where(swap, left, right),
-                        t["vote"].to_numpy(np.float64)))
-    return out
+    """The trees of a small forest."""
+    return [tree_of(r) for r in store(model).trees.orderBy("at").select(*ARRAYS).toLocalIterator()]
 
 
 def ranged_votes(tree: Tree, x: np.ndarray, swaps: list[tuple[int, np.ndarray]]):
@@ -210,10 +180,6 @@ def swapped_scores(trees: list[Tree], x: np.ndarray, features: list[int], donors
     return out
 
 
-def _matrix(column: pa.Array, n: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-
-
 def feature_rows(model: mo.FittedPanelModel, data: DataFrame, *extra) -> DataFrame:
     """``x`` (the features the trees see) and ``extra`` columns, spread over as many tasks as a shuffle."""
     prepared = data.sparkSession.conf.get("spark.sql.shuffle.partitions")
@@ -225,34 +191,32 @@ def feature_rows(model: mo.FittedPanelModel, data: DataFrame, *extra) -> DataFra
 
 def dependence(model: mo.FittedPanelModel, data: DataFrame, jobs: list[tuple[tuple[str, ...], list[list[float]]]]) -> DataFrame:
     """``job, cell, average``: for each (features, grids) the mean probability in each cell of the grids'
-    product, cells numbered row by row. A task sends one sum a cell."""
-    spark = data.sparkSession
-    shared = spark.sparkContext.broadcast(tables(model.spark_model.stages[-1], spark))
+    product, cells numbered row by row. A block of rows and a group of trees send one sum a cell."""
     plans = [([model.num_cols.index(c) for c in names], [np.array(g) for g in grids]) for names, grids in jobs]
 
     first = {features[0]: j for j, (features, _) in reversed(list(enumerate(plans))) if len(features) == 1}
     singles = sorted(first.values())  # a feature's first job; its others walk on their own
 
-    def run(batches):
-        for b in batches:
-            x = _matrix(b.column(0), b.num_rows)
-            for lo in range(0, len(x), ROWS):
-                part = x[lo : lo + ROWS]
-                sums = dict(zip(singles, single_grid_sums(shared.value, part, [plans[j][0][0] for j in singles], [plans[j][1][0] for j in singles])))
-                for j, (features, grids) in enumerate(plans):
-                    s = sums[j] if j in sums else grid_sums(shared.value, part, features, grids).ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), j), pa.int32()), pa.array(np.arange(len(s)), pa.int32()), pa.array(s),
-                                                      pa.array(np.full(len(s), len(part)), pa.int64())], names=["job", "cell", "s", "n"])
-
-    sums = feature_rows(model, data).mapInArrow(run, "job int, cell int, s double, n bigint")
+    def work(trees, rows, block, group):
+        total = [np.zeros(int(np.prod([len(g) for g in grids]))) for _, grids in plans]
+        x = matrix(rows.column("x"), rows.num_rows) if rows.num_rows else np.zeros((0, 0))
+        for lo in range(0, len(x), ROWS):
+            part = x[lo : lo + ROWS]
+            sums = dict(zip(singles, single_grid_sums(trees, part, [plans[j][0][0] for j in singles], [plans[j][1][0] for j in singles])))
+            for j, (features, grids) in enumerate(plans):
+                total[j] += (sums[j] if j in sums else grid_sums(trees, part, features, grids).ravel()) * len(trees)
+        size = [len(t) for t in total] if len(x) else []
+        return pa.table({"job": pa.array(np.repeat(np.arange(len(size)), size), pa.int32()), "cell": pa.array(np.concatenate([np.arange(n) for n in size] or [[]]), pa.int32()),
+                         "s": pa.array(np.concatenate(total if size else [[]]), pa.float64()), "n": pa.array(np.full(sum(size), len(x) * len(trees)), pa.int64())})
+
+    rows = materialize(feature_rows(model, data, F.monotonically_increasing_id().alias(ID)))
+    sums = store(model.spark_model.stages[-1]).meet(rows, work, "job int, cell int, s double, n bigint")
     return sums.groupBy("job", "cell").agg((F.sum("s") / F.sum("n")).alias("average"))
 
 
 def permuted_scores(model: mo.FittedPanelModel, rows: DataFrame, cols: list[str], label: str) -> DataFrame:
-    """``_col, _rep, y, score`` of rows that carry ``_donors``: an array a column of the values each repeat
-    puts in. Imputation happens to donors as to the columns."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(tables(model.spark_model.stages[-1], spark))
+    """``_col, _rep, y, score`` of rows that carry ``_d_`` columns: an array a column of the values each repeat
+    puts in, and an ``_id``. Imputation happens to donors as to the columns."""
     place = [model.num_cols.index(c) for c in cols]
     medians = [model.medians[c] if model.medians[c] is not None else 0.0 for c in cols]
 
@@ -261,16 +225,19 @@ def permuted_scores(model: mo.FittedPanelModel, rows: DataFrame, cols: list[str]
 
     donors = F.flatten(F.array(*[imputed(c, m) for c, m in zip(cols, medians)]))
 
-    def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, ROWS):
-                part = b.slice(lo, ROWS)
-                x, d = _matrix(part.column(0), part.num_rows), _matrix(part.column(1), part.num_rows).reshape(part.num_rows, len(cols), -1)
-                y, reps = part.column(2).to_numpy(zero_copy_only=False), d.shape[2]
-                scores = swapped_scores(shared.value, x, place, d)
-                for k, c in enumerate(cols):
-                    s = scores[:, k, :]
-                    yield pa.RecordBatch.from_arrays([pa.array([c] * s.size), pa.array(np.tile(np.arange(reps), len(x)), pa.int32()),
-                                                      pa.array(np.repeat(y, reps), pa.int32()), pa.array(s.ravel())], names=["_col", "_rep", "y", "score"])
-
-    return feature_rows(model, rows, donors.alias("d"), F.col(label).cast("int").alias("y")).mapInArrow(run, "_col string, _rep int, y int, score double")
+    def values(trees, some):
+        x, d = matrix(some.column("x"), some.num_rows), matrix(some.column("d"), some.num_rows).reshape(some.num_rows, len(cols), -1)
+        parts = [swapped_scores(trees, x[lo : lo + ROWS], place, d[lo : lo + ROWS]) for lo in range(0, len(x), ROWS)]
+        return np.concatenate(parts).reshape(len(x), -1) * len(trees)
+
+    def out(ids, sums):
+        n, reps = len(ids), sums.shape[1] // len(cols)
+        col = pa.DictionaryArray.from_arrays(pa.array(np.tile(np.repeat(np.arange(len(cols)), reps), n), pa.int32()), pa.array(cols)).cast(pa.string())
+        return pa.table({"_row": pa.array(np.repeat(ids, sums.shape[1])), "_col": col, "_rep": pa.array(np.tile(np.arange(reps), n * len(cols)), pa.int32()),
+                         "score": pa.array(sums.ravel() / n_trees)})
+
+    forest = store(model.spark_model.stages[-1])
+    n_trees = forest.getNumTrees
+    known = materialize(feature_rows(model, rows, donors.alias("d"), F.col(label).cast("int").alias("y"), F.col("_id").cast("bigint").alias(ID)))
+    scores = forest.summed(known.select(ID, "x", "d"), values, out, "_row bigint, _col string, _rep int, score double")
+    return scores.join(known.select(F.col(ID).alias("_row"), "y"), "_row").select("_col", "_rep", "y", "score")

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.ordered import exact_quantiles_multi
 from panelspark.operators import metrics as me
+from panelspark.operators.stored_forest import Saved
 from panelspark.session import materialize
 
 TICKER_COL = "__ticker__"
@@ -134,14 +135,14 @@ def bag_class_weights(df: DataFrame, n_bags: int, seed: int, keys: list[str], la
 class BaggedForest:
     """M5 with ``class_weight="balanced_subsample"``: rows are drawn into bags, each bag has its own class
     weights, and ``trees_a_bag`` trees grow on each (1: a bag a tree, as in the reference; they differ by
-    the features tried at each node). Bags are fitted a few at a time over one cached table and
-    joined into one averaged model."""
+    the features tried at each node). Bags are fitted a few at a time over one cached table and written
+    as they are done, so the driver holds ``parallelism`` bags at most; the model is a table of trees."""
     n_trees: int = 400
     seed: int = 42
     max_depth: int = 30
     trees_a_bag: int = TREES_A_BAG
     keys: tuple = (TICKER_COL, "Date")
-    parallelism: int = 8
+    parallelism: int = 4
     options: dict = field(default_factory=dict)
 
     def fit(self, vectors: DataFrame):
@@ -157,11 +158,12 @@ class BaggedForest:
             by_class = F.when(F.col(LABEL) == 1, F.lit(w.get(1, 0.0))).otherwise(F.lit(w.get(0, 0.0)))
             drawn = known.withColumn("_w", bag_draws(F.lit(bag), self.seed, keys) * by_class).where("_w > 0")
             tree = {"bootstrap": False, "featureSubsetStrategy": "sqrt", **self.options}
-            return random_forest(sizes[bag], self.seed + bag, self.max_depth, **tree).fit(drawn)
+            return saved.add(bag, random_forest(sizes[bag], self.seed + bag, self.max_depth, **tree).fit(drawn))
 
+        saved = Saved(vectors.sparkSession, self.trees_a_bag)
         try:
             with ThreadPool(self.parallelism) as pool:
-                return joined_forest(pool.map(grow, range(len(sizes)), chunksize=1))
+                return saved.stored(pool.map(grow, range(len(sizes)), chunksize=1))
         finally:
             known.unpersist()
 

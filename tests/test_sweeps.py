@@ -14,6 +14,7 @@ from panelspark.operators import inspect as ins
 from panelspark.operators import margin_sweep as ms
 from panelspark.operators import models as mo
 from panelspark.operators import search as se
+from panelspark.operators import stored_forest as sf
 
 COLS = ["a", "b", "c"]
 
@@ -171,3 +172,28 @@ def test_random_search(spark, pairs, monkeypatch):
     monkeypatch.setattr(se, "sample_space", lambda n, seed: [{"n_estimators": 2 + j, "max_depth": 3, "min_samples_leaf": 1 + j} for j in range(n)])
     got = se.random_search(pairs.drop("inner_fold").where("fold = 0"), COLS, n_iter=2, inner_splits=2, parallelism=2).collect()
     assert [r.fold for r in got] == [0] and got[0].draw in (0, 1) and got[0].n_val == 24
+
+
+def test_a_bagged_forest_is_written_bag_by_bag(spark, pairs, monkeypatch):
+    """The driver joins no bags, and the table scores as Spark's own forest of the same trees."""
+    models, join, add = [], mo.joined_forest, sf.Saved.add
+    monkeypatch.setattr(mo, "joined_forest", lambda *a: pytest.fail("the whole forest in the driver"))
+    monkeypatch.setattr(sf.Saved, "add", lambda self, part, model: (models.append((part, model)), add(self, part, model))[1])
+    monkeypatch.setattr(sf, "NODES", 40)
+    monkeypatch.setattr(sf, "BLOCK", 16)
+    train, val = (pairs.where(f"role = '{r}' and fold = 1") for r in ("train", "val"))
+    fitted = mo.fit_pipeline(train, COLS, mo.BaggedForest(n_trees=7, trees_a_bag=3, max_depth=6), "forest", scale=False)
+    own = fitted.spark_model.stages[-1]
+    spark_forest = join([m for _, m in sorted(models, key=lambda x: x[0])])
+    assert own.getNumTrees == 7 and own.nodes == sum(t.numNodes for t in spark_forest.trees) > 3 * sf.NODES
+    assert own.featureImportances.toArray() == pytest.approx(spark_forest.featureImportances.toArray())
+    columns = [vector_to_array(c).alias(c) for c in ("rawPrediction", "probability")]
+    vectors = mo.PipelineModel(fitted.spark_model.stages[:-1]).transform(fitted.prepare(val)).select(mo.TICKER_COL, "Date", "features")
+    got, want = ({(r[0], r[1]): r for r in m.transform(vectors).select(mo.TICKER_COL, "Date", *columns, "prediction").collect()} for m in (own, spark_forest))
+    assert set(got) == set(want) and len(got) == val.count()
+    for k, r in want.items():
+        assert [*got[k].rawPrediction, *got[k].probability, got[k].prediction] == pytest.approx([*r.rawPrediction, *r.probability, r.prediction])
+    alone = ins.partial_dependence(fitted, val, ["a"], grid_resolution=4).collect()
+    for r in alone:
+        assert fitted.transform(val.withColumn("a", F.lit(r.value))).agg(F.avg("proba")).first()[0] == pytest.approx(r.average)
+    assert len(alone) == 4 and own.transform(vectors.limit(0)).count() == 0

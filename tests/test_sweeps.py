@@ -197,3 +197,17 @@ def test_a_bagged_forest_is_written_bag_by_bag(spark, pairs, monkeypatch):
     for r in alone:
         assert fitted.transform(val.withColumn("a", F.lit(r.value))).agg(F.avg("proba")).first()[0] == pytest.approx(r.average)
     assert len(alone) == 4 and own.transform(vectors.limit(0)).count() == 0
+
+
+def test_permuted_scores_of_tree_groups(spark, pairs, forest, monkeypatch):
+    """Blocks of rows meet groups of trees, none of which holds the forest."""
+    test = pairs.where("role = 'val' and fold = 1")
+    whole = ins.permutation_importance(forest, test, COLS, n_repeats=2).collect()
+    seen, walk = [], sf.StoredForest.meet
+    monkeypatch.setattr(sf, "NODES", 40)
+    monkeypatch.setattr(sf, "BLOCK", 16)
+    monkeypatch.setattr(sf.StoredForest, "meet", lambda self, rows, *a: (seen.append(self.nodes), walk(self, rows, *a))[1])
+    cut = ins.permutation_importance(forest, test, COLS, n_repeats=2).collect()
+    assert len(seen) >= 2 and min(seen) > 2 * sf.NODES
+    for a, b in zip(whole, cut, strict=True):
+        assert [a.feature, *a[1:]] == [b.feature, *map(pytest.approx, b[1:])]

@@ -211,3 +211,15 @@ def test_permuted_scores_of_tree_groups(spark, pairs, forest, monkeypatch):
     assert len(seen) >= 2 and min(seen) > 2 * sf.NODES
     for a, b in zip(whole, cut, strict=True):
         assert [a.feature, *a[1:]] == [b.feature, *map(pytest.approx, b[1:])]
+
+
+def test_pairs_of_features_by_tree_groups(spark, pairs, forest, monkeypatch):
+    """Grids of pairs add up over blocks of rows and groups of trees."""
+    test = pairs.where("role = 'val'")
+    whole = ins.partial_dependence(forest, test, [("a", "b")], grid_resolution=6).collect()
+    monkeypatch.setattr(sf, "NODES", 40)
+    monkeypatch.setattr(sf, "BLOCK", 16)
+    cut = ins.partial_dependence(forest, test, [("a", "b")], grid_resolution=6)
+    assert "FlatMapCoGroupsInArrow" in cut._jdf.queryExecution().optimizedPlan().toString()
+    for a, b in zip(whole, cut.collect(), strict=True):
+        assert [*a[:4], a.average] == [*b[:4], pytest.approx(b.average)]

@@ -162,14 +162,16 @@ class Packer:
         return out
 
 
-def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE, memo: int = MEMO) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE, memo: int = MEMO,
+         remember: bool = True) -> DataFrame:
     """One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and the
     sequence's ``sequence_tokens`` and ``padding``.
 
     Null and empty texts are documents of the end id alone; rows without doc_id come first;
     repeated rows are packed each; other columns are ignored; an empty table gives an empty result.
     One range shuffle of the texts; a task plans ``BLOCK`` ids at a time. ``memo``: token pieces a
-    worker remembers, time for memory.
+    worker remembers, time for memory. ``remember``: also from one task to the next; else a task's end
+    frees them for the stages that follow.
     """
     if size < 1 or size & (size - 1):
         raise ValueError("size must be a power of two")
@@ -181,6 +183,8 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, size: int = SIZE, mem
             for d, t in rows(b, "doc_id", "text"):
                 yield from packer.add(d, np.append(np.frombuffer(enc.encode(t), dtype=enc.type), enc.type.type(end_id)))
         yield packer.flush()
+        if not remember:
+            enc.forget()
 
     schema = ", ".join(f"{c} bigint" for c in PIECES.names)
     return in_order(docs).mapInArrow(lean(run), schema)

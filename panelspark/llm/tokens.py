@@ -84,6 +84,11 @@ class Encoder:
         cls._open[path].limit = memo
         return cls._open[path]
 
+    def forget(self) -> None:
+        """Free the remembered pieces."""
+        self.memo.clear()
+        self.spaced.clear()
+
     def _whole(self, piece: str) -> bytes:
         return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 

@@ -134,6 +134,23 @@ def test_packing(docs, rows):
     assert packing.pack(docs.limit(0), path).collect() == []
 
 
+def test_packing_frees_its_pieces(spark, docs):
+    """The pipeline's workers live on through stages and runs: a task's remembered pieces end with it."""
+    path = tokens.tokenizer_path("byte_bpe_50k.json")
+    known = docs.where("doc_id is not null and doc_id != 14").coalesce(1)
+    keep = {tuple(r) for r in packing.pack(known, path).collect()}
+    assert {tuple(r) for r in packing.pack(known, path, remember=False).collect()} == keep
+    enc = tokens.Encoder(path)
+    ids = [enc.encode(t) for t in ("one two", "two, three")]
+    assert enc.memo or enc.spaced
+    enc.forget()
+    assert not enc.memo and not enc.spaced and [enc.encode(t) for t in ("one two", "two, three")] == ids
+    import inspect
+
+    import corpus_pipeline
+    assert "remember=False" in inspect.getsource(corpus_pipeline.pack)
+
+
 def test_plan_is_optimal():
     rnd = np.random.RandomState(3)
     for _ in range(30):

@@ -7,6 +7,7 @@ rows and groups of trees together, each pair of them in one task group, so a tas
 
 from __future__ import annotations
 
+import gc
 import threading
 import uuid
 from collections.abc import Callable
@@ -68,14 +69,16 @@ class Saved:
         self.one = threading.Lock()  # a part is serialised whole, so one at a time
         self.root = scratch_path(spark, f"forest-{uuid.uuid4().hex[:12]}")
 
-    def add(self, part: int, model) -> tuple[int, int, np.ndarray]:
-        """Number of trees, of trees with a split, and the importances summed over the latter."""
+    def add(self, part: int, model) -> tuple[int, np.ndarray]:
+        """Number of trees and the part's importances. The JVM keeps what Python's handles name, and a handle
+        is in a cycle with its methods: they are collected here, so that no writer holds a saved part."""
         with self.one:
             model.write().save(f"{self.root}/part={part}")
-        split = sum(t.numNodes() > 1 for t in model._java_obj.trees())
-        return model.getNumTrees, split, model.featureImportances.toArray() * split
+            found = model.getNumTrees, model.featureImportances.toArray()
+            gc.collect()
+        return found
 
-    def stored(self, parts: list[tuple[int, int, np.ndarray]]) -> StoredForest:
+    def stored(self, parts: list[tuple[int, np.ndarray]]) -> StoredForest:
         n, s = "nodeData", "nodeData.split"
         saved = self.spark.read.option("basePath", self.root).parquet(*[f"{self.root}/part={i}/data" for i in range(len(parts))])
         nodes = saved.select(
@@ -86,7 +89,9 @@ class Saved:
             F.coalesce(F.size(f"{s}.leftCategoriesOrThreshold"), F.lit(0)).alias("n_left"),
             (F.get(f"{n}.impurityStats", 1) / F.aggregate(f"{n}.impurityStats", F.lit(0.0), lambda a, b: a + b)).alias("vote"))
         trees = materialize(nodes.groupBy("at").applyInArrow(_tree_row, TREE_ROW))
-        summed = sum(p[2] for p in parts)
+        of = (F.col("at") / self.trees_a_part).cast("int")
+        split = {r[0]: r[1] for r in trees.groupBy(of).agg(F.count_if(F.col("nodes") > 1)).collect()}  # a row a part
+        summed = sum(p[1] * split[i] for i, p in enumerate(parts))  # a part's are the mean of its trees with a split
         total = summed.sum()
         return StoredForest(trees, sum(p[0] for p in parts), trees.agg(F.sum("nodes")).first()[0], summed / total if total > 0 else summed)
 

@@ -1,9 +1,11 @@
 """Multi-model margin solver, bagged forests, and forests as arrays, against Spark's own fits and scoring."""
 
+import gc
 import math
 
 import numpy as np
 import pytest
+from py4j.java_gateway import JavaObject
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -199,6 +201,22 @@ def test_a_bagged_forest_is_written_bag_by_bag(spark, pairs, monkeypatch):
     assert len(alone) == 4 and own.transform(vectors.limit(0)).count() == 0
 
 
+def test_a_saved_bag_is_let_go(spark, pairs, forest):
+    """No handle on a saved bag's trees or writer is left: the JVM keeps what a handle names."""
+    train = pairs.where("role = 'train' and fold = 1")
+    known = mo.balanced_weights(mo.PipelineModel(forest.spark_model.stages[:-1]).transform(forest.prepare(train)))
+    model = mo.random_forest(3, max_depth=3).fit(known)
+    gc.collect()
+    gc.disable()
+    try:
+        before = {id(o) for o in gc.get_objects() if issubclass(type(o), JavaObject)}
+        assert sf.Saved(spark, 3).add(0, model)[0] == 3
+        names = [o.getClass().getName() for o in gc.get_objects() if issubclass(type(o), JavaObject) and id(o) not in before]
+    finally:
+        gc.enable()
+    assert not [n for n in names if "DecisionTree" in n or "Writer" in n]
+
+
 def test_permuted_scores_of_tree_groups(spark, pairs, forest, monkeypatch):
     """Blocks of rows meet groups of trees, none of which holds the forest."""
     test = pairs.where("role = 'val' and fold = 1")

@@ -36,6 +36,7 @@ TOLERANCE = 1e-4
 SGD_TOLERANCE = 1e-3
 ROWS_A_TASK = 100_000
 TREES_A_BAG = 10
+HEAP_A_ROW = 350  # bytes of the driver's heap for a row and tree of a bag that is fitted (measured: about 140 MB for 10 trees of sf0.1, at most)
 
 
 # ------------------------------------------------------------------ M1-M3
@@ -131,24 +132,32 @@ def bag_class_weights(df: DataFrame, n_bags: int, seed: int, keys: list[str], la
     return {b: {y: sum(c.values()) / (2 * n) if n else 0.0 for y, n in c.items()} for b, c in counts.items()}
 
 
+def bags_at_once(heap: int, rows: int, trees: int, slots: int) -> int:
+    """How many bags the driver's heap has room for beside each other, at most one a task slot."""
+    return max(1, min(slots, heap // max(1, HEAP_A_ROW * rows * trees)))
+
+
 @dataclass
 class BaggedForest:
     """M5 with ``class_weight="balanced_subsample"``: rows are drawn into bags, each bag has its own class
     weights, and ``trees_a_bag`` trees grow on each (1: a bag a tree, as in the reference; they differ by
     the features tried at each node). Bags are fitted a few at a time over one cached table and written
-    as they are done, so the driver holds ``parallelism`` bags at most; the model is a table of trees."""
+    as they are done, so the driver holds ``parallelism`` bags at most (None: as many as its heap has room
+    for); the model is a table of trees."""
     n_trees: int = 400
     seed: int = 42
     max_depth: int = 30
     trees_a_bag: int = TREES_A_BAG
     keys: tuple = (TICKER_COL, "Date")
-    parallelism: int = 4
+    parallelism: int | None = None
     options: dict = field(default_factory=dict)
 
     def fit(self, vectors: DataFrame):
         keys = list(self.keys)
         known = vectors.select(*keys, "features", LABEL).transform(materialize)
-        known = known.coalesce(max(1, known.count() // ROWS_A_TASK)).cache()
+        rows, sc = known.count(), known.sparkSession.sparkContext
+        known = known.coalesce(max(1, rows // ROWS_A_TASK)).cache()
+        at_once = self.parallelism or bags_at_once(sc._jvm.java.lang.Runtime.getRuntime().maxMemory(), rows, self.trees_a_bag, sc.defaultParallelism)
         sizes = [self.trees_a_bag] * (self.n_trees // self.trees_a_bag)
         sizes += [self.n_trees % self.trees_a_bag] * (self.n_trees % self.trees_a_bag > 0)
         weights = bag_class_weights(known, len(sizes), self.seed, keys)
@@ -162,7 +171,7 @@ class BaggedForest:
 
         saved = Saved(vectors.sparkSession, self.trees_a_bag)
         try:
-            with ThreadPool(self.parallelism) as pool:
+            with ThreadPool(at_once) as pool:
                 return saved.stored(pool.map(grow, range(len(sizes)), chunksize=1))
         finally:
             known.unpersist()

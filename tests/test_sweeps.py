@@ -217,6 +217,18 @@ def test_a_saved_bag_is_let_go(spark, pairs, forest):
     assert not [n for n in names if "DecisionTree" in n or "Writer" in n]
 
 
+def test_bags_at_once_follow_the_heap(spark, pairs, monkeypatch):
+    """More rows, fewer bags beside each other; a larger heap, more of them, up to a slot each."""
+    at = [mo.bags_at_once(heap, rows, 10, 12) for heap, rows in ((750 << 20, 40_000), (2 << 30, 40_000), (750 << 20, 80_000), (750 << 20, 10**9), (750 << 20, 0))]
+    assert at == [5, 12, 2, 1, 12]
+    asked, pool = [], mo.ThreadPool
+    monkeypatch.setattr(mo, "ThreadPool", lambda n: (asked.append(n), pool(n))[1])
+    monkeypatch.setattr(mo, "HEAP_A_ROW", 1 << 50)
+    train = pairs.where("role = 'train' and fold = 1")
+    small = mo.fit_pipeline(train, COLS, mo.BaggedForest(n_trees=2, trees_a_bag=1, max_depth=2), "forest", scale=False)
+    assert asked == [1] and small.spark_model.stages[-1].getNumTrees == 2
+
+
 def test_permuted_scores_of_tree_groups(spark, pairs, forest, monkeypatch):
     """Blocks of rows meet groups of trees, none of which holds the forest."""
     test = pairs.where("role = 'val' and fold = 1")

@@ -2,11 +2,12 @@
 
 import gc
 import math
+import weakref
 
 import numpy as np
 import pytest
 from py4j.java_gateway import JavaObject
-from pyspark.ml.classification import LinearSVC
+from pyspark.ml.classification import DecisionTreeClassificationModel, LinearSVC, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -176,6 +177,48 @@ def test_random_search(spark, pairs, monkeypatch):
     assert [r.fold for r in got] == [0] and got[0].draw in (0, 1) and got[0].n_val == 24
 
 
+def test_a_fit_makes_no_python_object_a_tree(spark, pairs, monkeypatch):
+    train = pairs.where("role = 'train' and fold = 0")
+    known = mo.balanced_weights(mo.fit_preparation(train, COLS, scale=False).vectors(train))
+    made = []
+    monkeypatch.setattr(DecisionTreeClassificationModel, "__init__", lambda self, java=None: made.append(java))
+    model = mo.random_forest(4, max_depth=3).fit(known)
+    assert mo.joined_forest([model], 2).getNumTrees == 2 and model.transform(known).count() == known.count()
+    assert not made
+    monkeypatch.undo()
+    assert len(model.trees) == 4
+
+
+def test_search_lets_each_forest_go(spark, pairs, monkeypatch):
+    """One fit at a time: the forests before are gone when one is scored, and the draw chosen in each fold is the best."""
+    draws = [{"n_estimators": 2 + j % 2, "max_depth": 2 + j, "min_samples_leaf": 1 + 3 * j} for j in range(2)]
+    monkeypatch.setattr(se, "sample_space", lambda n, seed: draws)
+    alive, most, transform, score, scored = weakref.WeakSet(), [], RandomForestClassificationModel.transform, getattr(se, "score_draws", None), []
+
+    def counted(self, *a):
+        alive.add(self)
+        most.append(len(alive))
+        return transform(self, *a)
+
+    monkeypatch.setattr(RandomForestClassificationModel, "transform", counted)
+    monkeypatch.setattr(se, "score_draws", lambda *a: (scored.append((a[0], score(*a))), scored[-1][1])[1], raising=False)
+    got = se.random_search(pairs.drop("inner_fold"), COLS, n_iter=2, inner_splits=2, parallelism=1).collect()
+    assert len(most) == 2 * 2 * 2 + 2 and max(most) == 1
+    monkeypatch.undo()
+    tables, stacked = scored[0]
+    auc = {}
+    for (k, i), (known, asked, rows) in tables.items():
+        assert known.count() == rows
+        for j, d in enumerate(draws):
+            want = se.forest_from(d, 42).fit(known).transform(asked).select("y", vector_to_array("probability")[1].alias("score"))
+            own = stacked.where(f"fold = {k} and split = {i} and draw = {j}").select("y", "score")
+            assert sorted(map(tuple, own.collect())) == sorted(map(tuple, want.collect()))
+            auc.setdefault((k, j), []).append(se._auc(want.withColumnRenamed("y", mo.LABEL)))
+    for r in got:
+        best = min(range(2), key=lambda j: (-sum(auc[r.fold, j]) / 2, j))
+        assert (r.draw, r.best_params) == (best, str(sorted(draws[best].items())))
+
+
 def test_a_bagged_forest_is_written_bag_by_bag(spark, pairs, monkeypatch):
     """The driver joins no bags, and the table scores as Spark's own forest of the same trees."""
     models, join, add = [], mo.joined_forest, sf.Saved.add

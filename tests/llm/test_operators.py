@@ -2,7 +2,9 @@
 repeated rows, empty tables and columns whose names clash with the operators' own."""
 
 import hashlib
+import os
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -516,3 +518,54 @@ def test_min_links(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (100, 60), (70, 60), (80, 80)]
     got = {r.node: r.root for r in min_links(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 50: 50, 60: 50, 70: 50, 100: 50}
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f for f in files if "/shuffle_" in f}
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+    before, setting = shuffle_files(spark), spark.conf.get(key, None)
+    assert sorted(tuple(r) for r in materialize(df).collect()) == sorted((k, 143 if k < 6 else 142) for k in range(7))
+    assert spark.conf.get(key, None) == setting
+    end = time.time() + 20  # files are deleted in the background
+    while not shuffle_files(spark) <= before and time.time() < end:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+
+
+def test_marks(spark):
+    from panelspark.llm.common import marks, with_mark
+
+    keys = spark.createDataFrame([(i, None if i % 3 else i) for i in range(0, 3000, 2)] + [(None, 5), (None, None)], "a bigint, b bigint")
+    rest = spark.createDataFrame([(i, None if i % 3 else i) for i in range(1, 3000, 2)], "a bigint, b bigint")
+    assert with_mark(keys.union(keys), marks(keys), "a", "b").where("_llm_marked").count() == 2 * keys.count()
+    assert with_mark(rest, marks(keys), "a", "b").where("_llm_marked").count() < 20
+    assert with_mark(keys, marks(keys.limit(0)), "a", "b").where("_llm_marked").count() == 0
+
+
+def test_stored_sets_without_a_shuffle_of_texts(spark, docs, monkeypatch):
+    plans = []
+
+    def kept(df, name="t"):
+        plans.append((name, df._jdf.queryExecution().toString()))
+        return materialize(df, name)
+
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        join = jaccard.Join(docs)
+        sets = join.sets().where("n > 0")
+        all_ = {r.rid: r.n for r in sets.collect()}
+        classes = sets.groupBy("rid").agg({"place": "min"}).withColumnRenamed("min(place)", "place")
+        monkeypatch.setattr(jaccard, "materialize", kept)
+        wanted = sorted(all_)[::2]
+        got = join.stored(spark.createDataFrame([(r,) for r in wanted * 2], "rid bigint"), classes).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+    assert sorted((r.rid, len(r.tokens) // 8, jaccard.set_id(np.frombuffer(r.tokens, np.uint64))) for r in got) == [(r, all_[r], r) for r in wanted]
+    plan = dict(plans)["sets"]
+    assert "hashpartitioning(place" not in plan and "MapInArrow" in plan

@@ -569,3 +569,20 @@ def test_stored_sets_without_a_shuffle_of_texts(spark, docs, monkeypatch):
     assert sorted((r.rid, len(r.tokens) // 8, jaccard.set_id(np.frombuffer(r.tokens, np.uint64))) for r in got) == [(r, all_[r], r) for r in wanted]
     plan = dict(plans)["sets"]
     assert "hashpartitioning(place" not in plan and "MapInArrow" in plan
+
+
+def test_documents_that_stay_are_not_shuffled(spark):
+    data = [(i, " ".join(words(2000, 5000 + i))) for i in range(150)] + [(200, " ".join(words(2000, 5000)))] + [(None, " ".join(words(300, 5200)))] * 3
+    df = materialize(spark.createDataFrame(data, "doc_id bigint, text string").repartition(3))
+    out = jaccard.one_of_each(df)
+    size = lambda: sum(os.path.getsize(f) for f in shuffle_files(spark) if os.path.exists(f))
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = size()
+        got = out.collect()
+        moved = size() - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+    assert sorted(map(tuple, got), key=repr) == sorted(data[:150] + data[-1:], key=repr)
+    assert moved < sum(len(t) for _, t in data) / 10
